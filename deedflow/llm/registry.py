@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat_format, lang_id, quality, url_filter
+from . import chat_format, decontaminate, lang_id, quality, url_filter
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op4_language_id": lang_id.op4_language_id,
     "op6_chat_format": chat_format.op6_chat_format,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
 }
 ORACLES = {
+    "op7_decontaminate": decontaminate.SQL,
     "op6_chat_format": chat_format.SQL,
     "op8_url_filter": url_filter.SQL,
 }
