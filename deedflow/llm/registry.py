@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, lang_id, quality, url_filter
+from . import chat_format, decontaminate, lang_id, quality, secrets, url_filter
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_secret_scan": secrets.op9_secret_scan,
 }
 ORACLES = {
     "op7_decontaminate": decontaminate.SQL,
