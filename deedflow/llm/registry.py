@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, lang_id, quality, secrets, url_filter
+from . import chat_format, decontaminate, lang_id, pii, quality, secrets, url_filter
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op10_pii": pii.op10_pii,
     "op4_language_id": lang_id.op4_language_id,
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_decontaminate": decontaminate.op7_decontaminate,
