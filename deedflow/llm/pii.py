@@ -134,10 +134,9 @@ def iban(fe: Feistel, m: str, back: bool = False) -> str | None:
 
 def ip(fe: Feistel, m: str, back: bool = False) -> str | None:
     parts = [int(x) for x in m.split(".")]
-    if any(p > 255 for p in parts) or any(len(x) > 1 and x[0] == "0" for x in m.split(".")) or not 1 <= parts[0] <= 223:
+    if any(p > 255 for p in parts) or any(len(x) > 1 and x[0] == "0" for x in m.split(".")):
         return None
-    got = fe.mixed([parts[0] - 1, *parts[1:]], [223, 256, 256, 256], "ip", back)
-    return ".".join(map(str, [got[0] + 1, *got[1:]]))
+    return ".".join(map(str, fe.mixed(parts, [256] * 4, "ip", back)))
 
 
 def card(fe: Feistel, m: str, back: bool = False) -> str | None:
@@ -160,12 +159,8 @@ def ssn(fe: Feistel, m: str, back: bool = False) -> str | None:
 def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
     d = digits_of(m)
     local = d[1:] if m.startswith("+1") and len(d) == 11 else d if len(d) == 10 and not m.startswith("+") else None
-    if local:  # North American: area and exchange codes begin with 2 to 9
-        if local[0] in "01" or local[3] in "01":
-            return None
-        low = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
-        got = fe.mixed([int(c) - x for c, x in zip(local, low, strict=True)], [10 - x for x in low], "phone", back)
-        return spread(m, d[: len(d) - 10] + "".join(str(g + x) for g, x in zip(got, low, strict=True)))
+    if local:  # ten digits in a North American layout; the country code stays
+        return spread(m, d[: len(d) - 10] + "".join(map(str, fe.mixed([int(c) for c in local], [10] * 10, "phone", back))))
     if not m.startswith("+") or m.startswith("+1") or not 8 <= len(d) <= 15:
         return None
     lead = re.match(r"\+([0-9]{1,3})(?![0-9])", m)
