@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, lang_id, packing, pii, quality, secrets, topk, url_filter
+from . import chat_format, decontaminate, jaccard_join, lang_id, packing, pii, quality, secrets, topk, url_filter
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op10_pii": pii.op10_pii,
     "op2_packing": packing.op2_packing,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_language_id": lang_id.op4_language_id,
     "op5_topk": topk.op5_topk,
     "op6_chat_format": chat_format.op6_chat_format,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 ORACLES = {
+    "op3_jaccard_join": jaccard_join.SQL,
     "op5_topk": topk.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op6_chat_format": chat_format.SQL,
