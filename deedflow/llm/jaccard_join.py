@@ -53,7 +53,7 @@ def prefix(size: np.ndarray, percent: int) -> np.ndarray:
     return size + (-percent * size // 100) + 1
 
 
-def _near(df: DataFrame) -> DataFrame:
+def near(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
@@ -331,10 +331,10 @@ def _open_pairs(percent: int):
                     for c in range(0, len(a), 1 << 15):
                         s, t = a[c : c + (1 << 15)], b[c : c + (1 << 15)]
                         far = np.bitwise_count(bits[s] ^ bits[t]).sum(axis=1, dtype=np.int64)
-                        near = far <= distance_limit(size[s], size[t], percent)
-                        xs.append(node[s[near]])
-                        ys.append(node[t[near]])
-                        held += int(near.sum())
+                        ok = far <= distance_limit(size[s], size[t], percent)
+                        xs.append(node[s[ok]])
+                        ys.append(node[t[ok]])
+                        held += int(ok.sum())
             if held > 1 << 20:
                 yield from _emit(xs, ys)
                 xs, ys, held = [], [], 0
@@ -345,8 +345,8 @@ def _open_pairs(percent: int):
 
 def _meet(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """x, y, sizes and the column of both; the sets are read where they lie if the pairs are few enough to broadcast."""
-    right = sets.select(F.col("node").alias("y"), F.col("size").alias("m"), F.col(column).alias("b")).join(_near(pairs), "y")
-    left = sets.select(F.col("node").alias("x"), F.col("size").alias("n"), F.col(column).alias("a")).join(_near(pairs.select("x").distinct()), "x")
+    right = sets.select(F.col("node").alias("y"), F.col("size").alias("m"), F.col(column).alias("b")).join(near(pairs), "y")
+    left = sets.select(F.col("node").alias("x"), F.col("size").alias("n"), F.col(column).alias("a")).join(near(pairs.select("x").distinct()), "x")
     return right.join(left, "x").select("x", "y", "n", "m", "a", "b")
 
 
@@ -363,7 +363,7 @@ def _kept(test):
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar: parity bitmaps exclude, whole sets decide."""
 
-    def near(n, m, a, b):
+    def maybe_similar(n, m, a, b):
         if not len(n):
             return np.zeros(0, bool)
         far = np.bitwise_count(np.frombuffer(b"".join(a), np.uint64) ^ np.frombuffer(b"".join(b), np.uint64)).reshape(len(n), -1).sum(axis=1, dtype=np.int64)
@@ -374,7 +374,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common = np.array(common, np.int64)
         return 100 * common >= percent * (n + m - common)
 
-    maybe = cut(_meet(pairs, sets, "bits").mapInArrow(_kept(near), "x long, y long").distinct())
+    maybe = cut(_meet(pairs, sets, "bits").mapInArrow(_kept(maybe_similar), "x long, y long").distinct())
     return cut(_meet(maybe, sets, "shingles").mapInArrow(_kept(similar), "x long, y long").distinct())
 
 
@@ -402,7 +402,7 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     # 3. The sets of the nodes in it, each read from one of its documents.
     nodes = lists.select("node").distinct()
     ids = heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct()
-    sets = cut(texts.join(_near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(_sets(k), "node long, size long, bits binary, shingles binary"))
+    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(_sets(k), "node long, size long, bits binary, shingles binary"))
     # 4. Stars, and what they prove.
     stars = cut(lists.repartition("token").mapInArrow(_stars(percent), "x long, y long").distinct())
     links = verified(stars, sets, percent)
@@ -411,7 +411,7 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     known = lists.join(labels, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
     open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"))
     if not open_.isEmpty():
-        rows = known.join(_near(open_), "token", "left_semi").join(sets.select("node", "bits").dropDuplicates(["node"]), "node")
+        rows = known.join(near(open_), "token", "left_semi").join(sets.select("node", "bits").dropDuplicates(["node"]), "node")
         more = cut(rows.select("token", "node", "size", "pos", "comp", "bits").repartition("token").mapInArrow(_open_pairs(percent), "x long, y long").distinct())
         links = links.union(verified(more, sets, percent))
         labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import chat_format, decontaminate, jaccard_join, lang_id, packing, pii, quality, secrets, topk, url_filter
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_quality": quality.op1_quality,
     "op10_pii": pii.op10_pii,
     "op2_packing": packing.op2_packing,
@@ -23,3 +26,5 @@ ORACLES = {
     "op6_chat_format": chat_format.SQL,
     "op8_url_filter": url_filter.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
