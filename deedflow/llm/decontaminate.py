@@ -69,10 +69,11 @@ def winnowed(words: Column, span: int, gram: int) -> Column:
 
 def fingerprints(words: Column, lengths: list[int], span: int, gram: int) -> Column:
     """array<struct<size, v>>: winnowed grams (size = gram), and all runs of each shorter length (size = -length)."""
-    kinds = [F.transform(winnowed(words, span, gram), lambda v: F.struct(F.lit(gram).alias("size"), v.alias("v")))]
-    for m in lengths:
-        kinds.append(F.transform(grams(words, m), lambda v, m=m: F.struct(F.lit(-m).alias("size"), v.alias("v"))))
-    return F.concat(*kinds)
+    return F.concat(_tagged(winnowed(words, span, gram), gram), *[_tagged(grams(words, m), -m) for m in lengths])
+
+
+def _tagged(values: Column, size: int) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(size).alias("size"), v.alias("v")))
 
 
 def _hash(v: Column) -> Column:
@@ -104,7 +105,7 @@ def benchmark_index(benchmark: DataFrame, item: str, text: str, span: int, gram:
     base = cut(benchmark.select(F.col(item).alias("_item"), words_of(F.col(text)).alias("_words")).where(F.size("_words") > 0))
     lengths = sorted(r[0] for r in base.where(F.size("_words") < span).select(F.size("_words")).distinct().collect())
     whole = base.where(F.size("_words") >= span).withColumn("_f", F.explode(fingerprints(F.col("_words"), [], span, gram)))
-    short = [base.where(F.size("_words") == m).withColumn("_f", F.explode(F.transform(grams(F.col("_words"), m), lambda v, m=m: F.struct(F.lit(-m).alias("size"), v.alias("v"))))) for m in lengths]
+    short = [base.where(F.size("_words") == m).withColumn("_f", F.explode(_tagged(grams(F.col("_words"), m), -m))) for m in lengths]
     every = reduce(DataFrame.unionByName, short, whole)
     place, size = _place(F.col("_f.v")), F.abs(F.col("_f.size"))
     index = every.select(F.col("_f.size").alias("_size"), _hash(F.col("_f.v")).alias("_hash"), "_item", *_context(F.col("_words"), place, size, span - gram))
