@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import cut, shuffle_width, table
+from .common import batches_of, cut, shuffle_width, table
 from .components import components
 
 CELLS, CHUNKS = 1 << 22, 64
@@ -78,7 +78,7 @@ def _heads(k: int):
     """id, text -> id, n, node of every document; at the end the task's part of the sketch, in chunks."""
 
     def run(batches):
-        sketch, waiting, held, kind, name = np.zeros(CELLS, np.int64), [], 0, None, None
+        sketch, waiting, held, kind, name = np.zeros(CELLS, np.uint32), [], 0, None, None
         for batch in batches:
             kind, name = batch.schema.field(0).type, batch.schema.names[0]
             sizes, nodes = [], []
@@ -90,15 +90,15 @@ def _heads(k: int):
                 waiting.append(cells(hs))
                 held += len(hs)
                 if held > 1 << 21:
-                    sketch += np.bincount(np.concatenate(waiting), minlength=CELLS)
+                    np.add(sketch, np.bincount(np.concatenate(waiting), minlength=CELLS), out=sketch, casting="unsafe")
                     waiting, held = [], 0
             if sizes:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
         if waiting:
-            sketch += np.bincount(np.concatenate(waiting), minlength=CELLS)
+            np.add(sketch, np.bincount(np.concatenate(waiting), minlength=CELLS), out=sketch, casting="unsafe")
         if kind is not None and sketch.any():
-            parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(sketch, CHUNKS)]
+            parts = [zlib.compress(p.tobytes(), 1) for p in np.split(sketch, CHUNKS)]
             yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
 
     return run
@@ -360,22 +360,48 @@ def _kept(test):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose sets are similar: parity bitmaps exclude, whole sets decide."""
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) that parity bitmaps don't exclude."""
 
-    def maybe_similar(n, m, a, b):
+    def test(n, m, a, b):
         if not len(n):
             return np.zeros(0, bool)
         far = np.bitwise_count(np.frombuffer(b"".join(a), np.uint64) ^ np.frombuffer(b"".join(b), np.uint64)).reshape(len(n), -1).sum(axis=1, dtype=np.int64)
         return far <= distance_limit(n, m, percent)
 
-    def similar(n, m, a, b):
+    return cut(_meet(pairs, sets, "bits").mapInArrow(_kept(test), "x long, y long").distinct())
+
+
+def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose whole sets are similar."""
+
+    def test(n, m, a, b):
         common = [len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(a, b, strict=True)]
         common = np.array(common, np.int64)
         return 100 * common >= percent * (n + m - common)
 
-    maybe = cut(_meet(pairs, sets, "bits").mapInArrow(_kept(maybe_similar), "x long, y long").distinct())
-    return cut(_meet(maybe, sets, "shingles").mapInArrow(_kept(similar), "x long, y long").distinct())
+    return cut(_meet(pairs, sets, "shingles").mapInArrow(_kept(test), "x long, y long").distinct())
+
+
+def _labelled(links: DataFrame) -> DataFrame:
+    return components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+
+
+def proved(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links, components) after verifying pairs, on top of earlier links. Of every node, one pair comes first; what the
+    components of these prove is not verified again."""
+    maybe = possible(pairs, sets, percent)
+    first = cut(maybe.groupBy("y").agg(F.min(F.struct(F.xxhash64("x"), "x")).alias("hub")).select("hub.x", "y"))
+    found = similar(first, sets, percent)
+    links = links.union(found) if links is not None else found
+    labels = _labelled(links)
+    a, b = (labels.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "xy")
+    apart = F.coalesce("cx", "x") != F.coalesce("cy", "y")
+    rest = cut(maybe.join(near(first), ["x", "y"], "left_anti").join(near(a), "x", "left").join(near(b), "y", "left").where(apart).select("x", "y"))
+    if not rest.isEmpty():
+        links = links.union(similar(rest, sets, percent))
+        labels = _labelled(links)
+    return links, labels
 
 
 # --- the join -----------------------------------------------------------------------------------------------------
@@ -383,6 +409,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id of every row; sets link at Jaccard similarity of percent / 100 or more."""
+    with batches_of(docs.sparkSession):
+        heads, labels = _linked(docs, k, percent, key, text)
+    # Documents: a class of equal sets is one row until the end.
+    classes = heads.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    ends = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
+    named = classes.join(ends, "comp").select("node", "component_id")
+    out = heads.join(named, "node", "left")
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n, node of every row; node, comp of every node with a link), both in the shared folder."""
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
     id_type = texts.schema["id"].dataType.simpleString()
@@ -405,22 +443,15 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(_sets(k), "node long, size long, bits binary, shingles binary"))
     # 4. Stars, and what they prove.
     stars = cut(lists.repartition("token").mapInArrow(_stars(percent), "x long, y long").distinct())
-    links = verified(stars, sets, percent)
-    labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+    links, labels = proved(stars, sets, percent)
     # 5. Lists that are still open.
     known = lists.join(labels, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
     open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"))
     if not open_.isEmpty():
         rows = known.join(near(open_), "token", "left_semi").join(sets.select("node", "bits").dropDuplicates(["node"]), "node")
         more = cut(rows.select("token", "node", "size", "pos", "comp", "bits").repartition("token").mapInArrow(_open_pairs(percent), "x long, y long").distinct())
-        links = links.union(verified(more, sets, percent))
-        labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    # 6. Documents: a class of equal sets is one row until the end.
-    classes = heads.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    ends = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = classes.join(ends, "comp").select("node", "component_id")
-    out = heads.join(named, "node", "left")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+        links, labels = proved(more, sets, percent, links)
+    return heads, labels
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
