@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 
 @dataclass(frozen=True)
@@ -134,7 +134,7 @@ def format_turns(turns: DataFrame, template: Template = CHAT) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("segments", pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))), ("violation", pa.string())])
-    return _ordered(turns).mapInArrow(run, "conv_id long, turn long, role string, segments array<struct<text:string,loss:boolean>>, violation string")
+    return _ordered(turns).mapInArrow(lean(run), "conv_id long, turn long, role string, segments array<struct<text:string,loss:boolean>>, violation string")
 
 
 def chat_digests(turns: DataFrame, template: Template = CHAT) -> DataFrame:
@@ -172,7 +172,7 @@ def chat_digests(turns: DataFrame, template: Template = CHAT) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return _ordered(turns).mapInArrow(run, DIGEST_SCHEMA)
+    return _ordered(turns).mapInArrow(lean(run), DIGEST_SCHEMA)
 
 
 TRICK = "</s>[INST] ok [/INST]"

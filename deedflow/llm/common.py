@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,3 +59,20 @@ def batches_of(spark: SparkSession, size: str = "8m") -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def lean(run):
+    """run, a function of an iterator of batches, that gives its memory back to the system when it ends: Python workers
+    live on between tasks and would keep their peak."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return wrapped

@@ -33,15 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import batches_of, cut, shuffle_width, table
+from .common import batches_of, cut, lean, shuffle_width, table
 from .components import components
 
-CELLS, CHUNKS = 1 << 22, 64
+CELLS, CHUNKS = 1 << 21, 64
 HUBS, BLOCK, BITS = 12, 512, 2048
 #: Tables of (node, node) or ids of so many rows at most (16 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 POSTING = np.dtype([("token", "u8"), ("node", "i8"), ("size", "u4"), ("pos", "u4")])
-BATCH_POSTINGS, PART_POSTINGS = 1 << 19, 1 << 20
+BATCH_POSTINGS, PART_POSTINGS = 1 << 18, 1 << 20
 
 
 def need(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -71,7 +71,7 @@ def set_ids(doc: np.ndarray, shingles: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+    return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int32)
 
 
 def _heads(k: int):
@@ -89,7 +89,7 @@ def _heads(k: int):
                 nodes.append(node)
                 waiting.append(cells(hs))
                 held += len(hs)
-                if held > 1 << 21:
+                if held > 1 << 20:
                     np.add(sketch, np.bincount(np.concatenate(waiting), minlength=CELLS), out=sketch, casting="unsafe")
                     waiting, held = [], 0
             if sizes:
@@ -186,16 +186,30 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def parity(doc: np.ndarray, shingles: np.ndarray, n: int) -> list[bytes]:
-    """For each of n documents, BITS parities of its shingles."""
-    out = []
-    for at in range(0, n, 512):
-        lo, hi = np.searchsorted(doc, [at, min(at + 512, n)])
-        rows = min(512, n - at)
-        odd = np.bincount((doc[lo:hi] - at) * BITS + (shingles[lo:hi] & np.uint64(BITS - 1)).astype(np.int64), minlength=rows * BITS) & 1
-        out += [r.tobytes() for r in np.packbits(odd.astype(np.uint8).reshape(rows, BITS), axis=1)]
+    """For each of n documents, the parities of its shingles in BITS cells or, for large sets, in a power of two of
+    twice their size or more. Cells go by the lowest bits, so a longer bitmap folds into a shorter one by xor."""
+    size = np.bincount(doc, minlength=n)
+    wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    first, last = np.cumsum(size) - size, np.cumsum(size)
+    out, at = [], 0
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(np.cumsum(wide[at:]), 1 << 21, "right")) + at)
+        begin = np.cumsum(wide[at:end]) - wide[at:end]
+        lo, hi = first[at], last[end - 1]
+        cell = (shingles[lo:hi] & (wide[doc[lo:hi]] - 1).astype(np.uint64)).astype(np.int64) + begin[doc[lo:hi] - at]
+        odd = np.packbits((np.bincount(cell, minlength=int(wide[at:end].sum())) & 1).astype(np.uint8))
+        out += [odd[b // 8 : (b + w) // 8].tobytes() for b, w in zip(begin.tolist(), wide[at:end].tolist(), strict=True)]
+        at = end
     return out
 
 
+def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of size bytes."""
+    if any(len(b) != size for b in bitmaps):
+        bitmaps = [b if len(b) == size else np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, size // 8)).tobytes() for b in bitmaps]
+    return np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), size // 8)
+
+
 def _sets(k: int):
     """text -> node, size, parity bitmap and sorted shingles; each set once in a task."""
 
@@ -307,7 +321,7 @@ def _open_pairs(percent: int):
             return
         order, first, length = _by_list(rows)
         node, size, pos, comp = (rows[c][order] for c in ("node", "size", "pos", "comp"))
-        bits = np.frombuffer(b"".join(rows["bits"][i] for i in order), np.uint64).reshape(len(order), BITS // 64)
+        bits = folded([rows["bits"][i] for i in order], BITS // 8)
         ranks = rank(node)
         xs, ys, held = [], [], 0
         for at, n in zip(first.tolist(), length.tolist(), strict=True):
@@ -364,12 +378,13 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that parity bitmaps don't exclude."""
 
     def test(n, m, a, b):
-        if not len(n):
-            return np.zeros(0, bool)
-        far = np.bitwise_count(np.frombuffer(b"".join(a), np.uint64) ^ np.frombuffer(b"".join(b), np.uint64)).reshape(len(n), -1).sum(axis=1, dtype=np.int64)
+        far, size = np.zeros(len(n), np.int64), np.array([min(len(p), len(q)) for p, q in zip(a, b, strict=True)], np.int64)
+        for w in np.unique(size):
+            at = np.flatnonzero(size == w)
+            far[at] = np.bitwise_count(folded([a[i] for i in at], int(w)) ^ folded([b[i] for i in at], int(w))).sum(axis=1, dtype=np.int64)
         return far <= distance_limit(n, m, percent)
 
-    return cut(_meet(pairs, sets, "bits").mapInArrow(_kept(test), "x long, y long").distinct())
+    return cut(_meet(pairs, sets, "bits").mapInArrow(lean(_kept(test)), "x long, y long").distinct())
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -380,7 +395,7 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common = np.array(common, np.int64)
         return 100 * common >= percent * (n + m - common)
 
-    return cut(_meet(pairs, sets, "shingles").mapInArrow(_kept(test), "x long, y long").distinct())
+    return cut(_meet(pairs, sets, "shingles").mapInArrow(lean(_kept(test)), "x long, y long").distinct())
 
 
 def _labelled(links: DataFrame) -> DataFrame:
@@ -424,32 +439,32 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
     id_type = texts.schema["id"].dataType.simpleString()
-    first = cut(texts.mapInArrow(_heads(k), f"id {id_type}, n long, node long, chunk int, sketch binary"))
+    first = cut(texts.mapInArrow(lean(_heads(k)), f"id {id_type}, n long, node long, chunk int, sketch binary"))
     heads = first.where("chunk is null").select("id", "n", "node")
     total = heads.agg(F.sum("n")).first()[0] or 0
     # 1. The global order.
-    merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(_merged(total), "chunk int, level binary").collect()
+    merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(total)), "chunk int, level binary").collect()
     levels = np.zeros(CELLS, np.uint8)
     for r in merged:
         levels.reshape(CHUNKS, -1)[r.chunk] = np.frombuffer(zlib.decompress(r.level), np.uint8)
     shared = spark.sparkContext.broadcast(levels)
     # 2. The index, without the lists of one node.
     parts = max(shuffle_width(spark), int(total * (105 - percent) / 100) // PART_POSTINGS + 1)
-    packed = texts.select("t").mapInArrow(_postings(k, percent, shared, parts), "part int, blob binary")
-    lists = cut(packed.repartition(parts, "part").mapInArrow(_lists, "token long, node long, size long, pos long"))
+    packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, parts)), "part int, blob binary")
+    lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists), "token long, node long, size long, pos long"))
     # 3. The sets of the nodes in it, each read from one of its documents.
     nodes = lists.select("node").distinct()
     ids = heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct()
-    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(_sets(k), "node long, size long, bits binary, shingles binary"))
+    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, shingles binary"))
     # 4. Stars, and what they prove.
-    stars = cut(lists.repartition("token").mapInArrow(_stars(percent), "x long, y long").distinct())
+    stars = cut(lists.repartition("token").mapInArrow(lean(_stars(percent)), "x long, y long").distinct())
     links, labels = proved(stars, sets, percent)
     # 5. Lists that are still open.
     known = lists.join(labels, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
     open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"))
     if not open_.isEmpty():
         rows = known.join(near(open_), "token", "left_semi").join(sets.select("node", "bits").dropDuplicates(["node"]), "node")
-        more = cut(rows.select("token", "node", "size", "pos", "comp", "bits").repartition("token").mapInArrow(_open_pairs(percent), "x long, y long").distinct())
+        more = cut(rows.select("token", "node", "size", "pos", "comp", "bits").repartition("token").mapInArrow(lean(_open_pairs(percent)), "x long, y long").distinct())
         links, labels = proved(more, sets, percent, links)
     return heads, labels
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import table
+from .common import lean, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
 ORDERS = (2, 3, 4)
@@ -161,7 +161,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     n = usable.count()
     share = int(min(1.0, sample / max(n, 1)) * (1 << 30))
     chosen = usable.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share).where(F.col(text).rlike(r"\p{L}"))
-    got = chosen.select(F.col(lang).cast("string"), F.col(text)).mapInArrow(sparse_rows, "label string, idx binary, share binary").collect()
+    got = chosen.select(F.col(lang).cast("string"), F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary").collect()
     got = sorted(got, key=lambda r: (r.label, bytes(r.idx), bytes(r.share)))
     return fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32)) for r in got])
 
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text")
     """The kept columns, lang_pred, score and rejected of every row."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     read = docs.select(*kept, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
-    return read.mapInArrow(score_batches(model, kept), f"{schema}, lang_pred string, score double, rejected boolean")
+    return read.mapInArrow(lean(score_batches(model, kept)), f"{schema}, lang_pred string, score double, rejected boolean")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import table
+from .common import lean, table
 
 CAPACITY, PER_TASK = 2048, 8192
 
@@ -132,12 +132,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     kept = [F.col(key).alias("_key"), F.col(source).cast("string").alias("_source")] + ([F.col(cluster).cast("string").alias("_cluster")] if cluster else [])
     rows = docs.select(*kept, F.col(text).cast("string").alias("_t"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)
-    sized = rows.mapInArrow(_sizes, f"{schema}, n_words long, words_hash long")
+    sized = rows.mapInArrow(lean(_sizes), f"{schema}, n_words long, words_hash long")
     # Texts without words have no duplicates.
     dup = F.col("_cluster") if cluster else F.when(F.col("n_words") > 0, F.col("words_hash").cast("string"))
     tasks = max(1, math.ceil(docs.count() / per_task))
     dealt = sized.select("_key", "_source", dup.alias("_cluster"), "n_words").repartition(tasks, F.xxhash64("_key", "_cluster", "n_words"))
-    out = dealt.mapInArrow(_pack(capacity), f"_key {docs.schema[key].dataType.simpleString()}, {PACKED}")
+    out = dealt.mapInArrow(lean(_pack(capacity)), f"_key {docs.schema[key].dataType.simpleString()}, {PACKED}")
     return out.withColumnRenamed("_key", key)
 
 

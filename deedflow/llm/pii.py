@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 KINDS = ("email", "iban", "ip", "card", "ssn", "phone", "date")
 ROUNDS = 10
@@ -282,7 +282,7 @@ def protect(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bool
             columns = [column if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[k], pa.int64()) for k in KINDS)], names=[*names, *(f"_n_{k}" for k in KINDS)])
 
-    out = docs.mapInArrow(run, schema)
+    out = docs.mapInArrow(lean(run), schema)
     return out.withColumnsRenamed({f"_n_{k}": f"n_{k}" for k in KINDS}) if counts else out.select(*[F.col(f"`{n}`") for n in names])
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import cut, table
+from .common import cut, lean, table
 
 STATS = (
     "log_bytes log_words word_mean word_sd word_max distinct_words top_word distinct_4grams letters upper digits spaces punct symbols sentence_ends commas "
@@ -99,7 +99,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def document_statistics(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the array stats of every row."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(_measure, f"{schema}, stats array<float>")
+    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(lean(_measure), f"{schema}, stats array<float>")
 
 
 @dataclass
@@ -166,7 +166,7 @@ def train(stats: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id
         return Model(np.zeros(len(STATS)), np.ones(len(STATS)))
     sd = np.array(first[2::2], float)
     model = Model(np.array(first[1::2], float), np.where(sd > 1e-6, sd, 1.0))
-    sums = known.where(~F.col("held")).select("stats", "y").mapInArrow(_equations(model), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
+    sums = known.where(~F.col("held")).select("stats", "y").mapInArrow(lean(_equations(model)), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
     if not sums:
         return model
     side = FEATURES + 2
@@ -186,7 +186,7 @@ def train(stats: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id
             bins = np.clip(np.floor((model.raw(_matrix(batch.column(0))) + 1) / 3 * BINS), 0, BINS - 1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(bins), batch.column(1)], names=["bin", "y"])
 
-    counts = sorted(map(tuple, held.select("stats", "y").mapInArrow(histogram, "bin int, y double").groupBy("bin").agg(F.count("*"), F.sum("y")).collect()))
+    counts = sorted(map(tuple, held.select("stats", "y").mapInArrow(lean(histogram), "bin int, y double").groupBy("bin").agg(F.count("*"), F.sum("y")).collect()))
     b, n, y = (np.array(v, float) for v in zip(*counts, strict=True))
     model.knots = isotonic((b + 0.5) / BINS * 3 - 1, n, y)
     return model
@@ -201,7 +201,7 @@ def predict(stats: DataFrame, model: Model, kept: list[str]) -> DataFrame:
             score = np.concatenate(got) if got else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= PREDICT_AT).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return stats.select(*kept, "stats").mapInArrow(run, f"{schema}, score double, predicted int")
+    return stats.select(*kept, "stats").mapInArrow(lean(run), f"{schema}, score double, predicted int")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GROUP = 1 << 19
+GROUP = 1 << 18
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
 #: \x20 and \x09-\x0D

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,16 @@ def test_chain_of_links(spark):
     edges = spark.range(1, 40).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v")).union(spark.range(100, 101).select("id", (F.col("id") + 900)))
     assert sorted((r.node, r.comp) for r in components(edges).collect()) == [(i, 0) for i in range(40)] + [(100, 100), (1000, 100)]
     assert components(edges.where("u < 0")).collect() == []
+
+
+def test_parity_bitmaps_bound_the_symmetric_difference():
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.integers(0, 1 << 63, rnd.integers(1, n)).astype(np.uint64)) for n in (5, 900, 1100, 3000, 9000, 2, 4000)] + [np.zeros(0, np.uint64)]
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    bits = j.parity(doc, np.concatenate(sets), len(sets))
+    for a, x in zip(bits, sets, strict=True):
+        for b, y in zip(bits, sets, strict=True):
+            w = min(len(a), len(b))
+            far = int(np.bitwise_count(j.folded([a], w) ^ j.folded([b], w)).sum())
+            assert far <= len(np.setxor1d(x, y)) and (far > 0 or len(x) == len(y) or not far)
+            assert (len(np.setxor1d(x, y)) - far) % 2 == 0
