@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ()
+MODULES = ("matching",)
 
 
 def load_all() -> None:
