@@ -36,8 +36,8 @@ from . import textvec
 from .common import batches_of, cut, lean, shuffle_width, table
 from .components import components
 
-CELLS, CHUNKS = 1 << 21, 64
-HUBS, BLOCK, BITS = 12, 512, 2048
+CELLS, CHUNKS = 1 << 23, 64
+HUBS, BLOCK, BITS, FEW_BITS = 12, 512, 2048, 1024
 #: Tables of (node, node) or ids of so many rows at most (16 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 POSTING = np.dtype([("token", "u8"), ("node", "i8"), ("size", "u4"), ("pos", "u4")])
@@ -74,6 +74,11 @@ def cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int32)
 
 
+def _count(sketch: np.ndarray, waiting: list[np.ndarray]) -> None:
+    cell, n = np.unique(np.concatenate(waiting), return_counts=True)
+    sketch[cell] += n.astype(sketch.dtype)
+
+
 def _heads(k: int):
     """id, text -> id, n, node of every document; at the end the task's part of the sketch, in chunks."""
 
@@ -90,13 +95,13 @@ def _heads(k: int):
                 waiting.append(cells(hs))
                 held += len(hs)
                 if held > 1 << 20:
-                    np.add(sketch, np.bincount(np.concatenate(waiting), minlength=CELLS), out=sketch, casting="unsafe")
+                    _count(sketch, waiting)
                     waiting, held = [], 0
             if sizes:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
         if waiting:
-            np.add(sketch, np.bincount(np.concatenate(waiting), minlength=CELLS), out=sketch, casting="unsafe")
+            _count(sketch, waiting)
         if kind is not None and sketch.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(sketch, CHUNKS)]
             yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
@@ -115,7 +120,7 @@ def _merged(total: int):
                 counts = np.frombuffer(zlib.decompress(part), np.uint32).astype(np.int64)
                 sums[chunk] = sums.get(chunk, 0) + counts
         for chunk, counts in sums.items():
-            level = np.clip(np.floor(2 * np.log2(np.maximum(counts, 1) / (4 * usual))), 0, 255).astype(np.uint8)
+            level = np.clip(np.floor(2 * np.log2(np.maximum(counts, 1) / (2 * usual))), 0, 255).astype(np.uint8)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "level": pa.array([zlib.compress(level.tobytes(), 1)], pa.binary())})
 
     return run
@@ -211,7 +216,7 @@ def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
 
 
 def _sets(k: int):
-    """text -> node, size, parity bitmap and sorted shingles; each set once in a task."""
+    """text -> node, size, parity bitmap (and a short one) and sorted shingles; each set once in a task."""
 
     def run(batches):
         seen: set[int] = set()
@@ -230,6 +235,7 @@ def _sets(k: int):
                 if fresh:
                     yield pa.RecordBatch.from_pydict({
                         "node": pa.array(node[fresh]), "size": pa.array(size[fresh]), "bits": pa.array([bits[i] for i in fresh], pa.binary()),
+                        "few": pa.array([folded([bits[i]], FEW_BITS // 8).tobytes() for i in fresh], pa.binary()),
                         "shingles": pa.array([hs[end[i] - size[i] : end[i]].tobytes() for i in fresh], pa.binary()),
                     })
 
@@ -321,7 +327,7 @@ def _open_pairs(percent: int):
             return
         order, first, length = _by_list(rows)
         node, size, pos, comp = (rows[c][order] for c in ("node", "size", "pos", "comp"))
-        bits = folded([rows["bits"][i] for i in order], BITS // 8)
+        bits = folded([rows["few"][i] for i in order], FEW_BITS // 8)
         ranks = rank(node)
         xs, ys, held = [], [], 0
         for at, n in zip(first.tolist(), length.tolist(), strict=True):
@@ -455,7 +461,7 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
     # 3. The sets of the nodes in it, each read from one of its documents.
     nodes = lists.select("node").distinct()
     ids = heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct()
-    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, shingles binary"))
+    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, few binary, shingles binary"))
     # 4. Stars, and what they prove.
     stars = cut(lists.repartition("token").mapInArrow(lean(_stars(percent)), "x long, y long").distinct())
     links, labels = proved(stars, sets, percent)
@@ -463,8 +469,9 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
     known = lists.join(labels, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
     open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"))
     if not open_.isEmpty():
-        rows = known.join(near(open_), "token", "left_semi").join(sets.select("node", "bits").dropDuplicates(["node"]), "node")
-        more = cut(rows.select("token", "node", "size", "pos", "comp", "bits").repartition("token").mapInArrow(lean(_open_pairs(percent)), "x long, y long").distinct())
+        rows = cut(known.join(near(open_), "token", "left_semi"))
+        rows = sets.select("node", "few").join(near(rows), "node")
+        more = cut(rows.select("token", "node", "size", "pos", "comp", "few").repartition("token").mapInArrow(lean(_open_pairs(percent)), "x long, y long").distinct())
         links, labels = proved(more, sets, percent, links)
     return heads, labels
 
