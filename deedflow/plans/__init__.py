@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching",)
+MODULES = ("matching", "timelines")
 
 
 def load_all() -> None:
