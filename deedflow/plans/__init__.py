@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "timelines")
+MODULES = ("matching", "timelines", "tables")
 
 
 def load_all() -> None:
