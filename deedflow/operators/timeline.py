@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from ..functions import labels
 from ..functions.dates import whole_months
 from ..functions.text import present
+from . import resolve
 from .slots import MATCH, OWNER, unpivot
 
 
@@ -61,8 +62,7 @@ def newest_first(*keys: str, tie: str = "id") -> Window:
 def owners(titles: DataFrame, matches: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
     """Long owner rows with their match and company columns: one unpivot and one join for each table, whatever
     the number of slots. matches is wide (id, ch_*_1..4) or long (id, slot, ...)."""
-    # The title's newest month is over all its rows, owners or not: take it before slots are dropped.
-    titles = titles.withColumn("title_max_month", F.max("file_month").over(Window.partitionBy("title_number")))
+    titles = _with_newest(titles)
     if matches is not None and "slot" not in matches.columns:
         return _with_company(unpivot(titles.join(matches, "id", "left"), {**OWNER, **MATCH}), companies)
     long = unpivot(titles)
@@ -71,6 +71,16 @@ def owners(titles: DataFrame, matches: DataFrame | None = None, companies: DataF
     return _with_company(long, companies)
 
 
+def resolved_owners(titles: DataFrame, companies: DataFrame, rules: resolve.Rules = resolve.PRODUCTION) -> DataFrame:
+    """owners() with matches made on the way: one scan of titles, and no join back to them."""
+    return _with_company(resolve.resolve(unpivot(_with_newest(titles)), companies, rules), companies)
+
+
+def _with_newest(titles: DataFrame) -> DataFrame:
+    """title_max_month is over all rows of a title, owners or not: it comes before slots are dropped."""
+    return titles.withColumn("title_max_month", F.max("file_month").over(Window.partitionBy("title_number")))
+
+
 def _with_company(long: DataFrame, companies: DataFrame | None) -> DataFrame:
     if companies is None or "matched_number" not in long.columns:
         return long

@@ -15,7 +15,7 @@ from ..catalog import table
 
 AS_OF = date(2001, 6, 30)
 TITLES = {
-    "id": "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string))",
+    "id": "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string), '-', cast(cast(round(l_extendedprice * 100) as bigint) as string))",
     "title_number": "concat('T', cast(l_partkey as string))",
     "file_month": "cast(date_trunc('month', l_shipdate) as date)",
     "dataset_type": "case when l_linestatus = 'F' then 'CCOD' else 'OCOD' end",

@@ -60,7 +60,7 @@ COLUMNS = "id, slot, title_number, CAST(file_month AS VARCHAR) AS file_month, pr
 
 
 def owners(spark, d):
-    return timeline.owners(titles(spark, d), matched(spark, d).select("id", "slot", "matched_name", "matched_number", "match_type", "confidence"), companies(spark, d))
+    return timeline.resolved_owners(titles(spark, d), companies(spark, d))
 
 
 def view(spark, d, name="corrected"):
@@ -114,11 +114,7 @@ def good_matches(spark, d):
 @query("current_simplified", f"""{TL} SELECT title_number, region, postcode, dataset_type, price_paid, CAST(max(file_month) AS VARCHAR) AS latest_file_month, count(DISTINCT proprietor_name) AS current_owner_count, string_agg(DISTINCT proprietor_name, '; ' ORDER BY proprietor_name) AS current_owners,
  string_agg(DISTINCT ch_company_name || ' (' || coalesce(matched_number, 'no number') || ')', '; ' ORDER BY ch_company_name || ' (' || coalesce(matched_number, 'no number') || ')') AS matched_companies, CAST(max(confidence) AS DOUBLE) AS best_match_confidence FROM tl WHERE {NOW} GROUP BY 1, 2, 3, 4, 5""")
 def current_simplified(spark, d):
-    return text_dates(timeline.current_simplified(_with_postcode(spark, d)))
-
-
-def _with_postcode(spark, d):
-    return view(spark, d)
+    return text_dates(timeline.current_simplified(view(spark, d)))
 
 
 @query("company_portfolio", f"""{TL} SELECT ch_company_name, matched_number AS company_number, ch_company_status AS company_status, count(DISTINCT CASE WHEN {NOW} THEN title_number END) AS current_properties, count(DISTINCT CASE WHEN ownership_status = 'Historical' THEN title_number END) AS historical_properties,

@@ -48,7 +48,7 @@ def file_facts(name: Column) -> dict[str, Column]:
     return {"dataset_type": part(1), "update_type": part(2), "file_month": F.try_to_date(F.concat(part(3), part(4)), "yyyyMM")}
 
 
-def parse_titles(raw: DataFrame, file_name: Column, keep_deletes: bool = False) -> DataFrame:
+def parse_titles(raw: DataFrame, file_name: Column, keep_deletes: bool = False, row_no: Column | None = None) -> DataFrame:
     """Snapshot rows with typed columns; rows of files whose names don't parse go."""
     columns = {new: text.clean(from_header(raw, old)) for old, new in PLAIN.items()}
     columns |= {new: from_header(raw, old) for old, new in FLAGS.items()}
@@ -58,7 +58,7 @@ def parse_titles(raw: DataFrame, file_name: Column, keep_deletes: bool = False)
         "date_proprietor_added": dates.snapshot_date(from_header(raw, "Date Proprietor Added")),
         "change_date": dates.snapshot_date(from_header(raw, "Change Date")),
         "source_filename": file_name,
-        "row_no": F.monotonically_increasing_id(),
+        "row_no": F.monotonically_increasing_id() if row_no is None else row_no,
     }
     parsed = raw.select(*[c.alias(n) for n, c in columns.items()], *[c.alias(n) for n, c in file_facts(file_name).items()])
     return drop_deletes(parsed.where("dataset_type is not null and file_month is not null"), keep_deletes)

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import dates
 from ..operators.upsert import upsert
 from ..sources.tables import write_partitions
-from ..sources.titles import KEY, LOAD_ORDER, parse_titles
+from ..sources.titles import KEY, LOAD_ORDER, from_header, parse_titles
 
 
 def upsert_batch(path: str, keys: list[str] = KEY, order: list[str] = LOAD_ORDER, by: str = "file_month"):
@@ -43,7 +44,8 @@ def title_files(spark: SparkSession, folder: str, columns: list[str]) -> DataFra
     raw = spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(folder)
     # A stream has no stable row number: within a file, the change date orders rows of one key.
     raw = raw.withColumn("_file", F.col("_metadata.file_name"))
-    return parse_titles(raw, F.col("_file")).withColumn("row_no", F.coalesce(F.unix_date("change_date"), F.lit(0)).cast("long"))
+    order = F.coalesce(F.unix_date(dates.snapshot_date(from_header(raw, "Change Date"))), F.lit(0)).cast("long")
+    return parse_titles(raw, F.col("_file"), row_no=order)
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
