@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from deedflow.llm import decontaminate as decontamination
 from deedflow.llm import jaccard_join, lang_id, packing, pii
-from deedflow.llm.common import cut, table
+from deedflow.llm.common import cut, drop_cut, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -73,9 +73,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = cut(docs)
-    return docs
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+        if before is not None:
+            drop_cut(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,12 +6,12 @@ import ctypes
 import gc
 import os
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "8m"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,16 +49,12 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@contextmanager
-def batches_of(spark: SparkSession, size: str = "8m") -> Iterator[None]:
-    """While jobs run inside, Arrow batches to Python workers hold about size bytes, not the session's setting."""
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches to Python workers of BATCH bytes, where the session has Spark's default (64 MB): with long texts,
+    a batch, its copies and its result decide a worker's memory."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    if spark.conf.get(name) in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(name, BATCH)
 
 
 def lean(run):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import batches_of, cut, lean, shuffle_width, table
+from .common import cut, drop_cut, lean, shuffle_width, small_batches, table
 from .components import components
 
 CELLS, CHUNKS = 1 << 23, 64
@@ -430,8 +430,8 @@ def proved(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | N
 
 def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id of every row; sets link at Jaccard similarity of percent / 100 or more."""
-    with batches_of(docs.sparkSession):
-        heads, labels = _linked(docs, k, percent, key, text)
+    small_batches(docs.sparkSession)
+    heads, labels = _linked(docs, k, percent, key, text)
     # Documents: a class of equal sets is one row until the end.
     classes = heads.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ends = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -473,6 +473,8 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
         rows = sets.select("node", "few").join(near(rows), "node")
         more = cut(rows.select("token", "node", "size", "pos", "comp", "few").repartition("token").mapInArrow(lean(_open_pairs(percent)), "x long, y long").distinct())
         links, labels = proved(more, sets, percent, links)
+    for done in (lists, sets):  # the large ones; nothing lazy reads them any more
+        drop_cut(done)
     return heads, labels
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import lean, table
+from .common import lean, small_batches, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
 ORDERS = (2, 3, 4)
@@ -168,6 +168,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
 
 def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns, lang_pred, score and rejected of every row."""
+    small_batches(docs.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     read = docs.select(*kept, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     return read.mapInArrow(lean(score_batches(model, kept)), f"{schema}, lang_pred string, score double, rejected boolean")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import lean, table
+from .common import lean, small_batches, table
 
 CAPACITY, PER_TASK = 2048, 8192
 
@@ -129,6 +129,7 @@ def _pack(capacity: int):
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_task: int = PER_TASK) -> DataFrame:
     """key, piece, start, length (words), bin_id, offset (in the bin): one row per piece. cluster names a column of
     duplicate classes; without one, texts with the same words are a class."""
+    small_batches(docs.sparkSession)
     kept = [F.col(key).alias("_key"), F.col(source).cast("string").alias("_source")] + ([F.col(cluster).cast("string").alias("_cluster")] if cluster else [])
     rows = docs.select(*kept, F.col(text).cast("string").alias("_t"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)

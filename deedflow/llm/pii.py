@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, table
+from .common import lean, small_batches, table
 
 KINDS = ("email", "iban", "ip", "card", "ssn", "phone", "date")
 ROUNDS = 10
@@ -252,6 +252,7 @@ def pseudonymise(text: str, swap: Callable[[str, str], str | None]) -> tuple[str
 
 def protect(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bool = True) -> DataFrame:
     """docs with text pseudonymised in place; with counts, also n_email .. n_date (long)."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     at = names.index(text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + "".join(f", _n_{k} long" for k in KINDS)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import cut, lean, table
+from .common import cut, lean, small_batches, table
 
 STATS = (
     "log_bytes log_words word_mean word_sd word_max distinct_words top_word distinct_4grams letters upper digits spaces punct symbols sentence_ends commas "
@@ -98,6 +98,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the array stats of every row."""
+    small_batches(docs.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(lean(_measure), f"{schema}, stats array<float>")
 
