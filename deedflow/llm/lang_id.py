@@ -144,10 +144,10 @@ def score_batches(model: Model, kept: list[str]):
                     part = np.add.reduceat(np.concatenate([model.table[bucket], np.zeros((1, c), np.float32)]), cuts, axis=0, dtype=np.float64)[::2]
                     total[a + some] += part
                     count[a + some] += hi[some] - lo[some]
-            ok = letter & (count > 0) & (c > 0)
+            ok = letter & (c > 0)  # a single byte has no n-gram: the bias alone decides
             lang, score = np.full(n, "und", object), np.zeros(n)
             if ok.any():
-                p = softmax(total[ok] / count[ok, None] + model.bias)
+                p = softmax(total[ok] / np.maximum(count[ok, None], 1) + model.bias)
                 lang[ok], score[ok] = np.array(model.langs, object)[p.argmax(axis=1)], p.max(axis=1)
             rejected = ~ok | (score < model.reject_below)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, "lang_pred", "score", "rejected"])
