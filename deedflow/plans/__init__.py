@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "timelines", "tables")
+MODULES = ("matching", "timelines", "tables", "basics")
 
 
 def load_all() -> None:

@@ -198,10 +198,10 @@ def psc_companies(spark, d):
     return psc.of_active_companies(psc.flatten(psc.parse_lines(_psc_lines(spark, d))[0]), companies(spark, d)).select("company_number", "name", "company_name")
 
 
-@query("clean_text", r"SELECT doc_id, nullif(trim(regexp_replace(regexp_replace(substr(text, 1, 200), '\s+', ' ', 'g'), '\x00', '', 'g')), '') AS tidy, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE nullif(trim(regexp_replace(substr(text, 1, 200), '\s+', ' ', 'g')), '') END AS tidy_none FROM documents")
+@query("clean_text", r"SELECT doc_id, nullif(trim(regexp_replace(text, '\s+', ' ', 'g')), '') AS tidy, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE nullif(trim(regexp_replace(text, '\s+', ' ', 'g')), '') END AS tidy_none FROM documents")
 def clean_text(spark, d):
-    head = F.substring("text", 1, 200)
-    return table(spark, d, "documents").select("doc_id", text.clean(head).alias("tidy"), text.clean_none(F.when(F.col("doc_id") % 9 == 0, " None ").otherwise(head)).alias("tidy_none"))
+    none = F.when(F.col("doc_id") % 9 == 0, " None ").otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", text.clean(F.col("text")).alias("tidy"), text.clean_none(none).alias("tidy_none"))
 
 
 @query("date_formats", """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS snapshot, CAST(CASE WHEN o_orderkey % 5 <> 4 THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS scraped, CAST(CASE WHEN o_orderkey % 3 <> 2 THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS iso FROM orders""")
