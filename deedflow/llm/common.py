@@ -9,6 +9,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH = "8m"
 
@@ -45,6 +46,11 @@ def drop_cut(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """df, marked for broadcast if it has so many rows at most."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import bounded, cut, table
 
 SPAN, GRAM = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -30,6 +30,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLACE = (1 << 28) - 1
 #: Benchmark fingerprints up to so many rows (about 300 bytes each with their context) are broadcast; more are shuffled.
 BROADCAST_ROWS = 200_000
+#: Keys of documents (16 bytes each) up to so many rows are broadcast to pick out their texts; for more, texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -130,7 +132,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         F.collect_set(F.when(F.col("_size") != 0, F.struct("_size", "_v"))).alias("met"),
     )
     heads = cut(heads)
-    again = base.join(heads.where(F.size("met") > 0).select(F.col("_key").alias("_k"), F.col("_text").alias("_t"), "met"), F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_text") == F.col("_t")))
+    hit = heads.where(F.size("met") > 0).select(F.col("_key").alias("_k"), F.col("_text").alias("_t"), "met")
+    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_text") == F.col("_t"))
+    again = base.join(bounded(hit.select("_k", "_t"), BROADCAST_KEYS), same, "left_semi").join(hit, same)
     reach = span - gram
     sides = let(
         words_of(F.col("_raw")),
@@ -160,8 +164,8 @@ def _with_words(w: Column, lengths: list[int], span: int, gram: int, any_item: b
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """docs without the rows that share a window with the benchmark."""
-    bad = contamination(docs, benchmark, key, text, item).where("n_hit > 0").select(F.col(key).alias("_k"), F.col("_text").alias("_t"))
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_t")), "left_anti")
+    bad = cut(contamination(docs, benchmark, key, text, item).where("n_hit > 0").select(F.col(key).alias("_k"), F.col("_text").alias("_t")))
+    return docs.join(bounded(bad, BROADCAST_KEYS), F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_t")), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

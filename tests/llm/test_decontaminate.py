@@ -60,6 +60,7 @@ def test_against_brute_force(spark):
 def test_shuffled_index_and_empty_tables(spark, monkeypatch):
     docs, items = corpus(2)
     monkeypatch.setattr(d, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(d, "BROADCAST_KEYS", -1)
     assert run(spark, docs, items) == brute(docs, items)
     assert run(spark, docs[:5], []) == brute(docs[:5], [])
     assert run(spark, [], items) == []
