@@ -4,7 +4,8 @@ A text is the average of the embeddings of its hashed byte n-grams (A-Z lowered,
 non-letters as one boundary each byte); a linear softmax over the average gives the language. Embedding and
 softmax multiply into one (buckets x languages) table after training, so scoring a text adds table rows.
 A fifth of the sample calibrates: a temperature for the probabilities, and the score below which a
-prediction is rejected (at most MAX_REJECT of the calibration rows, as few as reach TARGET accuracy).
+prediction is rejected (at most MAX_REJECT of the calibration rows, as few as reach TARGET accuracy, and never a
+prediction that is likelier right than wrong).
 
 Training uses a sample of labelled rows, SAMPLE expected at most, chosen by a hash of their id; everything else
 reads every whole text.
@@ -111,7 +112,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
         top, right = p.max(axis=1), p.argmax(axis=1) == y
         order = np.argsort(top)
         for cut in range(int(MAX_REJECT * len(y)) + 1):
-            model.reject_below = float(top[order[cut]]) if cut else 0.0
+            model.reject_below = min(0.5, float(top[order[cut]])) if cut else 0.0
             if right[order[cut:]].mean() >= TARGET:
                 break
     return model
