@@ -30,7 +30,7 @@ from .common import cut, table
 SCALE, K = 64, 20
 CANDIDATES, QUERIES = 4096, 1024
 #: The proof is tried when so many of the postings are done.
-TRY_AT = (0.5, 0.7, 0.85)
+TRY_AT = (0.8, 0.9)
 #: It ends the work when this share of the block, at most, is left possible.
 FEW = 0.08
 
