@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.labels import COMPANY_CATEGORIES, CONFIDENCE
+from .joins import spread
 
 
 @dataclass(frozen=True)
@@ -96,12 +97,9 @@ def resolve(owners: DataFrame, companies: DataFrame, rules: Rules = PRODUCTION)
     number = register_by_number(companies, rules)
     name = register_by_name(companies, rules).withColumnRenamed("name_key", "_k1")
     previous = register_by_previous_name(companies, rules).withColumnRenamed("name_key", "_k2")
-    # Empty keys stay out of the joins: they match nothing, and would be one hot key.
-    joined = (
-        keyed.join(number, F.when(F.col("_nk") != "", F.col("_nk")) == F.col("number_key"), "left")
-        .join(name, F.when(F.col("_mk") != "", F.col("_mk")) == F.col("_k1"), "left")
-        .join(previous, F.when(F.col("_mk") != "", F.col("_mk")) == F.col("_k2"), "left")
-    )
+    # Empty keys match nothing and would be one hot key: they are spread.
+    keyed = keyed.withColumns({"_nj": spread(F.col("_nk"), owners), "_mj": spread(F.col("_mk"), owners)})
+    joined = keyed.join(number, F.col("_nj") == F.col("number_key"), "left").join(name, F.col("_mj") == F.col("_k1"), "left").join(previous, F.col("_mj") == F.col("_k2"), "left")
     added = F.col("date_proprietor_added") if "date_proprietor_added" in owners.columns else F.lit(None).cast("date")
     by_name, name_ok, name_many = _chosen("by_name", rules, added)
     by_old, old_ok, old_many = _chosen("by_previous", rules, added)
@@ -150,7 +148,7 @@ def upgrade(matched: DataFrame, name_key: Callable[[Column], Column] = text.name
 def apply_scraped(matched: DataFrame, scraped: DataFrame) -> DataFrame:
     """Unmatched owners whose number was found since take the found name: scraped(company_number, company_name)."""
     found = scraped.where(text.present(F.col("company_number"))).groupBy(text.number_key(F.col("company_number")).alias("_k")).agg(F.max("company_name").alias("_found"))
-    key = F.when(F.col("match_type") == "Land_Registry", F.nullif(text.number_key(F.col("matched_number")), F.lit("")))
+    key = spread(F.when(F.col("match_type") == "Land_Registry", text.number_key(F.col("matched_number"))), matched)
     hit = F.col("_found").isNotNull()
     return (
         matched.withColumn("_key", key)
@@ -168,6 +166,7 @@ def match_by_spellings(owners: DataFrame, scraped: DataFrame) -> DataFrame:
     theirs = scraped.withColumn("_s", F.explode(text.number_spellings(F.col("company_number")))).groupBy("_s").agg(F.min("company_number").alias("_n1"))
     names = scraped.withColumn("_s", F.explode(F.array_union(F.array("company_name"), F.coalesce("previous_names", F.array().cast("array<string>")))))
     names = names.where(text.present(F.col("_s"))).groupBy(F.upper(text.strip(F.col("_s"))).alias("_u")).agg(F.min("company_number").alias("_n2"))
+    mine = mine.withColumn("_s", spread(F.col("_s"), owners))
     got = mine.join(theirs, "_s", "left").groupBy(*owners.columns).agg(F.min("_n1").alias("_n1")).join(names, F.upper(text.strip(F.col("proprietor_name"))) == F.col("_u"), "left")
     number = F.coalesce("_n1", "_n2")
     return got.select(*owners.columns, number.alias("company_number"), _confidence(F.when(F.col("_n1").isNotNull(), 1.0).when(F.col("_n2").isNotNull(), 0.9)).alias("confidence"))

@@ -22,6 +22,7 @@ from ..functions import labels
 from ..functions.dates import whole_months
 from ..functions.text import present
 from . import resolve
+from .joins import spread
 from .slots import MATCH, OWNER, unpivot
 
 
@@ -85,7 +86,7 @@ def _with_company(long: DataFrame, companies: DataFrame | None) -> DataFrame:
     if companies is None or "matched_number" not in long.columns:
         return long
     ch = companies.select(F.col("company_number").alias("_ch"), F.col("company_name").alias("ch_company_name"), F.col("company_status").alias("ch_company_status"))
-    return long.join(ch, F.col("matched_number") == F.col("_ch"), "left").drop("_ch")
+    return long.withColumn("_number", spread(F.col("matched_number"), long)).join(ch, F.col("_number") == F.col("_ch"), "left").drop("_ch", "_number")
 
 
 def in_scope(long: DataFrame, view: View, as_of: date) -> DataFrame:
@@ -243,7 +244,7 @@ def wide(titles: DataFrame, matches: DataFrame, companies: DataFrame) -> DataFra
     out = titles.join(matches, "id", "left")
     for i in range(1, 5):
         ch = companies.select(F.col("company_number").alias(f"_n{i}"), F.col("company_name").alias(f"_c{i}"))
-        out = out.join(ch, F.col(f"ch_matched_number_{i}") == F.col(f"_n{i}"), "left").withColumn(f"ch_company_name_{i}", F.coalesce(f"_c{i}", f"ch_matched_name_{i}")).drop(f"_n{i}", f"_c{i}")
+        out = out.withColumn("_key", spread(F.col(f"ch_matched_number_{i}"), titles)).join(ch, F.col("_key") == F.col(f"_n{i}"), "left").withColumn(f"ch_company_name_{i}", F.coalesce(f"_c{i}", f"ch_matched_name_{i}")).drop("_key", f"_n{i}", f"_c{i}")
     confidence = sum((F.coalesce(f"ch_match_confidence_{i}", F.lit(0).cast("decimal(3,2)")) for i in range(1, 5)), F.lit(0).cast("decimal(3,2)"))
     filled = sum((present(F.col(f"proprietor_{i}_name")).cast("int") for i in range(1, 5)), F.lit(0))
     return out.withColumns({"total_match_confidence": confidence.cast("decimal(4,2)"), "total_proprietor_count": filled})

@@ -70,3 +70,14 @@ def test_owners_from_stored_matches_agree_with_matches_on_the_way(spark):
     direct = sorted(map(str, timeline.resolved_owners(t, c).select(*columns).collect()))
     assert direct == sorted(map(str, timeline.owners(t, m.select("id", "slot", *slots.MATCH), c).select(*columns).collect()))
     assert direct == sorted(map(str, timeline.owners(t, slots.pivot(m, ["id"], slots.MATCH), c).select(*columns).collect()))
+
+
+def test_rows_without_a_key_are_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from deedflow.operators.joins import spread
+
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 2 == 0, "").alias("k"))
+    keys = rows.select(spread(F.col("k"), rows).alias("k"))
+    assert keys.distinct().count() > 1000 and keys.where("k is null or k = ''").count() == 0
+    assert spark.range(3).select(spread(F.lit("x"), spark.range(3)).alias("k")).distinct().count() == 1
