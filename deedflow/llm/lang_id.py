@@ -3,12 +3,20 @@
 A text is the average of the embeddings of its hashed byte n-grams (A-Z lowered, runs of other ASCII
 non-letters as one boundary each byte); a linear softmax over the average gives the language. Embedding and
 softmax multiply into one (buckets x languages) table after training, so scoring a text adds table rows.
-A fifth of the sample calibrates: a temperature for the probabilities, and the score below which a
-prediction is rejected (at most MAX_REJECT of the calibration rows, as few as reach TARGET accuracy, and never a
-prediction that is likelier right than wrong).
+Rows that training doesn't see calibrate (CALIBRATION and a fifth of SAMPLE expected at most; a fifth of a small table):
 
-Training uses a sample of labelled rows, SAMPLE expected at most, chosen by a hash of their id; everything else
-reads every whole text.
+- a temperature for the probabilities, by cross-entropy against smoothed labels (n + 1 of n + 2 right), so it stays finite
+  where every row is right;
+- an open-set score: the mean log share that the text's n-grams have in the training texts of the predicted language,
+  as a deviation from that of the language's calibration rows, over a spread that shrinks with the text's n-grams.
+
+A text is rejected where its language is likelier wrong than right, or where it is novel (random letters, languages that
+weren't learned): its deviation is below both -LEAST and the QUANTILE of the calibration rows, and its mean has come FAR
+of the way from the language's mean to that of n-grams drawn uniformly. With fewer than ENOUGH calibration rows (a
+thousand labelled rows) novelty isn't judged: so few say nothing of rare clean texts.
+
+Training and calibration use a sample of labelled rows, chosen by a hash of their id; everything else reads every
+whole text.
 
 Defined results: a null text or one without a letter is `und` with score 0 and is rejected; repeated rows get a
 row each; without labelled rows every prediction is `und`.
@@ -28,8 +36,8 @@ from . import textvec
 from .common import lean, small_batches, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
+CALIBRATION, QUANTILE, LEAST, FAR, ENOUGH = 5000, 0.001, 4.0, 0.25, 200
 ORDERS = (2, 3, 4)
-TARGET, MAX_REJECT = 0.999, 0.003
 SEGMENT = 1 << 18
 #: Other ASCII bytes than letters are one symbol.
 SYMBOL = textvec.LOWER.astype(np.uint32)
@@ -46,7 +54,7 @@ def ngrams(symbols: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """label, text -> label, distinct buckets and their share of the text's n-grams."""
+    """label, text -> label, distinct buckets, their share of the text's n-grams and the number of these."""
     for batch in batches:
         labels, rows = batch.column(0).to_pylist(), []
         data, offsets = textvec.flat(batch.column(1))
@@ -58,8 +66,8 @@ def sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     total += np.bincount(b[:SEGMENT], minlength=BUCKETS)
             idx = np.flatnonzero(total)
             if len(idx):
-                rows.append({"label": label, "idx": idx.astype(np.int32).tobytes(), "share": (total[idx] / total.sum()).astype(np.float32).tobytes()})
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("label", pa.string()), ("idx", pa.binary()), ("share", pa.binary())]))
+                rows.append({"label": label, "idx": idx.astype(np.int32).tobytes(), "share": (total[idx] / total.sum()).astype(np.float32).tobytes(), "n": int(total.sum())})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("label", pa.string()), ("idx", pa.binary()), ("share", pa.binary()), ("n", pa.int64())]))
 
 
 @dataclass
@@ -68,6 +76,18 @@ class Model:
     table: np.ndarray  # buckets x languages, divided by the temperature
     bias: np.ndarray
     reject_below: float
+    shares: np.ndarray | None = None  # buckets x languages, log; None: no open-set score
+    usual: np.ndarray | None = None  # languages x (mean, spread between texts, spread of one n-gram)
+    least: float = -np.inf
+
+    def novel(self, mean: np.ndarray, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        mu, uniform = self.usual[lang, 0], self.shares.mean(axis=0)[lang]
+        return (n > 0) & (self.deviation(mean, n, lang) < self.least) & (mean < mu - FAR * (mu - uniform))
+
+    def deviation(self, mean: np.ndarray, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Of texts of n n-grams with these mean log shares, in deviations of the language."""
+        mu, between, within = self.usual[lang].T
+        return (mean - mu) / np.sqrt(between + within / np.maximum(n, 1))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -75,22 +95,48 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
-    """Per-row SGD on the cross-entropy, the rate falling linearly; then calibration on every fifth row."""
+def temperature(z: np.ndarray, y: np.ndarray) -> float:
+    """The divisor of logits z with the least cross-entropy against smoothed labels y."""
+    n, c = z.shape
+    goal = np.full((n, c), 1 / (n + 2) / max(c - 1, 1))
+    goal[np.arange(n), y] = (n + 1) / (n + 2)
+
+    def loss(t):
+        x = z / t - (z / t).max(axis=1, keepdims=True)
+        return (goal * (np.log(np.exp(x).sum(axis=1, keepdims=True)) - x)).sum()
+
+    return float(min(np.geomspace(1e-3, 1e3, 241), key=loss))
+
+
+def spreads(off: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """(between texts, of one n-gram): squared deviations by least squares on 1 and 1 / n, weighted by n, none negative."""
+    w, x, y = np.sqrt(n), 1 / n, off**2
+    tiny = max(1e-6, 1e-3 * float((y * n).mean()))
+    (a, b), *_ = np.linalg.lstsq(np.stack([w, w * x], axis=1), w * y, rcond=None)
+    if a < 0:
+        a, b = 0.0, float(y.sum() / x.sum())
+    if b < 0:
+        a, b = float(y.mean()), 0.0
+    return max(a, 1e-6), max(b, tiny)
+
+
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seed: int = 7, most: int = SAMPLE) -> Model:
+    """Per-row SGD on the cross-entropy, the rate falling linearly, on four fifths of the rows, or of most if there are
+    more; then calibration on the others."""
     langs = sorted({r[0] for r in rows})
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
     rnd = np.random.default_rng(seed)
     rows = [rows[i] for i in rnd.permutation(len(rows))]
-    held = rows[::5] if len(rows) >= 50 else []
-    train = [r for i, r in enumerate(rows) if i % 5 or not held]
+    size = min(len(rows), most) * 4 // 5 if len(rows) >= 50 else len(rows)
+    train, held = rows[:size], rows[size:]
     place = {x: i for i, x in enumerate(langs)}
     emb = rnd.uniform(-1, 1, (BUCKETS, DIM)).astype(np.float32) / DIM
     out, bias = np.zeros((len(langs), DIM), np.float32), np.zeros(len(langs), np.float32)
     steps, t = EPOCHS * len(train), 0
     for _ in range(EPOCHS):
         for i in rnd.permutation(len(train)):
-            label, idx, share = train[i]
+            label, idx, share, _ = train[i]
             rate = RATE * (1 - t / steps)
             avg = share @ emb[idx]
             err = softmax(out @ avg + bias)
@@ -103,18 +149,24 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
     grid = emb @ out.T
     model = Model(langs, grid, bias, 0.0)
     if held:
-        z = np.array([s @ grid[i] + bias for _, i, s in held])
+        z = np.array([s @ grid[i] + bias for _, i, s, _ in held])
         y = np.array([place[r[0]] for r in held])
-        loss = lambda c: -np.log(softmax(z / c)[np.arange(len(y)), y] + 1e-9).mean()
-        temp = min(np.geomspace(0.2, 5, 40), key=loss)
+        temp = temperature(z, y)
         model.table, model.bias = (grid / temp).astype(np.float32), bias / temp
-        p = softmax(z / temp)
-        top, right = p.max(axis=1), p.argmax(axis=1) == y
-        order = np.argsort(top)
-        for cut in range(int(MAX_REJECT * len(y)) + 1):
-            model.reject_below = min(0.5, float(top[order[cut]])) if cut else 0.0
-            if right[order[cut:]].mean() >= TARGET:
-                break
+        model.reject_below = 0.5 if len(langs) > 1 else 0.0
+    if len(held) >= ENOUGH:
+        seen = np.full((BUCKETS, len(langs)), 0.5)
+        for label, idx, share, n in train:
+            seen[idx, place[label]] += share * n
+        model.shares = np.log(seen / seen.sum(axis=0)).astype(np.float32)
+        top, n = z.argmax(axis=1), np.array([r[3] for r in held], np.float64)
+        mean = np.array([s @ model.shares[i, t] for (_, i, s, _), t in zip(held, top, strict=True)], np.float64)
+        model.usual = np.zeros((len(langs), 3))
+        for k in range(len(langs)):
+            own = top == k if (top == k).sum() >= 20 else np.ones(len(top), bool)  # too few: as over all languages
+            mu = float((mean[own] * n[own]).sum() / n[own].sum())
+            model.usual[k] = mu, *spreads(mean[own] - mu, n[own])
+        model.least = min(-LEAST, float(np.quantile(model.deviation(mean, n, top), QUANTILE, method="lower")))
     return model
 
 
@@ -122,11 +174,13 @@ def score_batches(model: Model, kept: list[str]):
     """Scorer of batches (kept..., text, has a letter)."""
 
     def run(batches):
+        # One table of both, so that a text's n-grams are looked up once.
+        grid = model.table if model.shares is None else np.concatenate([model.table, model.shares], axis=1)
         for batch in batches:
             data, offsets = textvec.flat(batch.column(len(kept)))
             letter = batch.column(len(kept) + 1).to_numpy(zero_copy_only=False).astype(bool)
             n, c = len(letter), len(model.langs)
-            total, count = np.zeros((n, c)), np.zeros(n)
+            total, count = np.zeros((n, grid.shape[1])), np.zeros(n)
             longest = max(ORDERS) - 1
             for at in range(int(offsets[0]), int(offsets[-1]), SEGMENT):
                 end = min(at + SEGMENT + longest, int(offsets[-1]))
@@ -142,29 +196,33 @@ def score_batches(model: Model, kept: list[str]):
                     # sums over [lo, hi) of each text: every other slice of reduceat
                     cuts = np.empty(2 * len(some), np.int64)
                     cuts[::2], cuts[1::2] = lo[some] - at, hi[some] - at
-                    part = np.add.reduceat(np.concatenate([model.table[bucket], np.zeros((1, c), np.float32)]), cuts, axis=0, dtype=np.float64)[::2]
+                    part = np.add.reduceat(np.concatenate([grid[bucket], np.zeros((1, grid.shape[1]), np.float32)]), cuts, axis=0, dtype=np.float64)[::2]
                     total[a + some] += part
                     count[a + some] += hi[some] - lo[some]
             ok = letter & (c > 0)  # a single byte has no n-gram: the bias alone decides
             lang, score = np.full(n, "und", object), np.zeros(n)
             if ok.any():
-                p = softmax(total[ok] / np.maximum(count[ok, None], 1) + model.bias)
-                lang[ok], score[ok] = np.array(model.langs, object)[p.argmax(axis=1)], p.max(axis=1)
+                mean = total[ok] / np.maximum(count[ok, None], 1)
+                p = softmax(mean[:, :c] + model.bias)
+                top = p.argmax(axis=1)
+                lang[ok], score[ok] = np.array(model.langs, object)[top], p.max(axis=1)
             rejected = ~ok | (score < model.reject_below)
+            if ok.any() and model.shares is not None:
+                rejected[ok] |= model.novel(mean[np.arange(len(top)), c + top], count[ok], top)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, "lang_pred", "score", "rejected"])
 
     return run
 
 
 def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit on the rows of docs where learn holds and the label isn't null, sample of them expected at most."""
+    """Fit on the rows of docs where learn holds and the label isn't null, sample of them and CALIBRATION expected at most."""
     usable = docs.where(learn & F.col(lang).isNotNull())
     n = usable.count()
-    share = int(min(1.0, sample / max(n, 1)) * (1 << 30))
+    share = int(min(1.0, (sample + CALIBRATION) / max(n, 1)) * (1 << 30))
     chosen = usable.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share).where(F.col(text).rlike(r"\p{L}"))
-    got = chosen.select(F.col(lang).cast("string"), F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary").collect()
+    got = chosen.select(F.col(lang).cast("string"), F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary, n long").collect()
     got = sorted(got, key=lambda r: (r.label, bytes(r.idx), bytes(r.share)))
-    return fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32)) for r in got])
+    return fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32), r.n) for r in got], most=sample)
 
 
 def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text") -> DataFrame:

@@ -52,6 +52,25 @@ def test_language_without_labels_or_rows(spark, path):
     assert lang_id.predict(docs.limit(0), model, ["doc_id"]).collect() == []
 
 
+def test_language_rejects_random_letters_and_unlearned_languages(spark):
+    rnd = random.Random(11)
+    junk = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(rnd.randint(5, 60))) for _ in range(100)]
+    data = [(i, t, g) for i, t, g, good in rows(4, 4000) if good]
+    docs = spark.createDataFrame([(i, t, None if g == "de" else g) for i, t, g in data] + [(9000 + i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string")
+    model = lang_id.train(docs, F.col("doc_id") % 3 != 1)
+    got = {r.doc_id: r.rejected for r in lang_id.predict(docs, model, ["doc_id"]).collect()}
+    share = lambda ids: np.mean([got[i] for i in ids])
+    assert share(range(9000, 9100)) == 1.0
+    assert share([i for i, _, g in data if g == "de"]) >= 0.9
+    assert share([i for i, _, g in data if g != "de" and i % 3 == 1]) <= 0.01
+
+
+def test_temperature_stays_finite_where_every_row_is_right():
+    y = np.arange(300) % 3
+    z = 5.0 * np.eye(3)[y]
+    assert 1e-2 < lang_id.temperature(z, y) < 1e2
+
+
 def test_segments_add_up(monkeypatch):
     rnd = random.Random(3)
     texts = ["".join(rnd.choice("abcé .") for _ in range(rnd.randint(0, 90))) for _ in range(60)]
