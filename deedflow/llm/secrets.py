@@ -2,8 +2,10 @@ r"""Secret scans: base patterns, and character Markov models of random strings a
 
 Three base patterns (assignments, access keys, hex runs) are matched leftmost and non-overlapping, each kind by
 itself, and matches that are too short are dropped afterwards. The method adds `markov` spans: candidate strings of
-CANDIDATE that overlap no base span and whose characters are likelier under a Markov model of random strings than
-under one of ordinary identifiers, by a log-likelihood ratio of THRESHOLD at least in all and MARGIN per transition. Both models
+CANDIDATE have parts that are likelier under a Markov model of random strings than under one of ordinary identifiers:
+a running sum of the transitions' log-likelihood ratios starts again where it would fall under 0, and the part up to
+its peak is a span, where it reaches THRESHOLD and MARGIN per transition, once the sum has fallen DROP from the peak
+(or the candidate ends); it goes on to the ends of the letters and digits around it. So words before or after a key don't average it away. A span must overlap no base span. Both models
 are character bigram counts (add-one smoothed) over a labelled sample; counting and scoring are DataFrame
 operations, and the fitted table has alphabet-squared cells, whatever the corpus.
 
@@ -30,7 +32,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 WIDE = len(ALPHABET) + 1  # 0: any other character
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-THRESHOLD, MARGIN = 12.0, 0.6
+THRESHOLD, MARGIN, DROP = 12.0, 0.6, 6.0
 SPANS = "array<struct<kind:int,start:int,end:int,match:string>>"
 
 
@@ -131,15 +133,50 @@ def fit(sample: DataFrame) -> list[float]:
 
 
 def markov_spans(text: Column, ratios: list[float]) -> Column:
-    """Candidates that the models call random."""
+    """Parts of candidates that the models call random."""
     grid = F.expr(f"cast(split('{' '.join(f'{x:.5f}' for x in ratios)}', ' ') as array<double>)")
 
-    def random_enough(s):
-        cells = transitions(s["match"])
-        score = F.aggregate(cells, F.lit(0.0), lambda acc, c: acc + F.get(grid, c))
-        return (score >= THRESHOLD) & (score >= MARGIN * (F.length(s["match"]) - 1))
+    none = F.array().cast("array<struct<a:int,b:int>>")
 
-    return F.filter(found(text, CANDIDATE, 3), random_enough)
+    def walked(cells):
+        """Parts of a candidate as (first transition, transition after the last)."""
+        zero, no = F.lit(0.0), F.lit(0)
+
+        def state(at, total, start, peak, end, out):
+            return F.struct(at.alias("at"), total.alias("sum"), start.alias("start"), peak.alias("peak"), end.alias("end"), out.alias("out"))
+
+        def closed(x):
+            good = (x["peak"] >= THRESHOLD) & (x["peak"] >= MARGIN * (x["end"] - x["start"]))
+            return F.when(good, F.concat(x["out"], F.array(F.struct(x["start"].alias("a"), x["end"].alias("b"))))).otherwise(x["out"])
+
+        def step(x, c):
+            at = x["at"] + 1
+
+            def moved(total):
+                over = (total <= 0) | (total < x["peak"] - DROP)
+                return F.when(over, state(at, zero, at, zero, at, closed(x))).when(total > x["peak"], state(at, total, x["start"], total, at, x["out"])).otherwise(state(at, total, x["start"], x["peak"], x["end"], x["out"]))
+
+            return let(x["sum"] + F.get(grid, c), moved)
+
+        return F.aggregate(cells, state(no, zero, no, zero, no, none), step, closed)
+
+    def parts(s):
+        def whole(p):
+            """To the ends of the letters and digits around a part, which belong to the same string."""
+            before, after = F.substring(s["match"], F.lit(1), p["a"]), F.substring(s["match"], p["b"] + 2, F.length(s["match"]))
+            return F.struct((p["a"] - F.length(F.regexp_extract(before, "[A-Za-z0-9]*$", 0))).alias("a"), (p["b"] + 1 + F.length(F.regexp_extract(after, "^[A-Za-z0-9]*", 0))).alias("b"))
+
+        def joined(out, p):
+            last = F.get(out, F.size(out) - 1)
+            one = F.struct(last["a"].alias("a"), F.greatest(last["b"], p["b"]).alias("b"))
+            return F.when((F.size(out) > 0) & (p["a"] <= last["b"]), F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(one))).otherwise(F.concat(out, F.array(p)))
+
+        def span(p):
+            return F.struct(s["kind"].alias("kind"), (s["start"] + p["a"]).alias("start"), (s["start"] + p["b"]).alias("end"), F.substring(s["match"], p["a"] + 1, p["b"] - p["a"]).alias("match"))
+
+        return F.transform(F.aggregate(F.transform(walked(transitions(s["match"])), whole), none, joined), span)
+
+    return F.flatten(F.transform(found(text, CANDIDATE, 3), parts))
 
 
 def listed(spans: Column) -> Column:

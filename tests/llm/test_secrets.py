@@ -48,6 +48,24 @@ def test_markov_models_tell_random_strings_from_identifiers(spark, ratios):
     assert got[hit][1] == f"markov:4:{4 + len(keys[hit])}"
 
 
+def test_keys_joined_to_words_are_found(spark, ratios):
+    rnd = random.Random(6)
+    words = lambda n, by: by.join(rnd.choice(s.WORDS) for _ in range(n))
+    key = lambda n: "".join(rnd.choice(s.ALPHABET[:62]) for _ in range(n))
+    cases = []
+    for i in range(200):
+        before, after = (words(2 + i % 12, "/") + "/", words(3, "_") + "_value=", "", words(4, "-") + "-")[i % 4], ("", "/" + words(3, "/"), "_" + words(6, "_"))[i % 3]
+        cases.append((before, key(24 + i % 9), after))
+    got = run(spark, ["see " + "".join(c) + " here" for c in cases], ratios)
+    spans = [[tuple(map(int, x.split(":")[1:])) for x in got[i][1].split(",") if "markov" in x] for i in range(len(cases))]
+    whole = [any(a <= 4 + len(b) and 4 + len(b) + len(k) <= e for a, e in spans[i]) for i, (b, k, _) in enumerate(cases)]
+    assert sum(whole) >= 0.97 * len(cases)
+    # a span may take in a neighbouring word, not the run
+    assert sum(e - a for x in spans for a, e in x) <= 1.3 * sum(len(k) for _, k, _ in cases)
+    two = key(30), key(30)
+    assert run(spark, [f"{two[0]}/module/handler/response/{two[1]}"], ratios)[0][1].count("markov") == 2
+
+
 def test_query_columns_and_empty_table(spark, ratios, tmp_path):
     spark.createDataFrame([(1, None), (2, "password=hunter22x"), (2, "password=hunter22x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = sorted(map(tuple, s.op9_secret_scan(spark, str(tmp_path)).collect()))
