@@ -9,6 +9,8 @@ its peak is a span, where it reaches THRESHOLD and MARGIN per transition, once t
 are character bigram counts (add-one smoothed) over a labelled sample; counting and scoring are DataFrame
 operations, and the fitted table has alphabet-squared cells, whatever the corpus.
 
+Digits alone, of any length, aren't spans: pairs of characters don't tell random digits from ordinary numbers.
+
 Positions are code points. They come from the pieces between the matches (split) and the matches' own lengths.
 
 Defined results: a null text is empty; texts without spans give zero counts, the hash of nothing and an empty list;
@@ -31,7 +33,7 @@ HEX = r"[0-9a-f]{24,}"  # the maximal runs of [0-9a-f]+ that are long enough: sh
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 WIDE = len(ALPHABET) + 1  # 0: any other character
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"  # shorter ones hardly reach THRESHOLD
 THRESHOLD, MARGIN, DROP = 12.0, 0.6, 6.0
 SPANS = "array<struct<kind:int,start:int,end:int,match:string>>"
 
@@ -81,8 +83,8 @@ WORDS = (
 
 
 def labelled_sample(spark: SparkSession, size: int = 3000) -> DataFrame:
-    """(text, secret): random strings over hex-free, base64 and mixed alphabets, and identifiers joined from WORDS in
-    the usual styles, all from a fixed rule."""
+    """(text, secret): random strings over mixed, base64, one-case, upper-case hex and digit alphabets, and identifiers
+    joined from WORDS in the usual styles, all from a fixed rule."""
 
     def digits(i, salt):
         return int.from_bytes(hashlib.sha512(f"{salt}:{i}".encode()).digest(), "big")
@@ -94,10 +96,12 @@ def labelled_sample(spark: SparkSession, size: int = 3000) -> DataFrame:
             out.append(alphabet[r])
         return "".join(out)
 
+    numerals = ALPHABET[52:62]
+    alphabets = (ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:26] + numerals, ALPHABET[:6] + numerals, numerals)
     rows = []
     for i in range(size):
         x = digits(i, "random")
-        rows.append((draw((ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:26] + ALPHABET[52:62])[i % 4], 24 + i % 17, x), True))
+        rows.append((draw(alphabets[i % 6], 24 + i % 17, x), True))
         y, n = digits(i, "words"), 2 + i % 4
         parts = [WORDS[(y >> (12 * k)) % len(WORDS)] for k in range(n)]
         style = i % 7

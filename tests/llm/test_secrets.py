@@ -66,6 +66,19 @@ def test_keys_joined_to_words_are_found(spark, ratios):
     assert run(spark, [f"{two[0]}/module/handler/response/{two[1]}"], ratios)[0][1].count("markov") == 2
 
 
+def test_short_keys_and_upper_case_hex(spark, ratios):
+    rnd = random.Random(8)
+    draw = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    groups = {n: [draw(s.ALPHABET[:62], n) for _ in range(100)] for n in (12, 16, 19)} | {n: [draw("0123456789ABCDEF", n) for _ in range(100)] for n in (20, 32)}
+    plain = ["HTTPServerConnectionFactory", "2024-01-15T10-11-12", "IMG_20240115_101112", "user_id_1234567890", "4111111111111111", "org/apache/spark/sql/catalyst", "ThreadPoolExecutor"]
+    texts = [k for g in groups.values() for k in g] + plain
+    got = run(spark, [f"see {k} here" for k in texts], ratios)
+    found = ["markov" in got[i][1] for i in range(len(texts))]
+    shares = {n: sum(found[100 * i : 100 * i + 100]) for i, n in enumerate(groups)}
+    assert all(shares[n] >= least for n, least in {12: 50, 16: 80, 19: 90, 20: 88, 32: 95}.items()), shares
+    assert not any(found[500:])
+
+
 def test_query_columns_and_empty_table(spark, ratios, tmp_path):
     spark.createDataFrame([(1, None), (2, "password=hunter22x"), (2, "password=hunter22x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = sorted(map(tuple, s.op9_secret_scan(spark, str(tmp_path)).collect()))
