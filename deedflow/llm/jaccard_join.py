@@ -440,6 +440,12 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def classes(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """node, comp of every set (see set_ids) with a link to another, marked for broadcast if it is small."""
+    small_batches(docs.sparkSession)
+    return near(_linked(docs, k, percent, key, text)[1])
+
+
 def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(id, n, node of every row; node, comp of every node with a link), both in the shared folder."""
     spark = docs.sparkSession

@@ -2,7 +2,8 @@
 
 Texts go into bins of CAPACITY words. A text longer than that fills bins of its own with full pieces and leaves a
 remainder, which is packed like a short text. No bin holds two pieces of one source or of one duplicate
-cluster (by default texts with the same words). In each task, open bins are kept in the order of their residual, with a
+cluster (by default texts with the same words; with near, groups of texts linked at a Jaccard similarity of shingles, as the
+join finds them over the whole table). In each task, open bins are kept in the order of their residual, with a
 bitmap of the sources and one of the duplicate clusters they hold. Pieces go by descending size: the search begins
 at the smallest residual that is enough and goes on through the successors until the tightest compatible bin is
 found; without one a bin is opened. There is no limit on the search or on bins.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textvec
 from .common import lean, small_batches, table
+from .jaccard_join import classes, set_ids
 
 CAPACITY, PER_TASK = 2048, 8192
 
@@ -47,12 +49,23 @@ def sequence_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return count, textvec.mix(out)
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parts = [sequence_hashes(d, o) for _, d, o in textvec.groups(batch.column(batch.num_columns - 1))]
-        count = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-        seq = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(count), pa.array(seq.view(np.int64))], names=[*batch.schema.names[:-1], "n_words", "words_hash"])
+def _sizes(k: int | None):
+    """Number of words and, in place of the text, the hash of the word sequence, or the id of the set of k-word shingles."""
+
+    def one(data, offsets):
+        count, seq = sequence_hashes(data, offsets)
+        if not k:
+            return count, seq.view(np.int64)
+        return count, set_ids(*textvec.shingle_sets(data, offsets, k), len(offsets) - 1)[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [one(d, o) for _, d, o in textvec.groups(batch.column(batch.num_columns - 1))]
+            count = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+            ids = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(count), pa.array(ids)], names=[*batch.schema.names[:-1], "n_words", "words_hash"])
+
+    return run
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[tuple[int, int]]:
@@ -126,14 +139,18 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_task: int = PER_TASK) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_task: int = PER_TASK, near: tuple[int, int] | None = None) -> DataFrame:
     """key, piece, start, length (words), bin_id, offset (in the bin): one row per piece. cluster names a column of
-    duplicate classes; without one, texts with the same words are a class."""
+    duplicate classes; without one, near-copies linked at near = (words of a shingle, percent) are a class, or, without that,
+    texts with the same words."""
     small_batches(docs.sparkSession)
     kept = [F.col(key).alias("_key"), F.col(source).cast("string").alias("_source")] + ([F.col(cluster).cast("string").alias("_cluster")] if cluster else [])
     rows = docs.select(*kept, F.col(text).cast("string").alias("_t"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)
-    sized = rows.mapInArrow(lean(_sizes), f"{schema}, n_words long, words_hash long")
+    sized = rows.mapInArrow(lean(_sizes(None if cluster or not near else near[0])), f"{schema}, n_words long, words_hash long")
+    if near and not cluster:
+        # By set, not by id: rows of one id may differ. Only sets with a link have a row.
+        sized = sized.join(classes(docs, *near, key, text).select(F.col("node").alias("words_hash"), "comp"), "words_hash", "left").withColumn("words_hash", F.coalesce("comp", "words_hash"))
     # Texts without words have no duplicates.
     dup = F.col("_cluster") if cluster else F.when(F.col("n_words") > 0, F.col("words_hash").cast("string"))
     tasks = max(1, math.ceil(docs.count() / per_task))
@@ -143,4 +160,4 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), near=(5, 80))

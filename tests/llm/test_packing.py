@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
-from deedflow.llm.packing import best_fit, pack
+from deedflow.llm.packing import best_fit, op2_packing, pack
+from tests.llm.test_jaccard_join import brute as brute_groups
 
 
 def brute(sizes, sources, clusters, capacity):
@@ -54,3 +56,26 @@ def test_whole_texts_and_conflicts(spark):
     assert pack(docs.limit(0)).collect() == []
     again = pack(docs, capacity=100, per_task=100).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_near_copies_never_share_a_bin(spark, tmp_path):
+    rnd = random.Random(7)
+    word = lambda: "w%d" % rnd.randint(0, 400)
+    rows = []
+    for i in range(40):
+        text = [word() for _ in range(60)]
+        for j in range(5):  # a chain: each a near copy of the one before
+            rows.append((5 * i + j, " ".join(text), f"s{5 * i + j}"))
+            text = text[:-2] + [word(), word()] if j % 2 else [word(), word()] + text[2:]
+    rows += [(900, None, "n"), (901, "", "m"), (902, "one two", "k"), (903, "ONE two", "l"), (None, rows[0][1], "z")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op2_packing(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    groups = {d: c for d, _, c in brute_groups([(d, t) for d, t, _ in rows if d is not None], 5, 80)} | {None: 0}
+    assert len(set(groups.values())) < len(rows) - 100
+    bins = {}
+    for r in got:
+        if r.bin_id is not None:
+            bins.setdefault(r.bin_id, []).append(groups[r.doc_id])
+    assert all(len(set(b)) == len(b) for b in bins.values())
+    assert max(map(len, bins.values())) > 20
