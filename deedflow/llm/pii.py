@@ -156,6 +156,14 @@ def ssn(fe: Feistel, m: str, back: bool = False) -> str | None:
     return f"{area + (area >= 666):03d}-{got[1] + 1:02d}-{got[2] + 1:04d}"
 
 
+#: Country codes of two digits (ITU-T E.164); 1 and 7 have one, all others three.
+TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def country_code(digits: str) -> str:
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGITS else digits[:3]
+
+
 def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
     d = digits_of(m)
     local = d[1:] if m.startswith("+1") and len(d) == 11 else d if len(d) == 10 and not m.startswith("+") else None
@@ -163,8 +171,7 @@ def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
         return spread(m, d[: len(d) - 10] + "".join(map(str, fe.mixed([int(c) for c in local], [10] * 10, "phone", back))))
     if not m.startswith("+") or m.startswith("+1") or not 8 <= len(d) <= 15:
         return None
-    lead = re.match(r"\+([0-9]{1,3})(?![0-9])", m)
-    code = lead[1] if lead else d[:2]
+    code = country_code(d)
     rest = d[len(code) :]
     return spread(m, code + "".join(map(str, fe.mixed([int(c) for c in rest], [10] * len(rest), f"phone{code}", back))))
 

@@ -49,6 +49,14 @@ def test_links_across_layouts_and_documents():
     assert iban_check(new[:2], new[4:]) == new[2:4]
 
 
+@pytest.mark.parametrize("spaced", ["+353 1 234 5678", "+7 495 123 45 67", "+44 20 7946 0958", "+1 212 555 1234", "+971-4-123-4567", "+33 1 23 45 67 89"])
+def test_international_numbers_link_across_layouts(spaced):
+    flat = "+" + pii.digits_of(spaced)
+    new = swap("phone", spaced)
+    assert "+" + pii.digits_of(new) == swap("phone", flat) != flat
+    assert MAPS["phone"](FE, new, back=True) == spaced
+
+
 @pytest.mark.parametrize("text", ["", "no data", "version 1.2.3", "4562298812442146", "2023-02-30", "999.1.1.1", "000-12-3456", "@", "a@b", "x" * 100_000 + "@", "12345678901234567890123", "é" * 1000, "AB12CD", "1.2.3.4.5"])
 def test_clean_texts_stay(text):
     assert pseudonymise(text, swap) == (text, {})
