@@ -9,6 +9,9 @@ another layout, such as a card number with spaces) get equal pseudonyms in every
 The permutation works on Z_a x Z_b by modular addition, ROUNDS times, with keyed BLAKE2b as the round function; it is a
 bijection for any a and b. Sets that don't factor are walked in cycles inside a slightly larger one.
 
+Punctuation around a value doesn't matter, only a number or word that goes on; of a match that isn't valid, its beginnings are
+tried. Ten digits without a + are a telephone number if they begin with 2 to 9, or have dots or hyphens.
+
 Where values overlap, the earlier kind in KINDS wins, then the leftmost. Text outside valid values isn't touched.
 Defined results: a null text stays null; an empty one stays empty; every row gives a row.
 """
@@ -167,8 +170,10 @@ def country_code(digits: str) -> str:
 def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
     d = digits_of(m)
     local = d[1:] if m.startswith("+1") and len(d) == 11 else d if len(d) == 10 and not m.startswith("+") else None
-    if local:  # ten digits in a North American layout; the country code stays
-        return spread(m, d[: len(d) - 10] + "".join(map(str, fe.mixed([int(c) for c in local], [10] * 10, "phone", back))))
+    if local:  # ten digits in a North American layout; the country code stays, and so does whether they begin with 0 or 1
+        low = 0 if local[0] in "01" else 2
+        got = fe.mixed([int(local[0]) - low, *map(int, local[1:])], [8 if low else 2] + [10] * 9, f"phone{low}", back)
+        return spread(m, d[: len(d) - 10] + str(got[0] + low) + "".join(map(str, got[1:])))
     if not m.startswith("+") or m.startswith("+1") or not 8 <= len(d) <= 15:
         return None
     code = country_code(d)
@@ -193,23 +198,26 @@ def calendar(fe: Feistel, m: str, back: bool = False) -> str | None:
     if not FIRST <= value <= LAST:
         return None
     got = FIRST + timedelta(fe.index((value - FIRST).days, (LAST - FIRST).days + 1, "date", back))
+    # A layout without leading zeros stays one; where both parts have two digits anyway, it can't be told.
+    wide = 2 if all(len(x) >= 2 for x in parts) else 1
     if year_first:
-        return f"{got.year}{sep}{got.month:02d}{sep}{got.day:02d}"
+        return f"{got.year}{sep}{got.month:0{wide}d}{sep}{got.day:0{wide}d}"
     # A month-first layout that would read as day-first keeps its meaning only where the day says so.
     a, b = (got.month, got.day) if month_first and got.day > 12 else (got.day, got.month)
-    return f"{a:02d}{sep}{b:02d}{sep}{got.year}"
+    return f"{a:0{wide}d}{sep}{b:0{wide}d}{sep}{got.year}"
 
 
-START, END = r"(?<![A-Za-z0-9_.+-])", r"(?![A-Za-z0-9_])(?![.\-/][0-9])"
+# Only a word or a number that goes on forbids a value: other punctuation may stand on both sides.
+START, END = r"(?<![A-Za-z0-9_+])(?<![0-9][.-])", r"(?![A-Za-z0-9_])(?![.\-/][0-9])"
 LOCAL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?")
 DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}))*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
 PATTERNS = {
     "iban": re.compile(START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + END),
-    "ip": re.compile(START + r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}" + END),
+    "ip": re.compile(r"(?<![A-Za-z0-9_+])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9_])(?!\.[0-9])"),
     "card": re.compile(START + r"[2-6](?:[0-9]{12,18}|[0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{3}([ -])[0-9]{6}\2[0-9]{5})" + END),
     "ssn": re.compile(START + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END),
-    "phone": re.compile(r"(?<![A-Za-z0-9_.+-])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,5}\)?){1,5})" + END),
-    "date": re.compile(START + r"(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})" + END),
+    "phone": re.compile(START + r"(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[2-9][0-9]{2} [0-9]{3} [0-9]{4}|[2-9][0-9]{9}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,5}\)?){1,5})" + END),
+    "date": re.compile(START + r"(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?!\1[0-9])|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}(?!\2[0-9]))(?:(?![A-Za-z0-9_])|(?=T[0-9]))"),
 }
 MAPS = {"email": email, "iban": iban, "ip": ip, "card": card, "ssn": ssn, "phone": phone, "date": calendar}
 
@@ -230,20 +238,36 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def values(kind: str, text: str, swap: Callable[[str, str], str | None]) -> Iterator[tuple[int, int, str | None]]:
+    """(start, end, pseudonym) of valid values, leftmost first. Where a match isn't valid, its beginnings up to a separator
+    are tried, the longest first."""
+    if kind == "email":
+        yield from ((a, b, swap(kind, text[a:b])) for a, b in emails(text))
+        return
+    pattern, at = PATTERNS[kind], 0
+    while m := pattern.search(text, at):
+        a, b = m.span()
+        for end in [b, *(i for i in range(b - 1, a, -1) if text[i] in " .-")]:
+            if (end == b or pattern.fullmatch(text, a, end)) and (new := swap(kind, text[a:end])) is not None:
+                yield a, end, new
+                at = end
+                break
+        else:
+            at = a + 1
+
+
 def pseudonymise(text: str, swap: Callable[[str, str], str | None]) -> tuple[str, dict[str, int]]:
     """The text with swap(kind, value) in place of every valid value, and the number of each kind."""
     taken: list[tuple[int, int, str]] = []
     counts: dict[str, int] = {}
     for kind in KINDS:
-        spans = list(emails(text)) if kind == "email" else [m.span() for m in PATTERNS[kind].finditer(text)]
         fresh = []
         known, k = sorted(taken), 0
-        for a, b in spans:
+        for a, b, new in values(kind, text, swap):
             while k < len(known) and known[k][1] <= a:
                 k += 1
             if k < len(known) and known[k][0] < b:
                 continue
-            new = swap(kind, text[a:b])
             if new is not None:
                 fresh.append((a, b, new))
                 counts[kind] = counts.get(kind, 0) + 1

@@ -57,6 +57,23 @@ def test_international_numbers_link_across_layouts(spaced):
     assert MAPS["phone"](FE, new, back=True) == spaced
 
 
+@pytest.mark.parametrize(
+    ("text", "hidden"),
+    [("2021-03-04T10:11:12Z", ["2021-03-04"]), ("3/4/1981", ["3/4/1981"]), ("2020-01-01/2020-02-01", ["2020-01-01", "2020-02-01"]), ("10.20.30.40/24", ["10.20.30.40"]), ("10.0.0.1-10.0.0.9", ["10.0.0.1", "10.0.0.9"]),
+     ("Tel.212-555-1234", ["212-555-1234"]), ("Tel.+44 20 7946 0958", ["20 7946 0958"]), ("card-4111111111111111", ["4111111111111111"]), ("555 123 4567", ["555 123 4567"]), ("5551234567", ["5551234567"]),
+     ("+44 20 7946 0958 2021", ["20 7946 0958"]), ("ES91 2100 0418 4502 0005 1332 IS", ["2100 0418 4502 0005 1332"])],
+)
+def test_values_in_any_surroundings(text, hidden):
+    for around in (text, f"see {text}, ok", f"({text})", f"{text}."):
+        new, n = pseudonymise(around, swap)
+        assert sum(n.values()) == len(hidden), (around, new)
+        assert not any(x in new for x in hidden)
+
+
+def test_ten_digits_link_across_layouts():
+    assert {pii.digits_of(swap("phone", x)) for x in ("5551234567", "555 123 4567", "555-123-4567", "(555) 123-4567")} == {swap("phone", "5551234567")}
+
+
 @pytest.mark.parametrize("text", ["", "no data", "version 1.2.3", "4562298812442146", "2023-02-30", "999.1.1.1", "000-12-3456", "@", "a@b", "x" * 100_000 + "@", "12345678901234567890123", "é" * 1000, "AB12CD", "1.2.3.4.5"])
 def test_clean_texts_stay(text):
     assert pseudonymise(text, swap) == (text, {})
