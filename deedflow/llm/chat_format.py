@@ -2,8 +2,8 @@ r"""Chat formatting: a finite-state machine over roles and a declarative templat
 
 A template names, for each role, the strings that open and close a turn and whether its text bears loss.
 Roles outside the template go through the "*" entry, whose opening carries the (escaped) role name. Every
-control string of the template is broken wherever it starts inside a text, by a backslash after its first
-character, and backslashes are doubled; unescape() undoes both, so a text comes back exactly and no text can
+control string of the template is broken wherever it starts inside a text, also where it would end in the closing that
+follows, by a backslash after its first character, and backslashes are doubled; unescape() undoes both, so a text comes back exactly and no text can
 open or close a turn.
 
 The machine steps over the roles of a conversation in turn order; a step that it doesn't have is a violation
@@ -50,9 +50,10 @@ class Template:
             raise ValueError("no opening may begin with another")
         object.__setattr__(self, "_starts", re.compile("|".join(f"(?=({re.escape(x)}))" for x in sorted(control, key=len, reverse=True))))
 
-    def escape(self, text: str) -> str:
+    def escape(self, text: str, after: str = "") -> str:
+        """text, with control strings broken that start in it, when the control string after follows."""
         text = text.replace("\\", "\\\\")
-        cuts = [m.start() + 1 for m in self._starts.finditer(text)]
+        cuts = [m.start() + 1 for m in self._starts.finditer(text + after) if m.start() < len(text)]
         return "\\".join(text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)) if cuts else text
 
     @staticmethod
@@ -63,9 +64,9 @@ class Template:
         """The turn as (text, loss flag) pieces, in order."""
         if role in self.roles:
             a, b, loss = self.roles[role]
-            return [(a, False), (self.escape(text), loss), (b, False)]
+            return [(a, False), (self.escape(text, b), loss), (b, False)]
         a, mid, b = self.other
-        return [(a + self.escape(role) + mid, False), (self.escape(text), False), (b, False)]
+        return [(a + self.escape(role, mid) + mid, False), (self.escape(text, b), False), (b, False)]
 
     def parse(self, out: str) -> Iterator[tuple[str, str, bool]]:
         """(role, text, loss) of each turn in formatted text."""
@@ -78,7 +79,7 @@ class Template:
                 a, mid, b = self.other
                 if not out.startswith(a, at):
                     raise ValueError(f"no turn opens at {at}")
-                end = out.index(mid, at)
+                end = out.index(mid, at + len(a))
                 role, loss, a = self.unescape(out[at + len(a) : end]), False, out[at : end + len(mid)]
             end = out.index(b, at + len(a))
             yield role, self.unescape(out[at + len(a) : end]), loss

@@ -4,7 +4,7 @@ from collections import defaultdict
 from hypothesis import given
 from hypothesis import strategies as st
 
-from deedflow.llm.chat_format import CHAT, TRICK, chat_digests, format_turns
+from deedflow.llm.chat_format import CHAT, TRICK, Template, chat_digests, format_turns
 
 CONTROL = [x for a, b, _ in CHAT.roles.values() for x in (a, b)] + list(CHAT.other)
 text = st.lists(st.one_of(st.sampled_from([*CONTROL, "\\", "<", "[", "\n", "INST] "]), st.text(max_size=4)), max_size=8).map("".join)
@@ -23,6 +23,16 @@ def test_round_trip_through_the_template(turns):
     assert list(CHAT.parse(out)) == [(r, x, r == "assistant") for r, x in turns]
 
 
+def test_texts_that_end_in_a_part_of_a_control_string():
+    other = Template(roles={"a": ("<a>", "xyx", True)}, other=("<r>", "-=-", "zz"))
+    for template in (CHAT, other):
+        control = [x for a, b, _ in template.roles.values() for x in (a, b)] + list(template.other)
+        ends = sorted({c[:n] for c in control for n in range(1, len(c) + 1)})
+        turns = [(r, t + e) for r in [*template.roles, "tool", *ends] for e in ends for t in ("", "text ", "\\")]
+        out = "".join(t for r, x in turns for t, _ in template.segments(r, x))
+        assert [(r, x) for r, x, _ in template.parse(out)] == turns
+
+
 ROWS = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, "assistant", None), (2, 0, None, "z"), (None, 0, "user", "x"), (3, None, "user", TRICK), (3, 2, "assistant", TRICK), (3, 2, "assistant", TRICK), (4, 0, "system", "s" * 100_000), (4, 1, "user", ""), (4, 2, "assistant", "é\U0001f600")]
 
 
