@@ -74,16 +74,11 @@ def cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int32)
 
 
-def _count(sketch: np.ndarray, waiting: list[np.ndarray]) -> None:
-    cell, n = np.unique(np.concatenate(waiting), return_counts=True)
-    sketch[cell] += n.astype(sketch.dtype)
-
-
 def _heads(k: int):
     """id, text -> id, n, node of every document; at the end the task's part of the sketch, in chunks."""
 
     def run(batches):
-        sketch, waiting, held, kind, name = np.zeros(CELLS, np.uint32), [], 0, None, None
+        sketch, kind, name = np.zeros(CELLS, np.uint32), None, None
         for batch in batches:
             kind, name = batch.schema.field(0).type, batch.schema.names[0]
             sizes, nodes = [], []
@@ -92,16 +87,10 @@ def _heads(k: int):
                 size, node = set_ids(doc, hs, len(offsets) - 1)
                 sizes.append(size)
                 nodes.append(node)
-                waiting.append(cells(hs))
-                held += len(hs)
-                if held > 1 << 20:
-                    _count(sketch, waiting)
-                    waiting, held = [], 0
+                np.add.at(sketch, cells(hs), np.uint32(1))
             if sizes:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
-        if waiting:
-            _count(sketch, waiting)
         if kind is not None and sketch.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(sketch, CHUNKS)]
             yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
@@ -109,9 +98,8 @@ def _heads(k: int):
     return run
 
 
-def _merged(total: int):
+def _merged(usual: float):
     """chunk, sketch -> chunk and the frequency class of each of its cells, summed as a stream."""
-    usual = max(total / CELLS, 1.0)
 
     def run(batches):
         sums: dict[int, np.ndarray] = {}
@@ -126,8 +114,14 @@ def _merged(total: int):
     return run
 
 
-def _postings(k: int, percent: int, levels, parts: int):
-    """text -> packed prefix postings, for each part of the shingle space; each set once in a task."""
+def splits(level: np.ndarray, usual: float) -> np.ndarray:
+    """Into how many parts, at least, the list of a shingle of this frequency class is split by node."""
+    return np.maximum(2 ** ((level.astype(np.float64) + 1) / 2) * 2 * usual / PART_POSTINGS, 1).astype(np.uint64)
+
+
+def _postings(k: int, percent: int, levels, usual: float, parts: int):
+    """text -> packed prefix postings, for each part of the shingle space; each set once in a task. Lists that a part may not
+    hold are split by node."""
 
     def run(batches):
         seen: set[int] = set()
@@ -135,7 +129,8 @@ def _postings(k: int, percent: int, levels, parts: int):
 
         def flush():
             every = np.concatenate(waiting)
-            part = (textvec.mix(every["token"]) % np.uint64(parts)).astype(np.int32)
+            by_node = textvec.mix(every["node"].view(np.uint64)) % splits(levels.value[cells(every["token"])], usual)
+            part = (textvec.mix(every["token"] + by_node) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             every, part = every[order], part[order]
             cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
@@ -146,22 +141,21 @@ def _postings(k: int, percent: int, levels, parts: int):
             for _, data, offsets in textvec.groups(batch.column(0)):
                 doc, hs = textvec.shingle_sets(data, offsets, k)
                 size, node = set_ids(doc, hs, len(offsets) - 1)
-                fresh = np.zeros(len(size), bool)
+                end, level, fresh, front = np.cumsum(size), levels.value[cells(hs)], [], []
+                length = prefix(size, percent)
                 for i, x in enumerate(node.tolist()):
                     if size[i] and x not in seen:
                         seen.add(x)
-                        fresh[i] = True
-                use = fresh[doc]
-                doc, hs = doc[use], hs[use]
-                if not len(doc):
+                        fresh.append(i)
+                        at = end[i] - size[i]
+                        # The set is in the order of hashes; a stable sort by class gives the global order.
+                        front.append(at + level[at : end[i]].argsort(kind="stable")[: length[i]])
+                if not fresh:
                     continue
-                order = np.lexsort((hs, levels.value[cells(hs)], doc))
-                doc, hs = doc[order], hs[order]
-                new = np.concatenate([[True], doc[1:] != doc[:-1]])
-                pos = np.arange(len(doc)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-                front = pos < prefix(size, percent)[doc]
-                out = np.empty(int(front.sum()), POSTING)
-                out["token"], out["node"], out["size"], out["pos"] = hs[front], node[doc[front]], size[doc[front]], pos[front]
+                length, front = length[fresh], np.concatenate(front)
+                out = np.empty(len(front), POSTING)
+                out["token"], out["node"], out["size"] = hs[front], np.repeat(node[fresh], length), np.repeat(size[fresh], length)
+                out["pos"] = np.arange(len(front)) - np.repeat(np.cumsum(length) - length, length)
                 waiting.append(out)
                 held += len(out)
                 if held >= BATCH_POSTINGS:
@@ -173,21 +167,26 @@ def _postings(k: int, percent: int, levels, parts: int):
     return run
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings of the shingles that more than one node has."""
-    blobs = [np.frombuffer(b.as_py(), POSTING) for batch in batches for b in batch.column(1)]
-    if not blobs:
-        return
-    every = np.concatenate(blobs)
-    every = every[np.lexsort((every["node"], every["token"]))]
-    same = every["token"][1:] == every["token"][:-1]
-    every = every[np.concatenate([[True], ~(same & (every["node"][1:] == every["node"][:-1]))])]
-    same = every["token"][1:] == every["token"][:-1]
-    every = every[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(every) > 1 else every[:0]
-    for at in range(0, len(every), 1 << 16):
-        part = every[at : at + (1 << 16)]
-        columns = [part["token"].astype(np.uint64).view(np.int64), *(part[c].astype(np.int64) for c in ("node", "size", "pos"))]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size", "pos"])
+def _lists(levels, usual: float):
+    """Postings of the shingles that more than one node has, or whose lists are split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [np.frombuffer(b.as_py(), POSTING) for batch in batches for b in batch.column(1)]
+        if not blobs:
+            return
+        every = np.concatenate(blobs)
+        every = every[np.lexsort((every["node"], every["token"]))]
+        same = every["token"][1:] == every["token"][:-1]
+        every = every[np.concatenate([[True], ~(same & (every["node"][1:] == every["node"][:-1]))])]
+        same = every["token"][1:] == every["token"][:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        every = every[shared | (splits(levels.value[cells(every["token"])], usual) > 1)]
+        for at in range(0, len(every), 1 << 16):
+            part = every[at : at + (1 << 16)]
+            columns = [part["token"].astype(np.uint64).view(np.int64), *(part[c].astype(np.int64) for c in ("node", "size", "pos"))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size", "pos"])
+
+    return run
 
 
 def parity(doc: np.ndarray, shingles: np.ndarray, n: int) -> list[bytes]:
@@ -454,16 +453,17 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
     first = cut(texts.mapInArrow(lean(_heads(k)), f"id {id_type}, n long, node long, chunk int, sketch binary"))
     heads = first.where("chunk is null").select("id", "n", "node")
     total = heads.agg(F.sum("n")).first()[0] or 0
+    usual = max(total / CELLS, 1.0)
     # 1. The global order.
-    merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(total)), "chunk int, level binary").collect()
+    merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(usual)), "chunk int, level binary").collect()
     levels = np.zeros(CELLS, np.uint8)
     for r in merged:
         levels.reshape(CHUNKS, -1)[r.chunk] = np.frombuffer(zlib.decompress(r.level), np.uint8)
     shared = spark.sparkContext.broadcast(levels)
     # 2. The index, without the lists of one node.
     parts = max(shuffle_width(spark), int(total * (105 - percent) / 100) // PART_POSTINGS + 1)
-    packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, parts)), "part int, blob binary")
-    lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists), "token long, node long, size long, pos long"))
+    packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, usual, parts)), "part int, blob binary")
+    lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists(shared, usual)), "token long, node long, size long, pos long"))
     # 3. The sets of the nodes in it, each read from one of its documents.
     nodes = lists.select("node").distinct()
     ids = heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct()

@@ -15,6 +15,11 @@ import pyarrow.compute as pc
 GROUP = 1 << 18
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
+MASK = (1 << 64) - 1
+#: The first n of eight bytes.
+TAIL = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+#: So many runs, at most, are hashed one by one instead of chunk by chunk.
+LONG_RUNS = 4
 #: \x20 and \x09-\x0D
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -30,19 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers = np.ones(1, np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = max(n, 2 * len(_powers), 1 << 12)
-        out = np.full(size, BASE, np.uint64)
-        out[0] = 1
-        _powers = np.multiply.accumulate(out)
-    return _powers
-
-
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -65,25 +57,35 @@ def groups(column: pa.Array, limit: int = GROUP) -> Iterator[tuple[int, np.ndarr
 
 
 def hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of bytes where inside holds, cut at documents: (hash, document, start, length) of each."""
+    """Maximal runs of bytes where inside holds, cut at documents: (hash, document, start, length) of each.
+
+    A run is hashed by its chunks of eight bytes, read in place: the sum of their mixed values, each with its number."""
     size = len(data)
     if not size or not inside.any():
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
-    first = np.zeros(size + 1, bool)
-    first[offsets] = True
-    first = first[:size]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | first[1:]
+    cut = offsets[(offsets > 0) & (offsets < size)]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begins[cut] = inside[cut]
+    ends[:-1] &= ~inside[1:]
+    ends[cut - 1] = inside[cut - 1]
     starts = np.flatnonzero(begins)
-    run = np.cumsum(begins) - 1
-    place = np.arange(size) - starts[np.maximum(run, 0)]
-    place[~inside] = 0
-    value = (data.astype(np.uint64) + np.uint64(1)) * powers(int(place.max()) + 1)[place]
-    value[~inside] = 0
-    lengths = np.add.reduceat(inside.astype(np.int64), starts)
-    total = np.add.reduceat(value, starts)
-    return mix(total ^ (lengths.astype(np.uint64) << np.uint64(48))), np.searchsorted(offsets, starts, "right") - 1, starts, lengths
+    lengths = np.flatnonzero(ends) + 1 - starts
+    eight = np.ndarray((size,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+    total = mix((eight[starts] & TAIL[np.minimum(lengths, 8)]) + np.uint64(BASE))
+    more, chunk = np.flatnonzero(lengths > 8), 1
+    while len(more) > LONG_RUNS:
+        at, left = starts[more] + 8 * chunk, lengths[more] - 8 * chunk
+        chunk += 1
+        total[more] += mix((eight[at] & TAIL[np.minimum(left, 8)]) + np.uint64(chunk * BASE & MASK))
+        more = more[left > 8]
+    for i in more.tolist():  # a few long runs: each at once
+        at, left = np.arange(starts[i] + 8 * chunk, starts[i] + lengths[i], 8), np.arange(lengths[i] - 8 * chunk, 0, -8)
+        number = np.arange(chunk + 1, chunk + 1 + len(at)).astype(np.uint64)
+        total[i : i + 1] += mix((eight[at] & TAIL[np.minimum(left, 8)]) + number * np.uint64(BASE)).sum()
+    docs = np.diff(np.searchsorted(starts, offsets))
+    return mix(total ^ (lengths.astype(np.uint64) << np.uint64(48))), np.repeat(np.arange(len(docs)), docs), starts, lengths
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -94,10 +96,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def shingle(word: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each position on (the last k - 1 positions are left out)."""
     n = max(0, len(word) - k + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = mix(out * np.uint64(BASE) + word[i : i + n])
-    return out
+    out = word[:n].copy()
+    for i in range(1, k):
+        out *= np.uint64(BASE)
+        out += word[i : i + n]
+    return mix(out)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,16 +110,26 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     if not len(word):
         return doc, word
     count = np.bincount(doc, minlength=len(offsets) - 1)
+    at = np.cumsum(count) - count
     got = shingle(word, k)
-    same = doc[: len(got)] == doc[k - 1 :] if len(got) else np.zeros(0, bool)
-    hs, ds = got[same], doc[: len(got)][same]
+    inside = np.ones(len(word), bool)
+    for i in range(1, k):  # the last k - 1 words of a document begin no shingle
+        inside[(at + count - i)[count >= i]] = False
+    size = np.maximum(count - k + 1, 0)
     short = np.flatnonzero((count > 0) & (count < k))
     if len(short):
-        at = np.cumsum(count) - count
-        whole = [mix(shingle(word[at[d] : at[d] + count[d]], int(count[d])) ^ np.uint64(count[d])) for d in short]
-        hs, ds = np.concatenate([hs, *whole]), np.concatenate([ds, short])
-    order = np.lexsort((hs, ds))
-    hs, ds = hs[order], ds[order]
+        whole = [mix(shingle(word[at[d] : at[d] + count[d]], int(count[d])) ^ np.uint64(count[d]))[0] for d in short]
+        got = np.append(got, np.zeros(k - 1, np.uint64))
+        got[at[short]] = whole
+        inside[at[short]] = True
+        size[short] = 1
+    else:
+        inside = inside[: len(got)]
+    hs = got[: len(inside)][inside]
+    end = np.cumsum(size)
+    for a, b in zip((end - size).tolist(), end.tolist(), strict=True):
+        hs[a:b].sort()
+    ds = np.repeat(np.arange(len(size)), size)
     keep = np.ones(len(hs), bool)
     keep[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
     return ds[keep], hs[keep]
