@@ -5,16 +5,16 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCHES = (
-    ("spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "67108864", "64m", "64MB"), "2m"),
-    ("spark.sql.parquet.columnarReaderBatchSize", ("4096",), "256"),
-)
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "256"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,30 +22,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under the one the cluster names in spark.checkpoint.dir; only where that is
-    unset (a local test) is one chosen here."""
+    """A fresh folder under the one the cluster names in spark.checkpoint.dir. Only a local session, whose tasks share the
+    driver's files, may do without that setting: there it is a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "checkpoints")
-        base = f"file://{os.path.abspath(base)}"
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
     """Write df to the shared folder as Parquet and read it back: lineage ends in files that every
-    executor can reach, so losing an executor costs one read and not a recomputation."""
+    executor can reach, so losing an executor costs one read and not a recomputation. made collects the frames to drop."""
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_cut(df: DataFrame) -> None:
-    """Delete the files behind a frame that cut() returned."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    if made is not None:
+        made.append(out)
+    return out
+
+
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the files behind frames that cut() returned."""
+    for df in frames:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -58,12 +62,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Batches fit for long texts, where the session has Spark's defaults: Arrow batches of 2 MB (not 64 MB) to Python
-    workers, and 256 rows (not 4,096) from Parquet. Both bound what a task holds at once, in the JVM and in Python."""
-    for name, usual, small in BATCHES:
-        if spark.conf.get(name) in usual:
-            spark.conf.set(name, small)
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session's batches fit for long texts while jobs run inside: Arrow batches of 2 MB (not 64 MB) to Python workers, and
+    256 rows (not 4,096) from Parquet. Both bound what a task holds at once, in the JVM and in Python; results don't
+    depend on them. The session's own values come back at the end."""
+    before = {name: spark.conf.get(name) for name in BATCHES}
+    for name, small in BATCHES.items():
+        spark.conf.set(name, small)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def lean(run):

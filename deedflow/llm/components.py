@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop_cut
 
 
 def _tidy(edges: DataFrame) -> DataFrame:
@@ -19,8 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     the edges; levels end when no edge is left. Everything is aggregation and equi-joins on tables in the shared
     folder: a hub's edges are pre-aggregated and its lookups are joins that Spark can split.
     """
-    edges, maps = _tidy(edges), []
+    edges, maps, made = _tidy(edges), [], []
     while not edges.isEmpty():
+        made.append(edges)
         both = edges.union(edges.select("v", "u"))
         hook = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p"))
         jump = hook.select(F.col("u").alias("p"), F.col("p").alias("pp"))
@@ -29,10 +30,15 @@ def components(edges: DataFrame) -> DataFrame:
         left = hook.select("u", F.col("p").alias("a"))
         right = hook.select(F.col("u").alias("v"), F.col("p").alias("b"))
         edges = _tidy(edges.join(left, "u").join(right, "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if maps:
+        made.append(edges)
+    drop_cut(*made)
     if not maps:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     out = maps[-1]
     for hook in reversed(maps[:-1]):
         deeper = out.select(F.col("u").alias("p"), F.col("p").alias("pp"))
         out = hook.join(deeper, "p", "left").select("u", F.coalesce("pp", "p").alias("p"))
-    return cut(out.select(F.col("u").alias("node"), F.col("p").alias("comp")))
+    out = cut(out.select(F.col("u").alias("node"), F.col("p").alias("comp")))
+    drop_cut(*maps)
+    return out

@@ -7,15 +7,16 @@ prefix-filtered index join with these parts:
   fixed order gives exact results; this one keeps shared passages out of the prefixes;
 - an index: for each shingle, the list of nodes that have it in their prefix, with set size and position. Lists of one
   node are dropped in the task that finds them;
-- stars: each list's HUBS nodes of smallest hash are compared with the whole list. Nodes that prove similar
-  to a hub take over its answers: they are in its component;
-- skipping: afterwards a list whose nodes are in one component is done, and a pair in one component is never looked
-  at. Longer lists that are still open go block by block in the order of set size: a block pair is skipped when sizes or
-  the positions of the shingle in the prefixes exclude every pair in it, and parity bitmaps (their Hamming
-  distance is a lower bound of the symmetric difference) exclude pairs before their sets are fetched;
-- every pair that is left is verified on its whole sets. Only verified pairs make links.
+- stars: each list's HUBS nodes of smallest hash are compared with the whole list, where sizes and positions leave room and
+  parity bitmaps (their Hamming distance is a lower bound of the symmetric difference) don't exclude the pair;
+- skipping: afterwards a list whose nodes are in one component is done, and a pair in one component is never looked at;
+- longer lists that are still open meet as cells (see open_cells), in blocks of bounded nodes and bytes. There a set's answers, the
+  numbers of shingles in common with all others, are derived from those of a similar set computed before, by the
+  difference of the two (Overlaps); sets whose candidates are all in their own component are skipped.
 
-A list holds no pairs but those of its hubs; groups of copies, exact or near, cost their size and not its square.
+All links are verified on whole sets. The pairs of an open cell stay in their task: it gives out a link only where that joins two
+components, fewer than it has nodes. A large group of near copies costs its square only in answers compared inside tasks, and
+only while it isn't one component; rows, shuffles and memory follow its size (shuffles: times its number of blocks).
 
 Sets are told apart, and shingles compared, by 64-bit hashes. Defined results: null and empty texts and texts
 without words have an empty set, link with nothing and are their own component; a text with fewer words than a shingle has
@@ -24,6 +25,7 @@ its whole sequence as one; repeated rows get a row each; a component's id is its
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -31,15 +33,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import textvec
-from .common import cut, drop_cut, lean, shuffle_width, small_batches, table
+from .common import bounded, cut, drop_cut, lean, shuffle_width, small_batches, table
 from .components import components
 
 CELLS, CHUNKS = 1 << 23, 64
-HUBS, BLOCK, BITS, FEW_BITS = 12, 512, 2048, 1024
-#: Tables of (node, node) or ids of so many rows at most (16 bytes each) are broadcast.
-BROADCAST_ROWS = 1_000_000
+HUBS, BITS = 12, 2048
+#: Nodes, and bytes of their sets, of a block.
+BLOCK, BLOCK_BYTES = 4096, 8 << 20
+#: Tables of so many bytes at most (8 for each long) are broadcast.
+BROADCAST_BYTES = 8 << 20
 POSTING = np.dtype([("token", "u8"), ("node", "i8"), ("size", "u4"), ("pos", "u4")])
 BATCH_POSTINGS, PART_POSTINGS = 1 << 18, 1 << 20
 
@@ -54,7 +59,8 @@ def prefix(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def near(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """df, a table of ids, marked for broadcast if it is small."""
+    return bounded(df, BROADCAST_BYTES // (8 * len(df.columns)))
 
 
 # --- passes over the texts ---------------------------------------------------------------------------------------
@@ -215,7 +221,7 @@ def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
 
 
 def _sets(k: int):
-    """text -> node, size, parity bitmap (and a short one) and sorted shingles; each set once in a task."""
+    """text -> node, size, parity bitmap and sorted shingles; each set once in a task."""
 
     def run(batches):
         seen: set[int] = set()
@@ -234,7 +240,6 @@ def _sets(k: int):
                 if fresh:
                     yield pa.RecordBatch.from_pydict({
                         "node": pa.array(node[fresh]), "size": pa.array(size[fresh]), "bits": pa.array([bits[i] for i in fresh], pa.binary()),
-                        "few": pa.array([folded([bits[i]], FEW_BITS // 8).tobytes() for i in fresh], pa.binary()),
                         "shingles": pa.array([hs[end[i] - size[i] : end[i]].tobytes() for i in fresh], pa.binary()),
                     })
 
@@ -244,70 +249,111 @@ def _sets(k: int):
 # --- pairs --------------------------------------------------------------------------------------------------------
 
 
-def rank(node: np.ndarray) -> np.ndarray:
-    """Hubs of a list are its nodes of smallest rank; a pair's first node is the one of smaller rank."""
-    return textvec.mix(node.view(np.uint64) + np.uint64(0x5851F42D4C957F2D))
-
-
-def fits(size_a, pos_a, size_b, pos_b, percent: int) -> np.ndarray:
-    """Sizes, and the places of the first common shingle, leave room for enough common shingles."""
-    low, high = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    room = np.minimum(size_a - pos_a, size_b - pos_b)
-    return (100 * low >= percent * high) & (room >= need(size_a, size_b, percent))
-
-
-def _gather(batches) -> dict[str, np.ndarray]:
-    tables = [pa.Table.from_batches([b]) for b in batches]
-    if not tables:
-        return {}
-    every = pa.concat_tables(tables)
-    return {n: (np.asarray(every.column(n)) if not pa.types.is_binary(every.schema.field(n).type) else every.column(n).to_pylist()) for n in every.schema.names}
-
-
-def _emit(xs: list[np.ndarray], ys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if xs:
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        swap = rank(x) > rank(y)
-        x, y = np.where(swap, y, x), np.where(swap, x, y)
-        both = np.unique(np.column_stack([x, y]), axis=0) if len(x) else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["x", "y"])
-
-
-def _by_list(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order of the rows by list and set size, first of each list, length)."""
-    order = np.lexsort((rows["node"], rows["size"], rows["token"]))
-    token = rows["token"][order]
-    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    return order, first, np.diff(np.append(first, len(token)))
-
+def stars(lists: DataFrame, percent: int) -> DataFrame:
+    """x, y: pairs of every list's hubs, its HUBS nodes of smallest hash, with its nodes, but those whose sizes, or the places
+    of the common shingle, leave no room for enough common shingles. Hubs are cut down before the shuffle."""
+    ranked = lists.withColumn("rank", F.xxhash64("node", F.lit(23)))
+    hubs = ranked.withColumn("n", F.row_number().over(Window.partitionBy("token").orderBy("rank", "node"))).where(F.col("n") <= HUBS)
+    hubs = hubs.select("token", F.col("node").alias("x"), F.col("size").alias("m"), F.col("pos").alias("q"), F.col("rank").alias("r"))
+    after = (F.col("rank") > F.col("r")) | ((F.col("rank") == F.col("r")) & (F.col("node") > F.col("x")))
+    sizes = 100 * F.least("size", "m") >= percent * F.greatest("size", "m")
+    room = (100 + percent) * F.least(F.col("size") - F.col("pos"), F.col("m") - F.col("q")) >= percent * (F.col("size") + F.col("m"))
+    return ranked.join(hubs, "token").where(after & sizes & room).select("x", F.col("node").alias("y")).distinct()
+
+
+def open_cells(rows: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
+    """token, node, size, comp of open lists -> cell, node, size, comp, once each: two nodes of a list that may be similar share
+    a cell. Cells are named by a node. A list falls into bands of set size so wide that similar sets lie in one or in
+    neighbours; a cell is the nodes of a band and of the next one over all lists in which the band's first node by hash is the same."""
+    width = max(math.log(100 / percent), 1e-3) * 1.001  # wider than the ratio of similar sizes, rounding included
+    band = F.floor(F.log(F.col("size")) / F.lit(width))
+    dealt = rows.withColumn("band", band).withColumn("at", F.explode(F.array("band", F.col("band") - 1)))
+    first = F.min_by("node", F.when(F.col("band") == F.col("at"), F.xxhash64("node", F.lit(23))))
+    named = dealt.groupBy("token", "at").agg(first.alias("cell"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    named = cut(named.where("lo <> hi and cell is not null").select("token", "at", "cell"), made)
+    return cut(dealt.join(near(named), ["token", "at"]).select("cell", "node", "size", "comp").distinct(), made)
+
+
+def block_pairs(cells: DataFrame, made: list[DataFrame]) -> DataFrame:
+    """cell, i, j, first, node, comp: each cell in blocks of about BLOCK nodes and BLOCK_BYTES of sets, and each of its nodes in every
+    pair i <= j of blocks with its own; first tells whether its own is i."""
+    many = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(8 * F.sum("size") / BLOCK_BYTES))
+    blocks = cut(cells.groupBy("cell").agg(many.alias("blocks")), made)
+    placed = cells.join(near(blocks), "cell").withColumn("own", F.pmod(F.xxhash64("node", F.lit(29)), F.col("blocks")))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    return paired.select("cell", i.alias("i"), j.alias("j"), (F.col("own") == i).alias("first"), "node", "comp")
+
+
+class Overlaps:
+    """Numbers of common elements of a set with each of columns, sets by an inverted index.
+
+    A set's answers are derived from those of a similar set computed before (a hub): the lists of the elements that it has more
+    are added and those that it lacks are subtracted. A set without a hub close enough is counted by all its elements, and
+    becomes one."""
+
+    def __init__(self, columns: list[np.ndarray], hubs: int = 8):
+        self.n, self.hubs, self.most = len(columns), [], hubs
+        every = np.concatenate(columns)
+        owner = np.repeat(np.arange(self.n), [len(c) for c in columns])
+        order = np.argsort(every, kind="stable")
+        self.owner = owner[order]
+        self.elements, first = np.unique(every[order], return_index=True)
+        self.first = np.append(first, len(every))
+
+    def _counted(self, elements: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.elements, elements), len(self.elements) - 1)
+        at = at[self.elements[at] == elements]
+        size = self.first[at + 1] - self.first[at]
+        places = np.repeat(self.first[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(self.owner[places], minlength=self.n)
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        best, far = None, len(s)
+        for hub, answers in self.hubs:
+            at = np.minimum(np.searchsorted(hub, s), len(hub) - 1)
+            common = hub[at] == s
+            apart = len(s) + len(hub) - 2 * int(common.sum())
+            if apart < far:
+                best, far = (hub, answers, at, common), apart
+        if best is None:
+            answers = self._counted(s)
+            self.hubs = [(s, answers), *self.hubs[: self.most - 1]]
+            return answers
+        hub, answers, at, common = best
+        lacks = np.ones(len(hub), bool)
+        lacks[at[common]] = False
+        return answers + self._counted(s[~common]) - self._counted(hub[lacks])
+
+
+def spanning_links(sets: list[np.ndarray], comp: np.ndarray, rows: np.ndarray, columns: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between rows and columns (places in sets) that join components: one for each join, so fewer than sets."""
+    size, (_, label) = np.array([len(s) for s in sets], np.int64), np.unique(comp, return_inverse=True)
+    overlaps, out = Overlaps([sets[c] for c in columns]), []
+    for a in rows.tolist():
+        # Columns in the set's own component need no answer, nor do those of a size that excludes them.
+        if not ((label[columns] != label[a]) & (100 * np.minimum(size[columns], size[a]) >= percent * np.maximum(size[columns], size[a]))).any():
+            continue
+        alike = (overlaps.of(sets[a]) >= need(size[a], size[columns], percent)) & (label[columns] != label[a])
+        if alike.any():
+            others, at = np.unique(label[columns[alike]], return_index=True)
+            out += [(a, int(c)) for c in columns[alike][at]]
+            label[np.isin(label, others)] = label[a]
+    return out
 
-def _stars(percent: int):
-    """Pairs of every list's hubs with its nodes."""
 
-    def run(batches):
-        rows = _gather(batches)
-        if not rows:
-            return
-        order, first, length = _by_list(rows)
-        node, size, pos = (rows[c][order] for c in ("node", "size", "pos"))
-        a = first[length == 2]
-        ok = fits(size[a], pos[a], size[a + 1], pos[a + 1], percent)
-        xs, ys, held = [node[a[ok]]], [node[a[ok] + 1]], 0
-        ranks = rank(node)
-        for at, n in zip(first[length > 2].tolist(), length[length > 2].tolist(), strict=True):
-            own = slice(at, at + n)
-            hubs = at + np.argsort(ranks[own], kind="stable")[:HUBS]
-            for h in hubs:
-                lo, hi = at + np.searchsorted(size[own], [-(-percent * size[h] // 100), 100 * size[h] // percent + 1])
-                other = np.arange(lo, hi)
-                other = other[fits(size[h], pos[h], size[lo:hi], pos[lo:hi], percent) & (ranks[lo:hi] > ranks[h])]
-                xs.append(np.full(len(other), node[h]))
-                ys.append(node[other])
-                held += len(other)
-            if held > 1 << 20:
-                yield from _emit(xs, ys)
-                xs, ys, held = [], [], 0
-        yield from _emit(xs, ys)
+def _cell_links(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        node, comp = (np.asarray(group.column(c)) for c in ("node", "comp"))
+        sets = [np.frombuffer(b.as_py(), np.uint64) for b in group.column("shingles")]
+        first = np.asarray(group.column("first")).astype(bool)
+        places = np.arange(len(sets))
+        whole = group.column("i")[0] == group.column("j")[0]
+        rows, columns = (places, places) if whole else (places[first], places[~first])
+        order = np.lexsort((node[rows], [len(sets[r]) for r in rows]))
+        pairs = spanning_links(sets, comp, rows[order], columns, percent) if len(rows) and len(columns) else []
+        at = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.table({"x": pa.array(node[at[:, 0]], pa.int64()), "y": pa.array(node[at[:, 1]], pa.int64())})
 
     return run
 
@@ -317,51 +363,6 @@ def distance_limit(a, b, percent: int):
     return a + b - 2 * need(a, b, percent)
 
 
-def _open_pairs(percent: int):
-    """Pairs of different components in lists that are still open, but those of hubs, that parity bitmaps don't exclude."""
-
-    def run(batches):
-        rows = _gather(batches)
-        if not rows:
-            return
-        order, first, length = _by_list(rows)
-        node, size, pos, comp = (rows[c][order] for c in ("node", "size", "pos", "comp"))
-        bits = folded([rows["few"][i] for i in order], FEW_BITS // 8)
-        ranks = rank(node)
-        xs, ys, held = [], [], 0
-        for at, n in zip(first.tolist(), length.tolist(), strict=True):
-            hub = np.zeros(n, bool)
-            hub[np.argsort(ranks[at : at + n], kind="stable")[:HUBS]] = True
-            blocks = [np.arange(a, min(a + BLOCK, at + n)) for a in range(at, at + n, BLOCK)]
-            for i, p in enumerate(blocks):
-                for q in blocks[i:]:
-                    # Blocks ascend by size: the largest of p and the smallest of q, and the earliest positions, bound every pair.
-                    if 100 * size[p[-1]] < percent * size[q[0]] or not (min(size[p[-1]] - pos[p].min(), size[q[-1]] - pos[q].min()) >= need(size[p[0]], size[q[0]], percent)):
-                        continue
-                    if comp[p[0]] == comp[q[0]] and (comp[p] == comp[p[0]]).all() and (comp[q] == comp[q[0]]).all():
-                        continue
-                    ok = (comp[p][:, None] != comp[q]) & ~hub[p - at][:, None] & ~hub[q - at]
-                    if p is q:
-                        ok &= p[:, None] < q
-                    a, b = np.nonzero(ok)
-                    a, b = p[a], q[b]
-                    keep = fits(size[a], pos[a], size[b], pos[b], percent)
-                    a, b = a[keep], b[keep]
-                    for c in range(0, len(a), 1 << 15):
-                        s, t = a[c : c + (1 << 15)], b[c : c + (1 << 15)]
-                        far = np.bitwise_count(bits[s] ^ bits[t]).sum(axis=1, dtype=np.int64)
-                        ok = far <= distance_limit(size[s], size[t], percent)
-                        xs.append(node[s[ok]])
-                        ys.append(node[t[ok]])
-                        held += int(ok.sum())
-            if held > 1 << 20:
-                yield from _emit(xs, ys)
-                xs, ys, held = [], [], 0
-        yield from _emit(xs, ys)
-
-    return run
-
-
 def _meet(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """x, y, sizes and the column of both; the sets are read where they lie if the pairs are few enough to broadcast."""
     right = sets.select(F.col("node").alias("y"), F.col("size").alias("m"), F.col(column).alias("b")).join(near(pairs), "y")
@@ -379,7 +380,7 @@ def _kept(test):
     return run
 
 
-def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def possible(pairs: DataFrame, sets: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
     """The pairs (x, y) that parity bitmaps don't exclude."""
 
     def test(n, m, a, b):
@@ -389,10 +390,10 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             far[at] = np.bitwise_count(folded([a[i] for i in at], int(w)) ^ folded([b[i] for i in at], int(w))).sum(axis=1, dtype=np.int64)
         return far <= distance_limit(n, m, percent)
 
-    return cut(_meet(pairs, sets, "bits").mapInArrow(lean(_kept(test)), "x long, y long").distinct())
+    return cut(_meet(pairs, sets, "bits").mapInArrow(lean(_kept(test)), "x long, y long").distinct(), made)
 
 
-def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def similar(pairs: DataFrame, sets: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
     """The pairs (x, y) whose whole sets are similar."""
 
     def test(n, m, a, b):
@@ -400,26 +401,26 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common = np.array(common, np.int64)
         return 100 * common >= percent * (n + m - common)
 
-    return cut(_meet(pairs, sets, "shingles").mapInArrow(lean(_kept(test)), "x long, y long").distinct())
+    return cut(_meet(pairs, sets, "shingles").mapInArrow(lean(_kept(test)), "x long, y long").distinct(), made)
 
 
 def _labelled(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
 
 
-def proved(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(links, components) after verifying pairs, on top of earlier links. Of every node, one pair comes first; what the
-    components of these prove is not verified again."""
-    maybe = possible(pairs, sets, percent)
-    first = cut(maybe.groupBy("y").agg(F.min(F.struct(F.xxhash64("x"), "x")).alias("hub")).select("hub.x", "y"))
-    found = similar(first, sets, percent)
-    links = links.union(found) if links is not None else found
+def proved(pairs: DataFrame, sets: DataFrame, percent: int, made: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(links, components) after verifying pairs. Of every node, one pair comes first; what the components of these prove is
+    not verified again."""
+    maybe = possible(pairs, sets, percent, made)
+    first = cut(maybe.groupBy("y").agg(F.min(F.struct(F.xxhash64("x"), "x")).alias("hub")).select("hub.x", "y"), made)
+    links = similar(first, sets, percent, made)
     labels = _labelled(links)
     a, b = (labels.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "xy")
     apart = F.coalesce("cx", "x") != F.coalesce("cy", "y")
-    rest = cut(maybe.join(near(first), ["x", "y"], "left_anti").join(near(a), "x", "left").join(near(b), "y", "left").where(apart).select("x", "y"))
+    rest = cut(maybe.join(near(first), ["x", "y"], "left_anti").join(near(a), "x", "left").join(near(b), "y", "left").where(apart).select("x", "y"), made)
     if not rest.isEmpty():
-        links = links.union(similar(rest, sets, percent))
+        made.append(labels)
+        links = links.union(similar(rest, sets, percent, made))
         labels = _labelled(links)
     return links, labels
 
@@ -429,58 +430,61 @@ def proved(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | N
 
 def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id of every row; sets link at Jaccard similarity of percent / 100 or more."""
-    small_batches(docs.sparkSession)
     heads, labels = _linked(docs, k, percent, key, text)
     # Documents: a class of equal sets is one row until the end.
     classes = heads.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ends = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = classes.join(ends, "comp").select("node", "component_id")
-    out = heads.join(named, "node", "left")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+    # Empty sets have no class: their rows don't meet in the task of one node.
+    joined = heads.withColumn("node", F.when(F.col("n") > 0, F.col("node")).otherwise(F.xxhash64("id"))).join(named, "node", "left")
+    return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def classes(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """node, comp of every set (see set_ids) with a link to another, marked for broadcast if it is small."""
-    small_batches(docs.sparkSession)
-    return near(_linked(docs, k, percent, key, text)[1])
+    heads, labels = _linked(docs, k, percent, key, text)
+    drop_cut(heads)
+    return near(labels)
 
 
 def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(id, n, node of every row; node, comp of every node with a link), both in the shared folder."""
-    spark = docs.sparkSession
+    """(id, n, node of every row; node, comp of every node with a link), both in the shared folder, where nothing else stays."""
+    spark, made = docs.sparkSession, []
     texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
     id_type = texts.schema["id"].dataType.simpleString()
-    first = cut(texts.mapInArrow(lean(_heads(k)), f"id {id_type}, n long, node long, chunk int, sketch binary"))
-    heads = first.where("chunk is null").select("id", "n", "node")
-    total = heads.agg(F.sum("n")).first()[0] or 0
-    usual = max(total / CELLS, 1.0)
-    # 1. The global order.
-    merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(usual)), "chunk int, level binary").collect()
-    levels = np.zeros(CELLS, np.uint8)
-    for r in merged:
-        levels.reshape(CHUNKS, -1)[r.chunk] = np.frombuffer(zlib.decompress(r.level), np.uint8)
-    shared = spark.sparkContext.broadcast(levels)
-    # 2. The index, without the lists of one node.
-    parts = max(shuffle_width(spark), int(total * (105 - percent) / 100) // PART_POSTINGS + 1)
-    packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, usual, parts)), "part int, blob binary")
-    lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists(shared, usual)), "token long, node long, size long, pos long"))
-    # 3. The sets of the nodes in it, each read from one of its documents.
-    nodes = lists.select("node").distinct()
-    ids = heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct()
-    sets = cut(texts.join(near(cut(ids)), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, few binary, shingles binary"))
-    # 4. Stars, and what they prove.
-    stars = cut(lists.repartition("token").mapInArrow(lean(_stars(percent)), "x long, y long").distinct())
-    links, labels = proved(stars, sets, percent)
-    # 5. Lists that are still open.
-    known = lists.join(labels, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
-    open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"))
-    if not open_.isEmpty():
-        rows = cut(known.join(near(open_), "token", "left_semi"))
-        rows = sets.select("node", "few").join(near(rows), "node")
-        more = cut(rows.select("token", "node", "size", "pos", "comp", "few").repartition("token").mapInArrow(lean(_open_pairs(percent)), "x long, y long").distinct())
-        links, labels = proved(more, sets, percent, links)
-    for done in (lists, sets):  # the large ones; nothing lazy reads them any more
-        drop_cut(done)
+    with small_batches(spark):
+        first = cut(texts.mapInArrow(lean(_heads(k)), f"id {id_type}, n long, node long, chunk int, sketch binary"), made)
+        heads = cut(first.where("chunk is null").select("id", "n", "node"))
+        total = heads.agg(F.sum("n")).first()[0] or 0
+        usual = max(total / CELLS, 1.0)
+        # 1. The global order.
+        merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(usual)), "chunk int, level binary").collect()
+        levels = np.zeros(CELLS, np.uint8)
+        for r in merged:
+            levels.reshape(CHUNKS, -1)[r.chunk] = np.frombuffer(zlib.decompress(r.level), np.uint8)
+        shared = spark.sparkContext.broadcast(levels)
+        # 2. The index, without the lists of one node.
+        parts = max(shuffle_width(spark), int(total * (105 - percent) / 100) // PART_POSTINGS + 1)
+        packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, usual, parts)), "part int, blob binary")
+        lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists(shared, usual)), "token long, node long, size long, pos long"), made)
+        # 3. The sets of the nodes in it, each read from one of its documents.
+        nodes = lists.select("node").distinct()
+        ids = cut(heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct(), made)
+        sets = cut(texts.join(near(ids), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, shingles binary"), made)
+        # 4. Stars, and what they prove.
+        links, labels = proved(cut(stars(lists, percent), made), sets, percent, made)
+        # 5. Lists that are still open.
+        known = lists.join(labels, "node", "left").select("token", "node", "size", F.coalesce("comp", "node").alias("comp"))
+        open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"), made)
+        if not open_.isEmpty():
+            paired = cut(block_pairs(open_cells(known.join(near(open_), "token", "left_semi"), percent, made), made), made)
+            met = sets.select("node", "shingles").join(near(paired), "node")
+            found = cut(met.groupBy("cell", "i", "j").applyInArrow(_cell_links(percent), "x long, y long").distinct(), made)
+            if not found.isEmpty():
+                made.append(labels)
+                labels = _labelled(links.union(found))
+        shared.destroy()
+        drop_cut(*made)
     return heads, labels
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import lean, small_batches, table
+from .common import cut, lean, small_batches, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
 CALIBRATION, QUANTILE, LEAST, FAR, ENOUGH = 5000, 0.001, 4.0, 0.25, 200
@@ -227,7 +227,6 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
 
 def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns, lang_pred, score and rejected of every row."""
-    small_batches(docs.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     read = docs.select(*kept, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     return read.mapInArrow(lean(score_batches(model, kept)), f"{schema}, lang_pred string, score double, rejected boolean")
@@ -236,6 +235,7 @@ def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    model = train(docs.select("doc_id", "text", "lang"), ~held)
-    scored = predict(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+    with small_batches(spark):
+        model = train(docs.select("doc_id", "text", "lang"), ~held)
+        scored = cut(predict(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"]))
     return scored.select("doc_id", "held_out", "lang_pred", "score", "rejected")

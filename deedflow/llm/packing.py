@@ -9,7 +9,8 @@ at the smallest residual that is enough and goes on through the successors until
 found; without one a bin is opened. There is no limit on the search or on bins.
 
 Documents are dealt to tasks by a hash, about PER_TASK each, and each task packs its own: memory and search are
-bounded whatever the corpus or its hottest source or cluster, and a lost task packs the same again.
+bounded whatever the corpus or its hottest source or cluster, and a lost task packs the same again. Equal rows go to
+several tasks where they are more than an eighth of one.
 
 Defined results: a text without words (null, empty, spaces) gets one row with no bin; a null source is a source
 like another; repeated rows are packed each.
@@ -28,10 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import lean, small_batches, table
+from .common import bounded, cut, lean, small_batches, table
 from .jaccard_join import classes, set_ids
 
 CAPACITY, PER_TASK = 2048, 8192
+#: A table of (hash, parts) of so many rows at most is broadcast.
+HOT_ROWS = 500_000
 
 
 def sequence_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,18 +146,25 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """key, piece, start, length (words), bin_id, offset (in the bin): one row per piece. cluster names a column of
     duplicate classes; without one, near-copies linked at near = (words of a shingle, percent) are a class, or, without that,
     texts with the same words."""
-    small_batches(docs.sparkSession)
     kept = [F.col(key).alias("_key"), F.col(source).cast("string").alias("_source")] + ([F.col(cluster).cast("string").alias("_cluster")] if cluster else [])
     rows = docs.select(*kept, F.col(text).cast("string").alias("_t"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)
     sized = rows.mapInArrow(lean(_sizes(None if cluster or not near else near[0])), f"{schema}, n_words long, words_hash long")
     if near and not cluster:
         # By set, not by id: rows of one id may differ. Only sets with a link have a row.
+        # The join runs here, so its result is there before the texts are read again.
         sized = sized.join(classes(docs, *near, key, text).select(F.col("node").alias("words_hash"), "comp"), "words_hash", "left").withColumn("words_hash", F.coalesce("comp", "words_hash"))
     # Texts without words have no duplicates.
     dup = F.col("_cluster") if cluster else F.when(F.col("n_words") > 0, F.col("words_hash").cast("string"))
-    tasks = max(1, math.ceil(docs.count() / per_task))
-    dealt = sized.select("_key", "_source", dup.alias("_cluster"), "n_words").repartition(tasks, F.xxhash64("_key", "_cluster", "n_words"))
+    sized = sized.select("_key", "_source", dup.alias("_cluster"), "n_words").withColumns({"_hash": F.xxhash64("_key", "_source", "_cluster", "n_words"), "_row": F.monotonically_increasing_id()})
+    with small_batches(docs.sparkSession):
+        sized = cut(sized)
+    tasks = max(1, math.ceil(sized.count() / per_task))
+    # Rows are dealt by what they hold; equal rows beyond a share of a task also by their numbers in the written table.
+    share = max(1, per_task // 8)
+    hot = cut(sized.groupBy("_hash").agg(F.ceil(F.count("*") / share).alias("_parts")).where("_parts > 1"))
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod("_row", "_parts")).otherwise(0)
+    dealt = sized.join(bounded(hot, HOT_ROWS), "_hash", "left").repartition(tasks, "_hash", salt).select("_key", "_source", "_cluster", "n_words")
     out = dealt.mapInArrow(lean(_pack(capacity)), f"_key {docs.schema[key].dataType.simpleString()}, {PACKED}")
     return out.withColumnRenamed("_key", key)
 

@@ -98,7 +98,6 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the array stats of every row."""
-    small_batches(docs.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(lean(_measure), f"{schema}, stats array<float>")
 
@@ -208,6 +207,7 @@ def predict(stats: DataFrame, model: Model, kept: list[str]) -> DataFrame:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    stats = cut(document_statistics(docs.select("doc_id", held.alias("held_out"), "text"), ["doc_id", "held_out"]))
+    with small_batches(spark):
+        stats = cut(document_statistics(docs.select("doc_id", held.alias("held_out"), "text"), ["doc_id", "held_out"]))
     model = train(stats, table(spark, sf_dir, "labels"), ~F.col("held_out"))
     return predict(stats, model, ["doc_id", "held_out"])

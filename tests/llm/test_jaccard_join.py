@@ -71,7 +71,7 @@ def test_components_against_brute_force(spark, monkeypatch, seed, hubs, percent,
 
 
 def test_without_broadcasts(spark, monkeypatch):
-    monkeypatch.setattr(j, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(j, "BROADCAST_BYTES", -1)
     rows = corpus(5, 60)
     assert run(spark, rows) == brute(rows, 4, 85)
 
@@ -98,6 +98,53 @@ def test_chain_of_links(spark):
     assert components(edges.where("u < 0")).collect() == []
 
 
+def test_answers_are_derived_and_one_link_joins_two_components():
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = [np.unique(np.where(rnd.random(60) < 0.12, rnd.integers(0, 1 << 62, 60).astype(np.uint64), base)) for _ in range(300)]
+    sets += [np.unique(rnd.integers(0, 1 << 62, rnd.integers(1, 80)).astype(np.uint64)) for _ in range(40)]
+    overlaps = j.Overlaps(sets)
+    for s in sets:
+        assert overlaps.of(s).tolist() == [len(np.intersect1d(s, t)) for t in sets]
+    assert 1 < len(overlaps.hubs) <= 8
+    comp, places = np.arange(len(sets)) * 7, np.arange(len(sets))
+    alike = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    for rows, columns in ((places, places), (places[:170], places[170:])):
+        links = j.spanning_links(sets, comp, rows, columns, 80)
+        assert all(alike(a, b) for a, b in links) and len(links) < len(sets)
+        up = {i: i for i in places.tolist()}
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for a, b in links:
+            assert root(a) != root(b)
+            up[root(a)] = root(b)
+        assert all(root(a) == root(b) for a in rows.tolist() for b in columns.tolist() if alike(a, b))
+
+
+def near_group(n, words, seed):
+    """n near copies of one text, each with its own words in a few places: few pairs are similar, and all share shingles."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rnd.randint(1, 2)):
+            w[rnd.randrange(words)] = f"own{rnd.randint(0, n)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("percent", "k"), [(80, 5), (85, 4)])
+def test_a_large_group_of_near_copies(spark, monkeypatch, percent, k):
+    monkeypatch.setattr(j, "BLOCK", 150)
+    rows = near_group(400, 56, percent)
+    assert run(spark, rows, k, percent) == brute(rows, k, percent)
+
+
 def test_parity_bitmaps_bound_the_symmetric_difference():
     rnd = np.random.default_rng(4)
     sets = [np.unique(rnd.integers(0, 1 << 63, rnd.integers(1, n)).astype(np.uint64)) for n in (5, 900, 1100, 3000, 9000, 2, 4000)] + [np.zeros(0, np.uint64)]

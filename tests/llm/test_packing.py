@@ -29,6 +29,14 @@ def test_tightest_compatible_bin():
         assert best_fit(*args, 100) == brute(*args, 100)
 
 
+def test_repeated_rows_are_dealt_to_several_tasks(spark):
+    docs = spark.range(900).selectExpr("cast(1 as long) as doc_id", "'same few words' as text", "'s' as source")
+    got = pack(docs, per_task=100).collect()
+    assert len({r.bin_id for r in got}) == len(got) == 900
+    tasks = [r.bin_id >> 40 for r in got]
+    assert max(tasks.count(t) for t in set(tasks)) < 450
+
+
 def test_whole_texts_and_conflicts(spark):
     rnd = random.Random(4)
     rows = [(i, " ".join("w%d" % rnd.randint(0, 50) for _ in range(rnd.randint(1, 90))), f"s{rnd.randint(0, 9)}") for i in range(300)]
