@@ -21,16 +21,17 @@ from pyspark.sql import functions as F
 
 from deedflow.llm import decontaminate as decontamination
 from deedflow.llm import jaccard_join, lang_id, packing, pii
-from deedflow.llm.common import cut, drop_cut, table
+from deedflow.llm.common import cut, drop_cut, small_batches, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    model = lang_id.train(docs.select("doc_id", "text", "lang"), F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    # The scorer hands its kept columns on, the text among them, so the texts are read once.
-    return lang_id.predict(docs, model, COLUMNS).where("not rejected").select(*COLUMNS)
+    with small_batches(spark):
+        model = lang_id.train(docs.select("doc_id", "text", "lang"), F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+        # The scorer hands its kept columns on, the text among them, so the texts are read once.
+        return cut(lang_id.predict(docs, model, COLUMNS).where("not rejected").select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     done = pii.protect(docs.select(*COLUMNS), counts=False)
-    return done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    with small_batches(spark):
+        return cut(done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,14 +70,18 @@ STAGES = [
     ("pii", pii_stage),
     ("packing", packing_stage),
 ]
+#: Stages that run Python over whole texts return a table that they have written, in small batches.
+WRITTEN = {"language_id", "pii"}
 #: Trained models, keyed pseudonyms and bins can't be expressed; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        if name not in WRITTEN:
+            docs = cut(docs)
         if before is not None:
             drop_cut(before)
         before = docs
