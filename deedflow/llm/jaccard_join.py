@@ -10,7 +10,8 @@ prefix-filtered index join with these parts:
 - stars: each list's HUBS nodes of smallest hash are compared with the whole list, where sizes and positions leave room and
   parity bitmaps (their Hamming distance is a lower bound of the symmetric difference) don't exclude the pair;
 - skipping: afterwards a list whose nodes are in one component is done, and a pair in one component is never looked at;
-- longer lists that are still open meet as cells (see open_cells), in blocks of bounded nodes and bytes. There a set's answers, the
+- longer lists that are still open meet as cells (see open_cells), in blocks of bounded nodes and bytes: first bitmaps, which leave
+  the nodes that have a candidate in another component, then their sets. There a set's answers, the
   numbers of shingles in common with all others, are derived from those of a similar set computed before, by the
   difference of the two (Overlaps); sets whose candidates are all in their own component are skipped.
 
@@ -40,7 +41,7 @@ from .common import bounded, cut, drop_cut, lean, shuffle_width, small_batches,
 from .components import components
 
 CELLS, CHUNKS = 1 << 23, 64
-HUBS, BITS = 12, 2048
+HUBS, BITS = 12, 1024
 #: Nodes, and bytes of their sets, of a block.
 BLOCK, BLOCK_BYTES = 4096, 8 << 20
 #: Tables of so many bytes at most (8 for each long) are broadcast.
@@ -274,15 +275,15 @@ def open_cells(rows: DataFrame, percent: int, made: list[DataFrame]) -> DataFram
     return cut(dealt.join(near(named), ["token", "at"]).select("cell", "node", "size", "comp").distinct(), made)
 
 
-def block_pairs(cells: DataFrame, made: list[DataFrame]) -> DataFrame:
-    """cell, i, j, first, node, comp: each cell in blocks of about BLOCK nodes and BLOCK_BYTES of sets, and each of its nodes in every
-    pair i <= j of blocks with its own; first tells whether its own is i."""
-    many = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(8 * F.sum("size") / BLOCK_BYTES))
+def block_pairs(cells: DataFrame, width: float, made: list[DataFrame]) -> DataFrame:
+    """cell, i, j, first, node, comp: each cell in blocks of about BLOCK nodes and BLOCK_BYTES, at width bytes for each shingle, and each
+    of its nodes in every pair i <= j of blocks with its own; first tells whether its own is i."""
+    many = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(width * F.sum("size") / BLOCK_BYTES))
     blocks = cut(cells.groupBy("cell").agg(many.alias("blocks")), made)
     placed = cells.join(near(blocks), "cell").withColumn("own", F.pmod(F.xxhash64("node", F.lit(29)), F.col("blocks")))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     i, j = F.least("own", "other"), F.greatest("own", "other")
-    return paired.select("cell", i.alias("i"), j.alias("j"), (F.col("own") == i).alias("first"), "node", "comp")
+    return cut(paired.select("cell", i.alias("i"), j.alias("j"), (F.col("own") == i).alias("first"), "node", "size", "comp"), made)
 
 
 class Overlaps:
@@ -342,14 +343,39 @@ def spanning_links(sets: list[np.ndarray], comp: np.ndarray, rows: np.ndarray, c
     return out
 
 
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the two blocks of a pair; those of one block twice, if it meets itself."""
+    first, places = np.asarray(group.column("first")).astype(bool), np.arange(group.num_rows)
+    return (places, places) if group.column("i")[0] == group.column("j")[0] else (places[first], places[~first])
+
+
+def _alive(percent: int):
+    """The nodes of a block pair that have a candidate in another component: sizes and parity bitmaps don't exclude it."""
+
+    def run(group: pa.Table) -> pa.Table:
+        node, size, comp = (np.asarray(group.column(c)) for c in ("node", "size", "comp"))
+        maps = group.column("bits").to_pylist()
+        bits = folded(maps, min(map(len, maps)))
+        alive = np.zeros(len(node), bool)
+        rows, columns = _sides(group)
+        theirs = bits[columns]
+        for a in rows.tolist():
+            other = (comp[columns] != comp[a]) & (100 * np.minimum(size[columns], size[a]) >= percent * np.maximum(size[columns], size[a]))
+            if other.any():
+                at = columns[other]
+                near_ = np.bitwise_count(theirs[other] ^ bits[a]).sum(axis=1, dtype=np.int64) <= distance_limit(size[a], size[at], percent)
+                alive[at[near_]] = True
+                alive[a] |= near_.any()
+        return pa.table({"cell": group.column("cell"), "node": group.column("node"), "size": group.column("size"), "comp": group.column("comp")}).filter(pa.array(alive))
+
+    return run
+
+
 def _cell_links(percent: int):
     def run(group: pa.Table) -> pa.Table:
         node, comp = (np.asarray(group.column(c)) for c in ("node", "comp"))
         sets = [np.frombuffer(b.as_py(), np.uint64) for b in group.column("shingles")]
-        first = np.asarray(group.column("first")).astype(bool)
-        places = np.arange(len(sets))
-        whole = group.column("i")[0] == group.column("j")[0]
-        rows, columns = (places, places) if whole else (places[first], places[~first])
+        rows, columns = _sides(group)
         order = np.lexsort((node[rows], [len(sets[r]) for r in rows]))
         pairs = spanning_links(sets, comp, rows[order], columns, percent) if len(rows) and len(columns) else []
         at = np.array(pairs, np.int64).reshape(-1, 2)
@@ -477,9 +503,12 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple
         known = lists.join(labels, "node", "left").select("token", "node", "size", F.coalesce("comp", "node").alias("comp"))
         open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"), made)
         if not open_.isEmpty():
-            paired = cut(block_pairs(open_cells(known.join(near(open_), "token", "left_semi"), percent, made), made), made)
-            met = sets.select("node", "shingles").join(near(paired), "node")
-            found = cut(met.groupBy("cell", "i", "j").applyInArrow(_cell_links(percent), "x long, y long").distinct(), made)
+            paired = block_pairs(open_cells(known.join(near(open_), "token", "left_semi"), percent, made), 0.5, made)
+            met = sets.select("node", "bits").join(near(paired), "node").groupBy("cell", "i", "j")
+            alive = cut(met.applyInArrow(_alive(percent), "cell long, node long, size long, comp long").distinct(), made)
+            paired = block_pairs(alive, 8, made)
+            met = sets.select("node", "shingles").join(near(paired), "node").groupBy("cell", "i", "j")
+            found = cut(met.applyInArrow(_cell_links(percent), "x long, y long").distinct(), made)
             if not found.isEmpty():
                 made.append(labels)
                 labels = _labelled(links.union(found))
