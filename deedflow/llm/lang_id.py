@@ -18,14 +18,17 @@ thousand labelled rows) novelty isn't judged: so few say nothing of rare clean t
 Training and calibration use a sample of labelled rows, chosen by a hash of their id; everything else reads every
 whole text.
 
-Defined results: a null text or one without a letter is `und` with score 0 and is rejected; repeated rows get a
-row each; without labelled rows every prediction is `und`.
+Under 50 labelled rows all train: neither temperature nor rejection is fitted then.
+
+Defined results: a null text or one without a letter is `und` with score 0 and is rejected; a null id is in no fold held out and
+is learned from like others; repeated rows get a row each; equal scores go to the first language by name; without labelled rows
+every prediction is `und`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import cut, lean, small_batches, table
+from .common import cut, drop_cut, lean, small_batches, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
 CALIBRATION, QUANTILE, LEAST, FAR, ENOUGH = 5000, 0.001, 4.0, 0.25, 200
+RARE, LANGUAGES = 100, 1000
 ORDERS = (2, 3, 4)
 SEGMENT = 1 << 18
 #: Other ASCII bytes than letters are one symbol.
@@ -120,23 +124,19 @@ def spreads(off: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     return max(a, 1e-6), max(b, tiny)
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seed: int = 7, most: int = SAMPLE) -> Model:
-    """Per-row SGD on the cross-entropy, the rate falling linearly, on four fifths of the rows, or of most if there are
-    more; then calibration on the others."""
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
+    """Per-row SGD on the cross-entropy, the rate falling linearly; log shares of n-grams by language. Not calibrated."""
     langs = sorted({r[0] for r in rows})
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
     rnd = np.random.default_rng(seed)
-    rows = [rows[i] for i in rnd.permutation(len(rows))]
-    size = min(len(rows), most) * 4 // 5 if len(rows) >= 50 else len(rows)
-    train, held = rows[:size], rows[size:]
     place = {x: i for i, x in enumerate(langs)}
     emb = rnd.uniform(-1, 1, (BUCKETS, DIM)).astype(np.float32) / DIM
     out, bias = np.zeros((len(langs), DIM), np.float32), np.zeros(len(langs), np.float32)
-    steps, t = EPOCHS * len(train), 0
+    steps, t = EPOCHS * len(rows), 0
     for _ in range(EPOCHS):
-        for i in rnd.permutation(len(train)):
-            label, idx, share, _ = train[i]
+        for i in rnd.permutation(len(rows)):
+            label, idx, share, _ = rows[i]
             rate = RATE * (1 - t / steps)
             avg = share @ emb[idx]
             err = softmax(out @ avg + bias)
@@ -146,27 +146,28 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seed: int = 7, most
             bias -= np.float32(rate / 100) * err
             emb[idx] -= np.float32(rate) * np.outer(share, back)
             t += 1
-    grid = emb @ out.T
-    model = Model(langs, grid, bias, 0.0)
-    if held:
-        z = np.array([s @ grid[i] + bias for _, i, s, _ in held])
-        y = np.array([place[r[0]] for r in held])
-        temp = temperature(z, y)
-        model.table, model.bias = (grid / temp).astype(np.float32), bias / temp
-        model.reject_below = 0.5 if len(langs) > 1 else 0.0
-    if len(held) >= ENOUGH:
-        seen = np.full((BUCKETS, len(langs)), 0.5)
-        for label, idx, share, n in train:
-            seen[idx, place[label]] += share * n
-        model.shares = np.log(seen / seen.sum(axis=0)).astype(np.float32)
-        top, n = z.argmax(axis=1), np.array([r[3] for r in held], np.float64)
-        mean = np.array([s @ model.shares[i, t] for (_, i, s, _), t in zip(held, top, strict=True)], np.float64)
-        model.usual = np.zeros((len(langs), 3))
-        for k in range(len(langs)):
-            own = top == k if (top == k).sum() >= 20 else np.ones(len(top), bool)  # too few: as over all languages
-            mu = float((mean[own] * n[own]).sum() / n[own].sum())
-            model.usual[k] = mu, *spreads(mean[own] - mu, n[own])
-        model.least = min(-LEAST, float(np.quantile(model.deviation(mean, n, top), QUANTILE, method="lower")))
+    seen = np.full((BUCKETS, len(langs)), 0.5)
+    for label, idx, share, n in rows:
+        seen[idx, place[label]] += share * n
+    return Model(langs, emb @ out.T, bias, 0.0, np.log(seen / seen.sum(axis=0)).astype(np.float32))
+
+
+def calibrate(model: Model, y: np.ndarray, z: np.ndarray, means: np.ndarray, n: np.ndarray) -> Model:
+    """model with a temperature and rejection, from rows that it wasn't fitted on: their languages, logits, mean log shares by
+    language and numbers of n-grams."""
+    if not len(y):
+        return replace(model, shares=None)
+    temp = temperature(z, y)
+    model = replace(model, table=(model.table / temp).astype(np.float32), bias=model.bias / temp, reject_below=0.5 if len(model.langs) > 1 else 0.0)
+    if len(y) < ENOUGH:
+        return replace(model, shares=None)
+    top, model.usual = z.argmax(axis=1), np.zeros((len(model.langs), 3))
+    mean = means[np.arange(len(top)), top]
+    for k in range(len(model.langs)):
+        own = top == k if (top == k).sum() >= 20 else np.ones(len(top), bool)  # too few: as over all languages
+        mu = float((mean[own] * n[own]).sum() / n[own].sum())
+        model.usual[k] = mu, *spreads(mean[own] - mu, n[own])
+    model.least = min(-LEAST, float(np.quantile(model.deviation(mean, n, top), QUANTILE, method="lower")))
     return model
 
 
@@ -215,14 +216,38 @@ def score_batches(model: Model, kept: list[str]):
 
 
 def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit on the rows of docs where learn holds and the label isn't null, sample of them and CALIBRATION expected at most."""
-    usable = docs.where(learn & F.col(lang).isNotNull())
-    n = usable.count()
-    share = int(min(1.0, (sample + CALIBRATION) / max(n, 1)) * (1 << 30))
-    chosen = usable.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share).where(F.col(text).rlike(r"\p{L}"))
-    got = chosen.select(F.col(lang).cast("string"), F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary, n long").collect()
-    got = sorted(got, key=lambda r: (r.label, bytes(r.idx), bytes(r.share)))
-    return fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32), r.n) for r in got], most=sample)
+    """Fit and calibrate on rows of docs where learn holds and the label isn't null.
+
+    A hash of the id chooses sample + CALIBRATION of them, and RARE of each language at least (expected; all, if fewer). Four fifths
+    of sample, by a hash of what they hold, train, and the others calibrate; the driver gets no more of their n-grams
+    than those of the training rows. Of more than LANGUAGES labels, the most frequent are learned."""
+    usable = docs.where(learn & F.col(lang).isNotNull()).withColumn("_lang", F.col(lang).cast("string"))
+    counts = {r[0]: r[1] for r in usable.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).collect()}
+    if not counts:
+        return fit([])
+    usual = (sample + CALIBRATION) / sum(counts.values())
+    rates = F.create_map(*[F.lit(x) for g, n in counts.items() for x in (g, int(min(1.0, max(usual, RARE / n)) * (1 << 30)))])
+    chosen = usable.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < F.try_element_at(rates, F.col("_lang"))).where(F.col(text).rlike(r"\p{L}"))
+    rows = cut(chosen.select("_lang", F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary, n long").withColumn("_order", F.xxhash64("label", "idx", "share", F.lit(7))))
+    total = rows.count()
+    size = min(total, sample) * 4 // 5 if total >= 50 else total
+    got = rows.orderBy("_order").limit(size).collect()
+    model = fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32), r.n) for r in got])
+    place, grid = {x: i for i, x in enumerate(model.langs)}, np.concatenate([model.table, model.shares], axis=1) if got else None
+
+    def measured(batches):
+        for batch in batches:
+            found = [np.frombuffer(s.as_py(), np.float32) @ grid[np.frombuffer(i.as_py(), np.int32)] for i, s in zip(batch.column(1), batch.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(found, pa.list_(pa.float32()))], names=["label", "n", "sums"])
+
+    held = []
+    if total > size:
+        apart = rows.where((F.col("_order") > got[-1]._order) & F.col("label").isin(model.langs)).drop("_order").mapInArrow(lean(measured), "label string, n long, sums array<float>")
+        held = apart.orderBy(F.xxhash64("label", "n", "sums")).limit(sample + CALIBRATION).collect()
+    drop_cut(rows)
+    c = len(model.langs)
+    sums = np.array([r.sums for r in held], np.float64).reshape(len(held), 2 * c)
+    return calibrate(model, np.array([place[r.label] for r in held], int), sums[:, :c] + model.bias, sums[:, c:], np.array([r.n for r in held], np.float64))
 
 
 def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text") -> DataFrame:
@@ -234,7 +259,7 @@ def predict(docs: DataFrame, model: Model, kept: list[str], text: str = "text")
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     with small_batches(spark):
         model = train(docs.select("doc_id", "text", "lang"), ~held)
         scored = cut(predict(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"]))
