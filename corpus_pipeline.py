@@ -28,10 +28,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    own = [F.col("doc_id").alias("id"), F.xxhash64("text").alias("h")]
     with small_batches(spark):
-        model = lang_id.train(docs.select("doc_id", "text", "lang"), F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-        # The scorer hands its kept columns on, the text among them, so the texts are read once.
-        return cut(lang_id.predict(docs, model, COLUMNS).where("not rejected").select(*COLUMNS))
+        model = lang_id.train(docs.select("doc_id", "text", "lang"), ~held)
+        # Only the rejected rows' ids and text hashes are kept: a decision follows from the text, so equal rows share it.
+        scored = lang_id.predict(docs.select(*own, "text"), model, ["id", "h"])
+        gone = cut(scored.where("rejected").select("id", "h").distinct())
+    return docs.join(jaccard_join.near(gone), F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("h")), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,8 +74,8 @@ STAGES = [
     ("pii", pii_stage),
     ("packing", packing_stage),
 ]
-#: Stages that run Python over whole texts return a table that they have written, in small batches.
-WRITTEN = {"language_id", "pii"}
+#: A stage that returns whole texts from Python returns a table that it has written, in small batches.
+WRITTEN = {"pii"}
 #: Trained models, keyed pseudonyms and bins can't be expressed; the stages are tested against brute force.
 ORACLE_SQL = None
 
