@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 SPREAD = 4096
 
 
+def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """df, marked for broadcast if it has so many rows at most."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def spread(key: Column, rows: DataFrame) -> Column:
     """key, with null and empty values replaced by one of SPREAD values that match nothing, by a hash of the row.
 

@@ -159,19 +159,53 @@ def apply_scraped(matched: DataFrame, scraped: DataFrame) -> DataFrame:
 
 
 def match_by_spellings(owners: DataFrame, scraped: DataFrame) -> DataFrame:
-    """(owner columns, company_number, confidence): by any spelling of the number (1.00), else by name or a previous name (0.90).
+    """(owner columns, company_number, confidence) of every row: by any spelling of the number (1.00), else by name or a previous
+    name (0.90).
 
-    An OR of spellings would be a nested-loop join; each side's spellings are rows of an equi-join here."""
-    mine = owners.withColumn("_s", F.explode_outer(text.number_spellings(F.col("company_reg_no"))))
+    An OR of spellings would be a nested-loop join; each side's spellings are rows of an equi-join here, for every distinct
+    number once. Owners join the results by their number and their name, so rows that repeat come back as often."""
     theirs = scraped.withColumn("_s", F.explode(text.number_spellings(F.col("company_number")))).groupBy("_s").agg(F.min("company_number").alias("_n1"))
+    numbers = owners.where(text.present(F.col("company_reg_no"))).select(F.col("company_reg_no").alias("_reg")).distinct()
+    by_number = numbers.withColumn("_s", F.explode(text.number_spellings(F.col("_reg")))).join(theirs, "_s").groupBy("_reg").agg(F.min("_n1").alias("_n1"))
     names = scraped.withColumn("_s", F.explode(F.array_union(F.array("company_name"), F.coalesce("previous_names", F.array().cast("array<string>")))))
-    names = names.where(text.present(F.col("_s"))).groupBy(F.upper(text.strip(F.col("_s"))).alias("_u")).agg(F.min("company_number").alias("_n2"))
-    mine = mine.withColumn("_s", spread(F.col("_s"), owners))
-    got = mine.join(theirs, "_s", "left").groupBy(*owners.columns).agg(F.min("_n1").alias("_n1")).join(names, F.upper(text.strip(F.col("proprietor_name"))) == F.col("_u"), "left")
+    by_name = names.where(text.present(F.col("_s"))).groupBy(F.upper(text.strip(F.col("_s"))).alias("_u")).agg(F.min("company_number").alias("_n2"))
+    keyed = owners.withColumns({"_rj": spread(F.col("company_reg_no"), owners), "_uj": spread(F.upper(text.strip(F.col("proprietor_name"))), owners)})
+    got = keyed.join(by_number, F.col("_rj") == F.col("_reg"), "left").join(by_name, F.col("_uj") == F.col("_u"), "left")
     number = F.coalesce("_n1", "_n2")
     return got.select(*owners.columns, number.alias("company_number"), _confidence(F.when(F.col("_n1").isNotNull(), 1.0).when(F.col("_n2").isNotNull(), 0.9)).alias("confidence"))
 
 
+SCRAPED = ["company_number", "company_name", "company_status"]
+
+
+def label_scraped(matched: DataFrame, scraped: DataFrame, kinds: tuple[str, ...] = ("No_Match", "Land_Registry")) -> DataFrame:
+    """Unmatched company owners whose name a search found, by the name searched for or by a previous name of the company:
+    matched columns id and proprietor_name, the company, match_type (Exact_Match, Name_Changed, Dissolved_Company,
+    Previous_Name_Match) and match_reason, each combination once. scraped: search_name, SCRAPED, previous_names."""
+    open_ = matched.where(F.col("category").isin(*COMPANY_CATEGORIES) & (F.col("match_type").isNull() | F.col("match_type").isin(*kinds)) & text.present(F.col("proprietor_name"))).select("id", "proprietor_name")
+    direct = F.when(F.col("company_status") == "Dissolved", "Dissolved_Company").when(F.col("_name") != F.col("company_name"), "Name_Changed").otherwise("Exact_Match")
+    searched = scraped.select(F.col("search_name").alias("_name"), *SCRAPED).withColumns({"match_type": direct, "match_reason": F.lit("Direct match on search_name")})
+    former = scraped.select(F.explode("previous_names").alias("_name"), *SCRAPED).withColumns({"match_type": F.lit("Previous_Name_Match"), "match_reason": F.lit("Matched on previous company name")})
+    known = searched.unionByName(former).where("_name is not null").distinct()
+    return open_.join(known, F.col("proprietor_name") == F.col("_name")).drop("_name").distinct()
+
+
+def scraped_label_report(labelled: DataFrame) -> DataFrame:
+    return labelled.groupBy(F.col("proprietor_name").alias("search_name"), *SCRAPED, "match_type", "match_reason").agg(F.count("*").alias("properties"))
+
+
+def candidate_report(owners: DataFrame, scraped: DataFrame) -> DataFrame:
+    """Of owners without a number whose name is a scraped company's search name, name or previous name: matches, companies
+    and titles by kind of match and company status. An OR of names would be a nested-loop join: they are rows here."""
+    names = F.array_distinct(F.concat(F.array("search_name", "company_name"), F.coalesce("previous_names", F.array().cast("array<string>"))))
+    old = F.coalesce(F.array_contains("previous_names", F.col("_name")), F.lit(False))
+    kind = F.when(F.col("_name") == F.col("company_name"), "exact_match").when(old, "previous_name_match").otherwise("search_name_match")
+    known = scraped.withColumn("_name", F.explode(names)).where("_name is not null").select("_name", *SCRAPED, kind.alias("match_type")).distinct()
+    open_ = owners.where(F.col("company_reg_no").isNull()).select("title_number", "proprietor_name").distinct()
+    found = open_.join(known, F.col("proprietor_name") == F.col("_name")).select("title_number", "proprietor_name", *SCRAPED, "match_type").distinct()
+    return found.groupBy("match_type", "company_status").agg(F.count("*").alias("match_count"), F.count_distinct("company_number").alias("unique_companies"), F.count_distinct("title_number").alias("unique_properties"))
+
+
 def unmatched(matched: DataFrame, kind: str = "Land_Registry") -> DataFrame:
     """Distinct names left for a search, with their numbers of titles and a registration number."""
     return matched.where(F.col("match_type") == kind).groupBy(F.upper(text.strip(F.col("proprietor_name"))).alias("search_name")).agg(

@@ -34,6 +34,7 @@ class View:
     months: int = 3
     slots: tuple[int, ...] = (1, 2, 3, 4)
     change_style: str = "reference"
+    null_end: bool = False  # a deletion without a date has no duration
 
 
 #: The named definitions. The first are successive forms of the timeline, the others are built for reports.
@@ -48,6 +49,8 @@ VIEWS = {
     "limited": View("global_max_not_deleted", scope="recent", change_style="short"),
     "companies_only": View("global_max_not_deleted", scope="companies", change_style="short"),
     "all_companies": View("global_max_not_deleted", scope="companies_all", change_style="short"),
+    "slot_one": View("global_max_not_deleted", slots=(1,), change_style="short"),
+    "land_registry": View("global_max_not_deleted", change_style="short", null_end=True),
     "latest_month": View("global_max_not_deleted", scope="latest", slots=(1,), change_style="short"),
 }
 
@@ -85,10 +88,15 @@ def _with_newest(titles: DataFrame) -> DataFrame:
 def _with_company(long: DataFrame, companies: DataFrame | None) -> DataFrame:
     if companies is None or "matched_number" not in long.columns:
         return long
-    ch = companies.select(F.col("company_number").alias("_ch"), F.col("company_name").alias("ch_company_name"), F.col("company_status").alias("ch_company_status"))
+    ch = _one_each(companies, "company_name", "company_status").select(F.col("company_number").alias("_ch"), F.col("company_name").alias("ch_company_name"), F.col("company_status").alias("ch_company_status"))
     return long.withColumn("_number", spread(F.col("matched_number"), long)).join(ch, F.col("_number") == F.col("_ch"), "left").drop("_ch", "_number")
 
 
+def _one_each(companies: DataFrame, *columns: str) -> DataFrame:
+    """One row of the register for each number, so that no join multiplies owners."""
+    return companies.where(F.col("company_number").isNotNull()).groupBy("company_number").agg(F.min(F.struct(*columns)).alias("_c")).select("company_number", "_c.*")
+
+
 def in_scope(long: DataFrame, view: View, as_of: date) -> DataFrame:
     if view.slots != (1, 2, 3, 4):
         long = long.where(F.col("slot").isin(*view.slots))
@@ -153,7 +161,8 @@ def timeline(long: DataFrame, view: View | str = "corrected", as_of: date = date
     if view.status == "date_based":
         end, start = F.lit(as_of), F.col("date_proprietor_added")
     elif view.status == "global_max_not_deleted":
-        end, start = F.when((F.col("change_indicator") == "D") & F.col("change_date").isNotNull(), F.col("change_date")).otherwise(F.lit(as_of)), F.col("date_proprietor_added")
+        ends = (F.col("change_indicator") == "D") & (F.lit(view.null_end) | F.col("change_date").isNotNull())
+        end, start = F.when(ends, F.col("change_date")).otherwise(F.lit(as_of)), F.col("date_proprietor_added")
     quality = labels.match_quality(F.col("match_type")) if "match_type" in long.columns else F.lit("No Match")
     return long.withColumns({
         "change_description": labels.change_label(F.col("change_indicator"), view.change_style),
@@ -241,7 +250,7 @@ def company_portfolio(t: DataFrame) -> DataFrame:
 
 def wide(titles: DataFrame, matches: DataFrame, companies: DataFrame) -> DataFrame:
     """One row per title row with the four matched companies side by side: four joins on the register."""
-    out = titles.join(matches, "id", "left")
+    out, companies = titles.join(matches, "id", "left"), _one_each(companies, "company_name")
     for i in range(1, 5):
         ch = companies.select(F.col("company_number").alias(f"_n{i}"), F.col("company_name").alias(f"_c{i}"))
         out = out.withColumn("_key", spread(F.col(f"ch_matched_number_{i}"), titles)).join(ch, F.col("_key") == F.col(f"_n{i}"), "left").withColumn(f"ch_company_name_{i}", F.coalesce(f"_c{i}", f"ch_matched_name_{i}")).drop("_key", f"_n{i}", f"_c{i}")

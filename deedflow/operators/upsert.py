@@ -38,6 +38,13 @@ def upsert_flagged(table: DataFrame, new: DataFrame, keys: list[str], order: lis
     return last_row(new, keys, order).join(known, keys, "left").withColumn("inserted", F.col("_known").isNull()).drop("_known")
 
 
+def upsert_returning(table: DataFrame, new: DataFrame, keys: list[str], order: list[str], kept: list[str]) -> DataFrame:
+    """The last new row of each key as written, with `inserted`: the columns kept have the old value where the new one is null."""
+    known = last_row(table, keys, order).select(*keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_o_{c}") for c in kept])
+    out = last_row(new, keys, order).join(known, keys, "left").withColumns({c: F.coalesce(c, f"_o_{c}") for c in kept})
+    return out.withColumn("inserted", F.col("_known").isNull()).drop("_known", *[f"_o_{c}" for c in kept])
+
+
 def upsert_filling(table: DataFrame, new: DataFrame, keys: list[str], order: list[str], rules: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
     """As upsert(), but a null or empty new value keeps the old one. rules: column -> f(old, new) for others."""
     rules = rules or {}

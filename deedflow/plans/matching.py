@@ -113,19 +113,52 @@ def match_scraped(spark, d):
 _SPELL = "list_distinct(list_filter([upper(trim({0})), {1}, regexp_replace(upper(trim({0})), '^[A-Z]+', ''), CASE WHEN length(regexp_replace(regexp_replace(upper(trim({0})), '^[A-Z]+', ''), '^0+', '')) < 8 THEN lpad(regexp_replace(regexp_replace(upper(trim({0})), '^[A-Z]+', ''), '^0+', ''), 8, '0') ELSE regexp_replace(regexp_replace(upper(trim({0})), '^[A-Z]+', ''), '^0+', '') END, regexp_replace(regexp_replace(upper(trim({0})), '^[A-Z]+', ''), '^0+', '')], lambda x: x IS NOT NULL AND x <> ''))"
 
 
-@query("match_number_variants", f"""{BASE}, o AS (SELECT DISTINCT proprietor_name, company_reg_no FROM long), c AS (SELECT * FROM companies WHERE company_status = 'Active'),
+@query("match_number_variants", f"""{BASE}, o AS (SELECT id, slot, proprietor_name, company_reg_no FROM long), c AS (SELECT * FROM companies WHERE company_status = 'Active'),
 cs AS (SELECT company_number, unnest({_SPELL.format("company_number", NUMBER_SQL.format("company_number"))}) AS s FROM c),
-os AS (SELECT proprietor_name, company_reg_no, unnest({_SPELL.format("company_reg_no", NUMBER_SQL.format("company_reg_no"))}) AS s FROM o WHERE company_reg_no IS NOT NULL),
-n1 AS (SELECT proprietor_name, company_reg_no, min(company_number) AS n1 FROM os JOIN cs USING (s) GROUP BY 1, 2),
+os AS (SELECT DISTINCT company_reg_no, unnest({_SPELL.format("company_reg_no", NUMBER_SQL.format("company_reg_no"))}) AS s FROM o WHERE company_reg_no IS NOT NULL),
+n1 AS (SELECT company_reg_no, min(company_number) AS n1 FROM os JOIN cs USING (s) GROUP BY 1),
 nn AS (SELECT upper(trim(name)) AS u, min(company_number) AS n2 FROM (SELECT 'Found ' || company_name AS name, company_number FROM c UNION ALL SELECT old, p.company_number FROM previous p JOIN c USING (company_number)) GROUP BY 1)
-SELECT o.proprietor_name, o.company_reg_no, coalesce(n1, n2) AS company_number, CAST(CASE WHEN n1 IS NOT NULL THEN 1.0 WHEN n2 IS NOT NULL THEN 0.9 END AS DOUBLE) AS confidence
-FROM o LEFT JOIN n1 ON o.proprietor_name = n1.proprietor_name AND o.company_reg_no IS NOT DISTINCT FROM n1.company_reg_no LEFT JOIN nn ON upper(trim(o.proprietor_name)) = u""")
+SELECT o.id, o.slot, o.proprietor_name, o.company_reg_no, coalesce(n1, n2) AS company_number, CAST(CASE WHEN n1 IS NOT NULL THEN 1.0 WHEN n2 IS NOT NULL THEN 0.9 END AS DOUBLE) AS confidence
+FROM o LEFT JOIN n1 ON o.company_reg_no = n1.company_reg_no LEFT JOIN nn ON upper(trim(o.proprietor_name)) = u""")
 def match_number_variants(spark, d):
-    owners = slots.unpivot(titles(spark, d)).select("proprietor_name", "company_reg_no").distinct()
+    owners = slots.unpivot(titles(spark, d)).select("id", "slot", "proprietor_name", "company_reg_no")
     out = resolve.match_by_spellings(owners, scraped(spark, d))
     return out.withColumn("confidence", F.col("confidence").cast("double"))
 
 
+#: A search's results, made from the register: it looked for an old style of name, and some companies still have that one.
+_SEARCHED = "concat('Former#', lpad(cast(cast(company_number as int) % 31 as string), 9, '0'), ' PLC')"
+_FOUND = f"""SELECT {_SEARCHED} AS search_name, company_number, CASE WHEN cast(company_number as int) % 3 = 0 THEN {_SEARCHED} ELSE company_name END AS company_name, company_status,
+ 'supplier#' || lpad(cast(cast(company_number as int) % 17 + 1 as string), 9, '0') AS former FROM companies"""
+
+
+def found(spark, d):
+    search = F.expr(_SEARCHED)
+    c = companies(spark, d).withColumn("n", F.col("company_number").cast("int"))
+    former = F.concat(F.lit("supplier#"), F.lpad((F.col("n") % 17 + 1).cast("string"), 9, "0"))
+    return c.select(search.alias("search_name"), "company_number", F.when(F.col("n") % 3 == 0, search).otherwise(F.col("company_name")).alias("company_name"), "company_status", F.array(former).alias("previous_names"))
+
+
+_OPEN = "('Land_Registry', 'Previous_Name', 'Name')"
+
+
+@query("scraped_match_labels", f"""{MATCHED}, f AS ({_FOUND}), u AS (SELECT id, proprietor_name FROM matched WHERE match_type IN {_OPEN}),
+m AS (SELECT u.*, company_number, company_name, company_status, CASE WHEN company_status = 'Dissolved' THEN 'Dissolved_Company' WHEN proprietor_name <> company_name THEN 'Name_Changed' ELSE 'Exact_Match' END AS match_type, 'Direct match on search_name' AS match_reason
+ FROM u JOIN f ON proprietor_name = search_name
+ UNION SELECT u.*, company_number, company_name, company_status, 'Previous_Name_Match', 'Matched on previous company name' FROM u JOIN f ON proprietor_name = former)
+SELECT proprietor_name AS search_name, company_number, company_name, company_status, match_type, match_reason, count(*) AS properties FROM m GROUP BY ALL""")
+def scraped_match_labels(spark, d):
+    return resolve.scraped_label_report(resolve.label_scraped(matched(spark, d), found(spark, d), ("Land_Registry", "Previous_Name", "Name")))
+
+
+@query("candidate_report", f"""{BASE}, f AS ({_FOUND}), p AS (SELECT DISTINCT title_number, proprietor_name, company_number, company_name, company_status,
+ CASE WHEN proprietor_name = company_name THEN 'exact_match' WHEN proprietor_name = former THEN 'previous_name_match' ELSE 'search_name_match' END AS match_type
+ FROM long JOIN f ON proprietor_name = search_name OR proprietor_name = company_name OR proprietor_name = former WHERE company_reg_no IS NULL)
+SELECT match_type, company_status, count(*) AS match_count, count(DISTINCT company_number) AS unique_companies, count(DISTINCT title_number) AS unique_properties FROM p GROUP BY 1, 2""")
+def candidate_report(spark, d):
+    return resolve.candidate_report(slots.unpivot(titles(spark, d)), found(spark, d))
+
+
 @query("unmatched_export", f"{MATCHED} SELECT upper(trim(proprietor_name)) AS search_name, max(company_reg_no) AS company_reg_no, count(DISTINCT title_number) AS properties FROM matched WHERE match_type = 'Land_Registry' GROUP BY 1")
 def unmatched_export(spark, d):
     return resolve.unmatched(matched(spark, d))
@@ -167,6 +200,16 @@ def incremental_missing(spark, d):
     return resolve.incremental(slots.unpivot(titles(spark, d)), matched(spark, d).where("slot <> 2")).select("id", "slot")
 
 
+@query("incremental_full", f"{BASE} SELECT id, slot FROM long")
+def incremental_full(spark, d):
+    return resolve.incremental(slots.unpivot(titles(spark, d)), None, "full").select("id", "slot")
+
+
+@query("incremental_no_match", f"{MATCHED} SELECT id, slot FROM matched WHERE match_type IN ('No_Match', 'Land_Registry')")
+def incremental_no_match(spark, d):
+    return resolve.incremental(slots.unpivot(titles(spark, d)), matched(spark, d), "no_match_only").select("id", "slot")
+
+
 @query("incremental_date_range", f"{BASE} SELECT id, slot FROM long WHERE file_month BETWEEN DATE '1997-01-01' AND DATE '1997-06-01'")
 def incremental_range(spark, d):
     return resolve.incremental(slots.unpivot(titles(spark, d)), None, "date_range", date_range=("1997-01-01", "1997-06-01")).select("id", "slot")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -43,6 +44,17 @@ def upsert_flags(spark, d):
     return upsert.upsert_flagged(old, new, KEY, _ORDER).select("id", "inserted")
 
 
+@query("upsert_returning", f"{_SIDES} SELECT n.id, title_number, CAST(file_month AS VARCHAR) AS file_month, coalesce(n.price_paid, o.price_paid) AS price_paid, o.id IS NULL AS inserted FROM new n LEFT JOIN old o USING (title_number, file_month)")
+def upsert_returning(spark, d):
+    old, new = parts(spark, d)
+    return text_dates(upsert.upsert_returning(old, new, KEY, _ORDER, ["price_paid"]).select("id", *KEY, "price_paid", "inserted"))
+
+
+@query("events_by_day", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS events FROM events GROUP BY 1, 2")
+def events_by_day(spark, d):
+    return table(spark, d, "events").groupBy(F.to_date("ts").cast("string").alias("day"), "event_type").agg(F.count("*").alias("events"))
+
+
 @query("upsert_fill_nulls", f"""{_SIDES} SELECT title_number, CAST(file_month AS VARCHAR) AS file_month, coalesce(n.price_paid, o.price_paid) AS price_paid, coalesce(nullif(n.region, ''), o.region) AS region,
  CASE WHEN n.id IS NULL THEN o.source_filename WHEN o.id IS NULL THEN n.source_filename WHEN o.source_filename = 'basic_file' THEN 'basic_file+overview_scrape' WHEN o.source_filename LIKE '%scrape%' THEN o.source_filename ELSE n.source_filename END AS source_filename FROM old o FULL JOIN new n USING (title_number, file_month)""")
 def upsert_fill(spark, d):
@@ -258,7 +270,11 @@ def arrival_windows(spark, d):
 @query("stream_upsert", f"{BASE} SELECT title_number, CAST(file_month AS VARCHAR) AS file_month, id FROM (SELECT *, row_number() OVER (PARTITION BY title_number, file_month ORDER BY source_filename DESC, id DESC) AS rn FROM titles) WHERE rn = 1")
 def stream_upsert(spark, d):
     """The title rows through the streaming upsert, file by file, into a partitioned table that is read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:  # only a local session shares the driver's files
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/checkpoints"
     out = os.path.join(base, uuid.uuid4().hex)
     source = spark.readStream.schema(table(spark, d, "lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
     from .testdata import TITLES

@@ -46,11 +46,11 @@ def timeline_sql(name: str) -> str:
     else:
         status = f"CASE WHEN {STATUS[v.status]} THEN 'Current' ELSE 'Historical' END"
         if v.status == "global_max_not_deleted":
-            months = MONTHS.format(e=f"(CASE WHEN change_indicator = 'D' AND change_date IS NOT NULL THEN change_date ELSE {DAY} END)", s="date_proprietor_added")
+            months = MONTHS.format(e=f"(CASE WHEN change_indicator = 'D'{'' if v.null_end else ' AND change_date IS NOT NULL'} THEN change_date ELSE {DAY} END)", s="date_proprietor_added")
         else:
             months = MONTHS.format(e=f"coalesce(change_date, {DAY})", s="coalesce(date_proprietor_added, file_month)")
     change = {"reference": "WHEN 'M' THEN 'Modified' ELSE 'Unchanged'", "updated": "WHEN 'U' THEN 'Updated' ELSE 'No Change'", "short": "ELSE 'No Change'"}[v.change_style]
-    return f"""{OWNED}, scoped AS (SELECT * FROM owners WHERE {SCOPES[v.scope]}), one AS ({DEDUP[v.dedup]}), ranked AS (SELECT *, {RANK.format('slot, ')} AS recency FROM one),
+    return f"""{OWNED}, scoped AS (SELECT * FROM owners WHERE {SCOPES[v.scope]} AND slot IN ({', '.join(map(str, v.slots))})), one AS ({DEDUP[v.dedup]}), ranked AS (SELECT *, {RANK.format('slot, ')} AS recency FROM one),
 tl AS (SELECT *, {status} AS ownership_status, CASE change_indicator WHEN 'A' THEN 'Added' WHEN 'D' THEN 'Deleted' {change} END AS change_description,
  CASE match_type WHEN 'Name+Number' THEN 'Excellent' WHEN 'Number' THEN 'Very Good' WHEN 'Name' THEN 'Good' WHEN 'Previous_Name' THEN 'Fair' ELSE 'Unknown' END AS match_quality,
  CAST(row_number() OVER (PARTITION BY title_number, proprietor_name ORDER BY file_month, slot, id) AS INTEGER) AS ownership_sequence, CAST({months} AS INTEGER) AS ownership_duration_months FROM ranked)"""

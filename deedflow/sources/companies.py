@@ -69,7 +69,9 @@ def merge_rescraped(main: DataFrame, again: DataFrame, name: str = "Search Name"
     """Rows of main in ERROR take the repeated search's row of that name (the last one), in its columns; others stay."""
     keep = [c for c in again.columns if c != "Original Error"]
     key = lambda f: F.lower(text.strip(f[name]))
-    fresh = again.groupBy(key(again).alias("_k")).agg(F.last(F.struct(*[F.col(f"`{c}`") for c in keep])).alias("_r"))
+    # Row numbers of a read follow the file, so the last row is the one that the file has last.
+    numbered = again.withColumn("_row", F.monotonically_increasing_id())
+    fresh = numbered.groupBy(key(numbered).alias("_k")).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in keep]), "_row").alias("_r"))
     use = F.col("_r").isNotNull() & (text.strip(F.col(f"`{state}`")) == "ERROR")
     joined = main.join(fresh, key(main) == F.col("_k"), "left")
     return joined.select(*[F.when(use, F.col("_r")[c]).otherwise(from_header(main, c)).alias(c) for c in keep])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dates
+from ..operators.joins import bounded
 from ..operators.upsert import upsert
 from ..sources.tables import write_partitions
 from ..sources.titles import KEY, LOAD_ORDER, from_header, parse_titles
@@ -24,15 +25,17 @@ def upsert_batch(path: str, keys: list[str] = KEY, order: list[str] = LOAD_ORDER
         if batch.isEmpty():
             return
         spark = batch.sparkSession
+        # Rows that order leaves equal go by their place in the batch: a file is read by one task, in its order.
+        columns, batch = batch.columns, batch.withColumn("_place", F.monotonically_increasing_id())
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(where):
-            old = spark.read.schema(batch.schema).parquet(path).join(F.broadcast(batch.select(by).distinct()), by, "left_semi")
+            old = spark.read.schema(batch.drop("_place").schema).parquet(path).join(bounded(batch.select(by).distinct()), by, "left_semi")
         else:
-            old = batch.limit(0)
+            old = batch.drop("_place").limit(0)
         aside = f"{path}_epoch_{epoch}"
-        upsert(old.select(*batch.columns), batch, keys, order).write.mode("overwrite").parquet(aside)
-        write_partitions(spark.read.schema(batch.schema).parquet(aside), path, by)
+        upsert(old.select(*columns), batch, keys, [*order, "_place"]).write.mode("overwrite").parquet(aside)
+        write_partitions(spark.read.schema(batch.drop("_place").schema).parquet(aside), path, by)
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
 
     return run
@@ -42,7 +45,7 @@ def title_files(spark: SparkSession, folder: str, columns: list[str]) -> DataFra
     """Snapshot rows of the CSV files that arrive in a folder; columns are their headers, in file order."""
     schema = ", ".join(f"`{c}` string" for c in columns)
     raw = spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(folder)
-    # A stream has no stable row number: within a file, the change date orders rows of one key.
+    # A stream has no row number: within a file, the change date orders rows of one key, then their place in it.
     raw = raw.withColumn("_file", F.col("_metadata.file_name"))
     order = F.coalesce(F.unix_date(dates.snapshot_date(from_header(raw, "Change Date"))), F.lit(0)).cast("long")
     return parse_titles(raw, F.col("_file"), row_no=order)

@@ -52,7 +52,8 @@ def plan(df):
 def test_no_nested_loops_and_one_scan_of_titles(spark, name):
     shown = plan(catalog.QUERIES[name](spark, SF))
     assert "NestedLoop" not in shown and "Cartesian" not in shown
-    assert shown.count("lineitem.parquet") <= (2 if name == "wide_companies" else 1)
+    # match_number_variants reads the distinct numbers by themselves: one column, instead of each row once for each spelling.
+    assert shown.count("lineitem.parquet") <= (2 if name in ("wide_companies", "match_number_variants") else 1)
 
 
 def test_scan_reads_only_what_a_query_needs(spark):
