@@ -231,7 +231,9 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     rows = cut(chosen.select("_lang", F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary, n long").withColumn("_order", F.xxhash64("label", "idx", "share", F.lit(7))))
     total = rows.count()
     size = min(total, sample) * 4 // 5 if total >= 50 else total
-    got = rows.orderBy("_order").limit(size).collect()
+    # The place of the last training row first, from the order alone; of rows that hold the same, any may be left out.
+    last = rows.select("_order").orderBy("_order").limit(size).agg(F.max("_order")).first()[0]
+    got = sorted(rows.where(F.col("_order") <= F.lit(last)).limit(size).collect(), key=lambda r: (r._order, r.label, bytes(r.idx)))
     model = fit([(r.label, np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32), r.n) for r in got])
     place, grid = {x: i for i, x in enumerate(model.langs)}, np.concatenate([model.table, model.shares], axis=1) if got else None
 

@@ -10,10 +10,13 @@ The permutation works on Z_a x Z_b by modular addition, ROUNDS times, with keyed
 bijection for any a and b. Sets that don't factor are walked in cycles inside a slightly larger one.
 
 Punctuation around a value doesn't matter, only a number or word that goes on; of a match that isn't valid, its beginnings are
-tried. Ten digits without a + are a telephone number if they begin with 2 to 9, or have dots or hyphens.
+tried. Ten digits are a telephone number if they begin with an area code (2 to 9 first); with +1 or a bracket also if they don't,
+for unassigned numbers are written too, and then the pseudonym begins with 0 or 1 as well. An e-mail address is taken whole,
+however long.
 
 Where values overlap, the earlier kind in KINDS wins, then the leftmost. Text outside valid values isn't touched.
-Defined results: a null text stays null; an empty one stays empty; every row gives a row.
+Defined results: a null text stays null; an empty one stays empty; every row gives a row, and repeated rows the same; a long text is
+read as one, whatever its length.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
 from hashlib import blake2b
+from secrets import token_hex
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,8 +37,8 @@ from .common import lean, table
 
 KINDS = ("email", "iban", "ip", "card", "ssn", "phone", "date")
 ROUNDS = 10
-#: For tests and demonstrations; a deployment passes its own secret.
-KEY = b"deedflow demonstration key"
+#: The session's setting with the key.
+PII_KEY = "deedflow.pii.key"
 
 
 class Feistel:
@@ -127,9 +131,16 @@ def email(fe: Feistel, m: str, back: bool = False) -> str | None:
     return f"{letters(fe, name, 'email', back)}@{letters(fe, host, 'domain', back)}.{top}"
 
 
+#: Fixed values (ISO 13616): lengths by country; other countries' may have any.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GI": 23, "GR": 27, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+}
+
+
 def iban(fe: Feistel, m: str, back: bool = False) -> str | None:
     flat_ = m.replace(" ", "")
-    if not 15 <= len(flat_) <= 34 or iban_check(flat_[:2], flat_[4:]) != flat_[2:4]:
+    if not 15 <= len(flat_) <= 34 or len(flat_) != IBAN_LENGTHS.get(flat_[:2], len(flat_)) or iban_check(flat_[:2], flat_[4:]) != flat_[2:4]:
         return None
     rest = letters(fe, flat_[4:], "iban" + flat_[:2], back)
     return spread(m, flat_[:2] + iban_check(flat_[:2], rest) + rest, lambda c: c != " ")
@@ -171,6 +182,8 @@ def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
     d = digits_of(m)
     local = d[1:] if m.startswith("+1") and len(d) == 11 else d if len(d) == 10 and not m.startswith("+") else None
     if local:  # ten digits in a North American layout; the country code stays, and so does whether they begin with 0 or 1
+        if local[0] in "01" and not m.startswith(("+", "(")):
+            return None  # no area code, and nothing else says that it is a telephone number
         low = 0 if local[0] in "01" else 2
         got = fe.mixed([int(local[0]) - low, *map(int, local[1:])], [8 if low else 2] + [10] * 9, f"phone{low}", back)
         return spread(m, d[: len(d) - 10] + str(got[0] + low) + "".join(map(str, got[1:])))
@@ -227,7 +240,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
     at, free = text.find("@"), 0
     while at >= 0:
         lo = at
-        while lo > free and at - lo < 64 and (text[lo - 1].isascii() and text[lo - 1].isalnum() or text[lo - 1] in "._%+-"):
+        while lo > free and (text[lo - 1].isascii() and text[lo - 1].isalnum() or text[lo - 1] in "._%+-"):
             lo -= 1
         while lo < at and not text[lo].isalnum():
             lo += 1
@@ -281,11 +294,17 @@ def pseudonymise(text: str, swap: Callable[[str, str], str | None]) -> tuple[str
     return "".join([*out, text[last:]]), counts
 
 
-def protect(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bool = True) -> DataFrame:
-    """docs with text pseudonymised in place; with counts, also n_email .. n_date (long)."""
+def protect(docs: DataFrame, key: bytes, text: str = "text", counts: bool = True) -> DataFrame:
+    """docs with text pseudonymised in place under a secret key; with counts, also n_email .. n_date (long), in place of
+    columns of docs with such a name."""
+    if not key:
+        raise ValueError("a secret key is needed")
+    if counts:
+        docs = docs.drop(*[f"n_{k}" for k in KINDS])
     names = docs.columns
     at = names.index(text)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + "".join(f", _n_{k} long" for k in KINDS)
+    more = [f"n_{k}" for k in KINDS] if counts else []
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + "".join(f", {n} long" for n in more)
 
     def run(batches):
         fe = Feistel(key)
@@ -311,11 +330,16 @@ def protect(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bool
                 mask = pa.array([i in changed for i in range(len(column))])
                 column = pc.replace_with_mask(column, mask, pa.array([changed[i] for i in sorted(changed)], column.type))
             columns = [column if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[k], pa.int64()) for k in KINDS)], names=[*names, *(f"_n_{k}" for k in KINDS)])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[n[2:]], pa.int64()) for n in more)], names=[*names, *more])
+
+    return docs.mapInArrow(lean(run), schema)
+
 
-    out = docs.mapInArrow(lean(run), schema)
-    return out.withColumnsRenamed({f"_n_{k}": f"n_{k}" for k in KINDS}) if counts else out.select(*[F.col(f"`{n}`") for n in names])
+def session_key(spark: SparkSession) -> bytes:
+    """The secret that the session names in PII_KEY; without one a random key for this call, so that nobody can undo
+    pseudonyms by reading this code."""
+    return (spark.conf.get(PII_KEY, None) or token_hex(32)).encode()
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return protect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return protect(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark))

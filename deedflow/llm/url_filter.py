@@ -66,14 +66,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: s
     ).withColumn("short", F.substring("digest", 1, PREFIX_HEX))
     if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
         known = F.broadcast(known)
-    # Expressions of one URL stay in its task until the partial maximum has made them one row; each row's
-    # empty expression counts the rows, so that repeated rows come back as often as they came.
-    tried = base.withColumn("digest", F.explode(F.concat(F.array(F.lit("")), F.transform(expressions(F.col("_host"), F.col("_path"), labels, lengths), lambda x: F.sha2(x, 256)))))
+    # Expressions of one URL stay in its task until the partial maximum has made them one row; its first expression (a URL
+    # without any has one that no rule has, by its own hash) counts the rows, so that repeated rows come back as often as they came.
+    digests = F.transform(expressions(F.col("_host"), F.col("_path"), labels, lengths), lambda x: F.sha2(x, 256))
+    own = F.concat(F.lit("-"), F.hex(F.xxhash64("_key", "_host", "_path")))
+    tried = base.withColumn("_d", digests).withColumn("_d", F.when(F.size("_d") > 0, F.col("_d")).otherwise(F.array(own)))
+    tried = tried.select("_key", "_host", "_path", F.posexplode("_d").alias("_n", "digest"))
     met = (
         tried.withColumn("short", F.substring("digest", 1, PREFIX_HEX))
         .join(known.withColumnRenamed("digest", "full"), "short", "left")
         .groupBy("_key", "_host", "_path")
-        .agg(F.max(F.when(F.col("digest") == F.col("full"), F.col("fit"))).alias("fit"), F.count_if(F.col("digest") == "").alias("rows"))
+        .agg(F.max(F.when(F.col("digest") == F.col("full"), F.col("fit"))).alias("fit"), F.count_if(F.col("_n") == 0).alias("rows"))
     )
     met = met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return met.select(*out, F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.lit(default)).alias("verdict"))

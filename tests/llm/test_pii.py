@@ -3,8 +3,9 @@ import random
 import pytest
 
 from deedflow.llm import pii
-from deedflow.llm.pii import KEY, MAPS, Feistel, iban_check, luhn, protect, pseudonymise
+from deedflow.llm.pii import MAPS, Feistel, iban_check, luhn, protect, pseudonymise
 
+KEY = b"a key for tests"
 FE = Feistel(KEY)
 
 
@@ -84,7 +85,24 @@ def test_rows(spark):
     rows = [(1, None, "q"), (2, "", "q"), (3, VALUES["email"][0], None), (3, VALUES["email"][0], None), (None, "x " * 50_000 + VALUES["phone"][0], "z")]
     rows += [(10 + i, " ".join(rnd.choice(VALUES[rnd.choice(pii.KINDS)]) for _ in range(20)), "s") for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_email_x string")
-    got = protect(docs).collect()
+    got = protect(docs, KEY).collect()
     assert sorted((str(r.doc_id), r.text or "", r.n_email, r.n_phone) for r in got) == sorted((str(d), (pseudonymise(t, swap)[0] if t else t or ""), *(pseudonymise(t or "", swap)[1].get(k, 0) for k in ("email", "phone"))) for d, t, _ in rows)
-    assert protect(docs.limit(0)).collect() == []
-    assert protect(docs, counts=False).columns == docs.columns
+    assert protect(docs.limit(0), KEY).collect() == []
+    assert protect(docs, KEY, counts=False).columns == docs.columns
+    clash = docs.withColumnRenamed("n_email_x", "n_email").withColumn("_n_email", docs.doc_id)
+    assert sorted(map(str, protect(clash, KEY).select("text", "n_email").collect())) == sorted(map(str, protect(docs, KEY).select("text", "n_email").collect()))
+    assert protect(clash, KEY, counts=False).columns == clash.columns
+    with pytest.raises(ValueError, match="secret"):
+        protect(docs, b"")
+
+
+def test_an_address_is_taken_whole():
+    new, n = pseudonymise("z" * 70 + "@x.com", swap)
+    assert n == {"email": 1} and not new.startswith("zzzz") and new.endswith(".com") and len(new) == 76
+
+
+def test_lengths_of_ibans_and_area_codes_count():
+    body = "3704004405320130"
+    short = "DE" + iban_check("DE", body) + body  # right check digits, but a German one has 22 characters
+    assert MAPS["iban"](FE, short) is None
+    assert pseudonymise("000-000-0000 and 112-555-1234", swap)[1] == {}
