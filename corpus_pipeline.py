@@ -58,7 +58,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = pii.protect(docs.select(*COLUMNS), counts=False)
+    done = pii.protect(docs.select(*COLUMNS), pii.session_key(spark), counts=False)
     with small_batches(spark):
         return cut(done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
