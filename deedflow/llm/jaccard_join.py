@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -82,25 +82,28 @@ def cells(shingles: np.ndarray) -> np.ndarray:
 
 
 def _heads(k: int):
-    """id, text -> id, n, node of every document; at the end the task's part of the sketch, in chunks."""
+    """id, any columns, text -> id, those columns, words, n, node of every document; at the end the task's part of the sketch, in
+    chunks."""
 
     def run(batches):
-        sketch, kind, name = np.zeros(CELLS, np.uint32), None, None
+        sketch, fields, names = np.zeros(CELLS, np.uint32), [], []
         for batch in batches:
-            kind, name = batch.schema.field(0).type, batch.schema.names[0]
-            sizes, nodes = [], []
-            for _, data, offsets in textvec.groups(batch.column(1)):
-                doc, hs = textvec.shingle_sets(data, offsets, k)
+            kept = batch.columns[:-1]
+            fields, names = [c.type for c in kept], [*batch.schema.names[:-1], "words", "n", "node", "chunk", "sketch"]
+            counts, sizes, nodes = [], [], []
+            for _, data, offsets in textvec.groups(batch.column(batch.num_columns - 1)):
+                doc, hs, count = textvec.counted_sets(data, offsets, k)
                 size, node = set_ids(doc, hs, len(offsets) - 1)
+                counts.append(count)
                 sizes.append(size)
                 nodes.append(node)
                 np.add.at(sketch, cells(hs), np.uint32(1))
             if sizes:
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
-        if kind is not None and sketch.any():
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(np.concatenate(x)) for x in (counts, sizes, nodes)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+        if sketch.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(sketch, CHUNKS)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=[name, "n", "node", "chunk", "sketch"])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(CHUNKS, t) for t in [*fields, pa.int64(), pa.int64(), pa.int64()]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
     return run
 
@@ -466,21 +469,23 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def classes(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """node, comp of every set (see set_ids) with a link to another, marked for broadcast if it is small."""
-    heads, labels = _linked(docs, k, percent, key, text)
-    drop_cut(heads)
-    return near(labels)
+def classes(docs: DataFrame, k: int, percent: int, kept: list[Column], key: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
+    """id, the columns kept, words (their number) and class (of equal or linked sets) of every row, and the tables to drop when
+    that is written."""
+    heads, labels = _linked(docs, k, percent, key, text, kept)
+    found = heads.join(near(labels), "node", "left").withColumn("class", F.coalesce("comp", "node"))
+    return found.drop("node", "comp", "n"), [heads, labels]
 
 
-def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(id, n, node of every row; node, comp of every node with a link), both in the shared folder, where nothing else stays."""
+def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str, kept: list[Column] = []) -> tuple[DataFrame, DataFrame]:
+    """(id, columns kept, words, n, node of every row; node, comp of every node with a link), both in the shared folder, where nothing else stays."""
     spark, made = docs.sparkSession, []
-    texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
-    id_type = texts.schema["id"].dataType.simpleString()
+    whole = docs.select(F.col(key).alias("id"), *kept, F.col(text).cast("string").alias("t"))
+    texts = whole.select("id", "t")
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema[:-1])
     with small_batches(spark):
-        first = cut(texts.mapInArrow(lean(_heads(k)), f"id {id_type}, n long, node long, chunk int, sketch binary"), made)
-        heads = cut(first.where("chunk is null").select("id", "n", "node"))
+        first = cut(whole.mapInArrow(lean(_heads(k)), f"{own}, words long, n long, node long, chunk int, sketch binary"), made)
+        heads = cut(first.where("chunk is null").drop("chunk", "sketch"))
         total = heads.agg(F.sum("n")).first()[0] or 0
         usual = max(total / CELLS, 1.0)
         # 1. The global order.

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec
-from .common import bounded, cut, lean, small_batches, table
-from .jaccard_join import classes, set_ids
+from .common import bounded, cut, drop_cut, lean, small_batches, table
+from .jaccard_join import classes
 
 CAPACITY, PER_TASK = 2048, 8192
 #: A table of (hash, parts) of so many rows at most is broadcast.
@@ -52,23 +52,13 @@ def sequence_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return count, textvec.mix(out)
 
 
-def _sizes(k: int | None):
-    """Number of words and, in place of the text, the hash of the word sequence, or the id of the set of k-word shingles."""
-
-    def one(data, offsets):
-        count, seq = sequence_hashes(data, offsets)
-        if not k:
-            return count, seq.view(np.int64)
-        return count, set_ids(*textvec.shingle_sets(data, offsets, k), len(offsets) - 1)[1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [one(d, o) for _, d, o in textvec.groups(batch.column(batch.num_columns - 1))]
-            count = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-            ids = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(count), pa.array(ids)], names=[*batch.schema.names[:-1], "n_words", "words_hash"])
-
-    return run
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of words and, in place of the text, the hash of the word sequence."""
+    for batch in batches:
+        parts = [sequence_hashes(d, o) for _, d, o in textvec.groups(batch.column(batch.num_columns - 1))]
+        count = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+        ids = np.concatenate([p[1].view(np.int64) for p in parts]) if parts else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(count), pa.array(ids)], names=[*batch.schema.names[:-1], "n_words", "words_hash"])
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[tuple[int, int]]:
@@ -146,19 +136,20 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """key, piece, start, length (words), bin_id, offset (in the bin): one row per piece. cluster names a column of
     duplicate classes; without one, near-copies linked at near = (words of a shingle, percent) are a class, or, without that,
     texts with the same words."""
-    kept = [F.col(key).alias("_key"), F.col(source).cast("string").alias("_source")] + ([F.col(cluster).cast("string").alias("_cluster")] if cluster else [])
-    rows = docs.select(*kept, F.col(text).cast("string").alias("_t"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)
-    sized = rows.mapInArrow(lean(_sizes(None if cluster or not near else near[0])), f"{schema}, n_words long, words_hash long")
+    own, done = F.col(source).cast("string").alias("_source"), []
     if near and not cluster:
-        # By set, not by id: rows of one id may differ. Only sets with a link have a row.
-        # The join runs here, so its result is there before the texts are read again.
-        sized = sized.join(classes(docs, *near, key, text).select(F.col("node").alias("words_hash"), "comp"), "words_hash", "left").withColumn("words_hash", F.coalesce("comp", "words_hash"))
+        found, done = classes(docs, *near, [own], key, text)
+        sized = found.withColumnsRenamed({"id": "_key", "words": "n_words", "class": "words_hash"})
+    else:
+        rows = docs.select(F.col(key).alias("_key"), own, *([F.col(cluster).cast("string").alias("_cluster")] if cluster else []), F.col(text).cast("string").alias("_t"))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_t").schema)
+        sized = rows.mapInArrow(lean(_sizes), f"{schema}, n_words long, words_hash long")
     # Texts without words have no duplicates.
     dup = F.col("_cluster") if cluster else F.when(F.col("n_words") > 0, F.col("words_hash").cast("string"))
     sized = sized.select("_key", "_source", dup.alias("_cluster"), "n_words").withColumns({"_hash": F.xxhash64("_key", "_source", "_cluster", "n_words"), "_row": F.monotonically_increasing_id()})
     with small_batches(docs.sparkSession):
         sized = cut(sized)
+    drop_cut(*done)
     tasks = max(1, math.ceil(sized.count() / per_task))
     # Rows are dealt by what they hold; equal rows beyond a share of a task also by their numbers in the written table.
     share = max(1, per_task // 8)

@@ -106,10 +106,15 @@ def shingle(word: np.ndarray, k: int) -> np.ndarray:
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash) of every document's distinct k-word shingles, sorted; a document of fewer words,
     but not none, has its whole sequence as one."""
+    return counted_sets(data, offsets, k)[:2]
+
+
+def counted_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """shingle_sets(), and the number of words of each document."""
     word, doc, _, _ = words(data, offsets)
-    if not len(word):
-        return doc, word
     count = np.bincount(doc, minlength=len(offsets) - 1)
+    if not len(word):
+        return doc, word, count
     at = np.cumsum(count) - count
     got = shingle(word, k)
     inside = np.ones(len(word), bool)
@@ -132,4 +137,4 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     ds = np.repeat(np.arange(len(size)), size)
     keep = np.ones(len(hs), bool)
     keep[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
-    return ds[keep], hs[keep]
+    return ds[keep], hs[keep], count
