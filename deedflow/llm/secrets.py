@@ -11,6 +11,8 @@ operations, and the fitted table has alphabet-squared cells, whatever the corpus
 
 Digits alone, of any length, aren't spans: pairs of characters don't tell random digits from ordinary numbers.
 
+A part that overlaps a base span, wholly or in part, is left to that span. Long texts are scanned whole, candidate by candidate.
+
 Positions are code points. They come from the pieces between the matches (split) and the matches' own lengths.
 
 Defined results: a null text is empty; texts without spans give zero counts, the hash of nothing and an empty list;
@@ -78,7 +80,7 @@ WORDS = (
     "replace report request resource response result return review router sample schedule schema scope screen search second section security select sequence server service session setting shadow "
     "shared shutdown signal simple single snapshot source standard start statement static status storage stream string structure style submit summary support switch system table target template "
     "terminal testing thread ticket timeout tracker transaction transfer transform translate update upload utility validate value variable vector version viewer visible volume warning widget window "
-    "worker workflow writer zone chapitre nicht verein lichkeit mentation eauouvrir ciones sobre porque entre heiten schreiben ueberall gesellschaft traduction enseignement nouvelle ecriture corazon trabajo"
+    "worker workflow writer zone chapitre verein sobre porque schreiben gesellschaft traduction enseignement ecriture corazon trabajo"
 ).split()
 
 

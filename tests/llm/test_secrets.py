@@ -1,9 +1,14 @@
 import hashlib
+import math
 import random
 import re
+import string
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from deedflow.llm import secrets
 from deedflow.llm import secrets as s
 
 
@@ -85,3 +90,64 @@ def test_query_columns_and_empty_table(spark, ratios, tmp_path):
     none = (1, 0, 0, 0, hashlib.sha256(b"").hexdigest(), "")
     assert rows == [none, *[(2, 1, 0, 0, hashlib.sha256(b"assign:0:18").hexdigest(), "assign:0:18")] * 2]
     assert run(spark, [], ratios) == {}
+
+
+def walked(text, ratios):
+    """markov spans, one character at a time."""
+    out = []
+    for m in re.finditer(secrets.CANDIDATE, text):
+        s = m[0]
+        code = [secrets.ALPHABET.find(c) + 1 for c in s]
+        parts, total, start, peak, end = [], 0.0, 0, 0.0, 0
+
+        def close():
+            if peak >= secrets.THRESHOLD and peak >= secrets.MARGIN * (end - start):
+                parts.append((start, end))
+
+        for at, (a, b) in enumerate(zip(code, code[1:]), 1):
+            total += round(ratios[a * secrets.WIDE + b], 5)
+            if total <= 0 or total < peak - secrets.DROP:
+                close()
+                total, start, peak, end = 0.0, at, 0.0, at
+            elif total > peak:
+                peak, end = total, at
+        close()
+        spans = []
+        for a, b in parts:
+            a, b = a - len(re.search("[A-Za-z0-9]*$", s[:a])[0]), b + 1 + len(re.match("[A-Za-z0-9]*", s[b + 1 :])[0])
+            if spans and a <= spans[-1][1]:
+                a, b = spans[-1][0], max(b, spans.pop()[1])
+            spans.append((a, b))
+        out += [(m.start() + a, m.start() + b) for a, b in spans]
+    return out
+
+
+def test_models_against_counting_one_by_one(spark, ratios):
+    rows = [(r.text, r.secret) for r in secrets.labelled_sample(spark).collect()]
+    for label in (True, False):
+        assert sum(s == label for _, s in rows) == 3000
+    counts = {}
+    for t, s in rows:
+        for a, b in zip(t, t[1:]):
+            k = (s, secrets.ALPHABET.find(a) + 1, secrets.ALPHABET.find(b) + 1)
+            counts[k] = counts.get(k, 0) + 1
+    totals = {(s, a): sum(counts.get((s, a, b), 0) + 1 for b in range(secrets.WIDE)) for s in (True, False) for a in range(secrets.WIDE)}
+    for a in range(secrets.WIDE):
+        for b in range(secrets.WIDE):
+            p, q = ((counts.get((s, a, b), 0) + 1) / totals[s, a] for s in (True, False))
+            assert abs(math.log(p / q) - ratios[a * secrets.WIDE + b]) < 1e-9
+
+
+def test_spans_against_a_walk_and_held_out_rates(spark, ratios):
+    rnd = random.Random(9)
+    key = lambda n, alphabet=string.ascii_letters + string.digits: "".join(rnd.choice(alphabet) for _ in range(n))
+    held = "harbour meadow candle orchard violin pencil garden copper winter saddle thunder pocket ribbon castle lantern marble".split()
+    name = lambda: rnd.choice("_-/").join(rnd.choice(held) for _ in range(rnd.randint(2, 5)))
+    keys, names = [key(rnd.randint(20, 40)) for _ in range(400)], [name() for _ in range(400)]
+    texts = [*keys, *names, *(f"{name()}_{key(24)} {name()}/{key(8)}={name()}" for _ in range(200)), "", "é" * 30, key(3000), " ".join(keys), "A" * 500]
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", secrets.markov_spans(F.col("t"), ratios).alias("s")).collect()
+    found = {r.i: [(s.start, s.end) for s in r.s] for r in got}
+    assert all(found[i] == walked(t, ratios) for i, t in enumerate(texts))
+    assert sum(bool(found[i]) for i in range(400)) >= 0.9 * 400
+    assert sum(bool(found[i]) for i in range(400, 800)) <= 0.02 * 400
+    print("recall", sum(bool(found[i]) for i in range(400)) / 400, "false", sum(bool(found[i]) for i in range(400, 800)) / 400)
