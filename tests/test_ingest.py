@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from deedflow.operators import resolve, slots, upsert
+from deedflow.operators import resolve, slots, timeline, upsert
 from deedflow.sources import companies, psc, tables, titles
 from deedflow.streaming import ingest
 
@@ -131,3 +131,38 @@ def test_upserts_by_hand(spark):
     assert sorted(r.k for r in upsert.insert_new(old, new, ["k"]).collect()) == [1, 2, 3]
     long = slots.unpivot(spark.createDataFrame([(1, "x", "", "y")], "id int, proprietor_1_name string, proprietor_2_name string, proprietor_3_name string"))
     assert [(r.slot, r.proprietor_name) for r in long.collect()] == [(1, "x"), (3, "y")]
+
+
+def test_repeated_owners_come_back_as_often_as_they_came(spark):
+    owners = spark.createDataFrame([("A LTD", "00000012", {"k": 1})] * 2 + [("B LTD", None, {}), ("OLD B", "", {})], "proprietor_name string, company_reg_no string, extra map<string,int>")
+    scraped = spark.createDataFrame([("12", "A", None), ("77", "b ltd", ["Old B"])], "company_number string, company_name string, previous_names array<string>")
+    got = sorted((r.proprietor_name, r.company_number, float(r.confidence)) for r in resolve.match_by_spellings(owners, scraped).collect())
+    assert got == [("A LTD", "12", 1.0)] * 2 + [("B LTD", "77", 0.9), ("OLD B", "77", 0.9)]
+
+
+def test_a_repeated_company_number_multiplies_no_owner(spark):
+    long = spark.createDataFrame([("t", "1")], "title_number string, matched_number string")
+    register = spark.createDataFrame([("1", "B", "Active"), ("1", "A", "Active")], "company_number string, company_name string, company_status string")
+    assert [r.ch_company_name for r in timeline._with_company(long, register).collect()] == ["A"]
+
+
+def test_stored_matches_are_read_and_a_refresh_replaces_them(spark):
+    rows = lambda *x: spark.createDataFrame([(i, "t") for i in x], "id long, match_type string")
+    name = "stored_matches_test"
+    assert sorted(r.id for r in tables.materialise(rows(1, 2), name).collect()) == [1, 2]
+    assert sorted(r.id for r in tables.materialise(rows(3), name).collect()) == [3] == [r.id for r in spark.table(name).collect()]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_reload_truncates(spark, tmp_path):
+    tables.reload(spark.range(5), str(tmp_path / "t"))
+    tables.reload(spark.range(2), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_streamed_rows_without_a_match(spark, tmp_path):
+    spark.range(6).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    missing = ingest.match_missing(stream, spark.createDataFrame([(1,), (1,), (4,)], "id long"))
+    missing.writeStream.format("memory").queryName("missing_rows").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.id for r in spark.table("missing_rows").collect()) == [0, 2, 3, 5]
