@@ -1,17 +1,21 @@
 """Exact top-k search by inner product: an impact-ordered index, processed score at a time.
 
-Vectors become integers, floor(SCALE * x). Queries and candidates are dealt into blocks by a hash of their id, and
-every pair of a query block and a candidate block is one task's work. There the candidate block's index holds, for every
-dimension and quantised impact (component value), the segment of candidates with it. Segments go by
-descending magnitude of impact; each adds impact times query component to its candidates' accumulators, for the
-whole query block at once. What a candidate still misses is at most the query's norm times the norm of its
-components not yet processed (Cauchy-Schwarz), which bounds every score from both sides. Processing stops
-only when these bounds leave few possible members of a top k; those are rescored exactly. Without such proof it
-goes on until the accumulators are exact. The k best of each block pair then meet by query.
+Vectors become integers, floor(SCALE * x). Candidates are dealt into blocks by a hash of their id, and a task builds its
+block's index once: for every dimension and quantised impact (component value), the segment of candidates with it. Queries
+then stream over the index in slabs. Segments go by descending magnitude of impact; each adds impact times query component
+to its candidates' accumulators, for the whole slab at once. What a candidate still misses is at most the query's norm
+times the norm of its components not yet processed (Cauchy-Schwarz), which bounds every score from both sides. Processing
+stops only when these bounds leave few possible members of a top k; those are rescored exactly. Without such proof it
+goes on until the accumulators are exact.
+
+The first block is searched before the others. A query's k-th score there is a floor for all others: a block whose norms
+can't reach it is skipped for the query, the bounds are held against it, and only scores that reach it leave a task. The
+best of all blocks then meet by query. Queries are split among tasks only beyond QUERIES of them, so that candidates are
+sent once for so many queries, and queries once for every block of candidates.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows with a null
 id. Equal (id, vector) rows count once. A candidate never answers a query of its own id. Vectors of different length
-don't meet. Ties go to the smaller id; a query with fewer than k candidates gets all of them.
+don't meet. Ties go to the smaller id; a query with fewer than k candidates gets all of them. Scores that don't fit a long are an error.
 """
 
 from __future__ import annotations
@@ -22,17 +26,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, table
+from .common import cut, shuffle_width, table
 
 SCALE, K = 64, 20
-CANDIDATES, QUERIES = 4096, 1024
-#: The proof is tried when so many of the postings are done.
-TRY_AT = (0.8, 0.9)
+CANDIDATES, QUERIES = 4096, 65536
+#: Queries of one task against the first block, and of one slab.
+FIRST, SLAB = 1024, 512
+#: The proof is tried when so many of the postings are done; the first one where all floors are known.
+TRY_AT = (0.6, 0.8, 0.9)
 #: It ends the work when this share of the block, at most, is left possible.
 FEW = 0.08
+NO_FLOOR = -(2**63)
 
 
 def usable(vector: Column) -> Column:
@@ -55,17 +61,24 @@ class Index:
         row, dim, value = row[order], dim[order], value[order]
         new = np.flatnonzero(np.concatenate([[True], (dim[1:] != dim[:-1]) | (value[1:] != value[:-1])])) if len(row) else np.zeros(0, int)
         self.segments = [(int(dim[a]), int(value[a]), row[a:b]) for a, b in zip(new, [*new[1:], len(row)], strict=True)]
-        # Squared norm of what is left before each magnitude.
-        self.vectors, self.size = vectors, len(row)
+        self.vectors, self.size, self._rest = vectors, len(row), {}
 
-    def rest(self, magnitude: int) -> np.ndarray:
+    def rest(self, magnitude: float) -> np.ndarray:
         """An upper bound of the norm of each vector's components below magnitude."""
-        v = np.where(np.abs(self.vectors) < magnitude, self.vectors, 0).astype(np.float64)
-        return np.sqrt((v * v).sum(axis=1)) * (1 + 1e-9)
-
-
-def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(place of the query, candidate ids, scores) of the k best of one block, for every query."""
+        if magnitude not in self._rest:
+            v = np.where(np.abs(self.vectors) < magnitude, self.vectors, 0).astype(np.float64)
+            self._rest[magnitude] = np.sqrt((v * v).sum(axis=1)) * (1 + 1e-9)
+        return self._rest[magnitude]
+
+
+def search(ids: np.ndarray, index: Index, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(place of the query, candidate ids, scores) of the k best of one block, for every query; with floors (a score
+    that k candidates elsewhere reach, or NO_FLOOR), only those that reach the query's."""
+    vectors, norms = index.vectors, np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
+    floors = np.full(len(queries), NO_FLOOR) if floors is None else floors
+    # A block whose longest vector can't reach a query's floor holds none of its best.
+    places = np.flatnonzero(index.rest(np.inf).max(initial=0.0) * norms * (1 + 1e-9) + 1e-3 >= floors)
+    query_ids, queries, norms, floors = query_ids[places], queries[places], norms[places], floors[places]
     n, m = len(vectors), len(queries)
     bound = int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(vectors.shape[1], 1)
     kind = np.int32 if bound < 2**31 else np.int64 if bound < 2**62 else object
@@ -74,26 +87,29 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     lo, hi = np.searchsorted(ids[by_id], query_ids), np.searchsorted(ids[by_id], query_ids, "right")
     own = [(r, q) for q in range(m) for r in by_id[lo[q] : hi[q]]]
     own_at = tuple(np.array(own, int).T) if own else None
-    index, columns = Index(vectors), np.ascontiguousarray(queries.T)
+    columns = np.ascontiguousarray(queries.T)
     acc = np.zeros((n, m), kind)
-    done, tries, possible = 0, [t * index.size for t in TRY_AT], None
-    norms = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
+    known = bool((floors > NO_FLOOR).all())
+    done, tries, possible = 0, [t * index.size for t in (TRY_AT if known else TRY_AT[1:])], None
     last = None
     for dim, value, rows in index.segments:
         if tries and done >= tries[0] and abs(value) != last and n > 4 * k and kind is not object:
             # All components of a greater magnitude are in: bound the others.
             tries.pop(0)
             slack = index.rest(abs(value) + 1)[:, None] * norms + 1e-12 * bound + 1e-3
-            low = acc - slack
-            if own_at:
-                low[own_at] = -np.inf
-            floor = np.partition(low, n - k, axis=0)[n - k]
+            if known:
+                floor = floors
+            else:
+                low = acc - slack
+                if own_at:
+                    low[own_at] = -np.inf
+                floor = np.maximum(np.partition(low, n - k, axis=0)[n - k], floors)
             maybe = acc + slack >= floor
             if maybe.mean() <= FEW:
                 possible = maybe
                 break
         last = abs(value)
-        acc[rows] += value * columns[dim]
+        acc[rows] += int(value) * columns[dim]
         done += len(rows)
     out = []
     own_by = {}
@@ -110,50 +126,89 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
         else:
             take = np.flatnonzero(possible[:, q])
             score = vectors[take] @ queries[q]
+        reach = score >= floors[q]
+        take, score = take[reach], score[reach]
         if q in own_by:
             keep = ~np.isin(take, own_by[q])
             take, score = take[keep], score[keep]
         order = (np.lexsort((ids[take], -score)) if kind is not object else np.array(sorted(range(len(take)), key=lambda i: (-score[i], ids[take][i])), int))[:k]
-        out.append((q, ids[take][order], score[order]))
+        out.append((int(places[q]), ids[take][order], score[order]))
     return out
 
 
 OUT = pa.schema([("query_id", pa.int64()), ("_qv", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
-def _block(k: int):
-    def run(group: pa.Table) -> pa.Table:
-        asks = np.asarray(group.column("asks"))
-        ids = np.asarray(group.column("id"))
-        mark = np.asarray(group.column("mark"))
-        dims = int(group.column("dims")[0].as_py())
-        data = group.column("v").combine_chunks()
-        data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
-        vectors = np.asarray(data.flatten(), np.int64).reshape(len(ids), dims)
-        queries = np.flatnonzero(asks)
-        cands = np.flatnonzero(~asks)
-        if not len(queries) or not len(cands):
-            return OUT.empty_table()
-        found = search(ids[cands], vectors[cands], ids[queries], vectors[queries], k)
-        size = [len(i) for _, i, _ in found]
-        at = np.repeat(queries[[q for q, _, _ in found]], size)
-        return pa.table([ids[at], mark[at], np.concatenate([i for _, i, _ in found]), np.concatenate([s for _, _, s in found]).astype(np.int64)], schema=OUT)
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(batch.column("v").flatten(), np.int64).reshape(batch.num_rows, batch.column("dims")[0].as_py())
+
+
+def _runs(batches):
+    """Parts of batches with one value of (dims, qb, cb, asks) each."""
+    for batch in batches:
+        if batch.num_rows:
+            keys = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("dims", "qb", "cb", "asks")])
+            starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                yield tuple(keys[:3, a]), bool(keys[3, a]), batch.slice(a, b - a)
+
+
+def _blocks(k: int):
+    """Batches sorted by block pair, its candidates first: their index is built once, and its queries stream over it."""
+
+    def run(batches):
+        at, ids, vectors, index = None, [], [], None
+        for key, asks, part in _runs(batches):
+            if key != at:
+                at, ids, vectors, index = key, [], [], None
+            if not asks:
+                ids.append(np.asarray(part.column("id")))
+                vectors.append(_vectors(part))
+                continue
+            if not len(ids):
+                continue
+            if index is None:
+                ids, index = np.concatenate(ids), Index(np.concatenate(vectors))
+                vectors = []
+            query_ids, mark, queries = np.asarray(part.column("id")), np.asarray(part.column("mark")), _vectors(part)
+            floors = np.asarray(part.column("floor").fill_null(NO_FLOOR))
+            for a in range(0, len(query_ids), SLAB):
+                b = a + SLAB
+                found = search(ids, index, query_ids[a:b], queries[a:b], k, floors[a:b])
+                if found:
+                    where = np.repeat([a + q for q, _, _ in found], [len(i) for _, i, _ in found]).astype(int)
+                    yield pa.RecordBatch.from_arrays([pa.array(query_ids[where]), pa.array(mark[where]), pa.array(np.concatenate([i for _, i, _ in found])), pa.array(np.concatenate([s for _, _, s in found]).astype(np.int64))], schema=OUT)
 
     return run
 
 
+BEST = "query_id long, _qv long, vec_id long, score long"
+
+
+def _meet(asked: DataFrame, rows: DataFrame, blocks: range, per_task: int, quers: int, k: int) -> DataFrame:
+    """The best of every block in blocks for each query: the stated queries against all rows, with no pair of rows made."""
+    split = max(1, math.ceil(quers / per_task))
+    deal = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(split)).cast("int")
+    left = asked.withColumns({"qb": deal, "cb": F.explode(F.sequence(F.lit(blocks.start), F.lit(blocks.stop - 1))), "asks": F.lit(True)})
+    right = rows.where(F.col("cb").between(blocks.start, blocks.stop - 1)).withColumns({"qb": F.explode(F.sequence(F.lit(0), F.lit(split - 1))), "asks": F.lit(False), "floor": F.lit(None).cast("long")})
+    pairs = left.unionByName(right, allowMissingColumns=True).select("dims", "qb", "cb", "asks", "id", "mark", "floor", "v")
+    tasks = max(shuffle_width(rows.sparkSession), split * len(blocks))
+    return pairs.repartition(tasks, "dims", "qb", "cb").sortWithinPartitions("dims", "qb", "cb", "asks").mapInArrow(_blocks(k), BEST)
+
+
 def top_k(vectors: DataFrame, asks: Column, k: int = K, scale: int = SCALE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each row where asks holds, against all rows."""
     rows = vectors.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
     rows = cut(rows.distinct().withColumn("dims", F.size("v")).withColumn("mark", F.xxhash64("v")))
     n, m = rows.agg(F.count("*"), F.count_if("asks")).first()
-    cands, quers = max(1, math.ceil(n / CANDIDATES)), max(1, math.ceil(m / QUERIES))
-    deal = lambda salt, parts: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(parts)).cast("int")
-    # Every block pair gets its two blocks: the stated queries against all rows, with no pair of rows made here.
-    left = rows.where("asks").withColumn("qb", deal(1, quers)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cands - 1)))).withColumn("asks", F.lit(True))
-    right = rows.withColumn("cb", deal(2, cands)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(quers - 1)))).withColumn("asks", F.lit(False))
-    pairs = left.unionByName(right).select("dims", "qb", "cb", "asks", "id", "mark", "v")
-    best = pairs.groupBy("dims", "qb", "cb").applyInArrow(_block(k), T.StructType([T.StructField("query_id", T.LongType()), T.StructField("_qv", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())]))
+    blocks = max(1, math.ceil(n / CANDIDATES))
+    cands = rows.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int"))
+    asked = rows.where("asks")
+    best = _meet(asked.withColumn("floor", F.lit(None).cast("long")), cands, range(1), FIRST, m, k)
+    if blocks > 1:
+        best = cut(best)
+        floors = best.groupBy(F.col("query_id").alias("id"), F.col("_qv").alias("mark")).agg(F.min("score").alias("floor"), F.count("*").alias("_n")).where(F.col("_n") >= k).drop("_n")
+        best = best.union(_meet(asked.join(floors, ["id", "mark"], "left"), cands, range(1, blocks), QUERIES, m, k))
     rank = F.row_number().over(Window.partitionBy("query_id", "_qv").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -32,6 +32,8 @@ def run(spark, rows, k):
 def test_against_brute_force_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 150)
     monkeypatch.setattr(topk, "QUERIES", 40)
+    monkeypatch.setattr(topk, "FIRST", 25)
+    monkeypatch.setattr(topk, "SLAB", 16)
     rnd = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rnd.normal(size=12) * 0.2]) for i in range(400)]
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # ties
@@ -51,6 +53,27 @@ def test_stops_only_on_proof(size):
     c = np.floor(rnd.normal(size=(900, 16)) ** 3 * size).astype(np.int64)
     q = c[:40]
     ids = rnd.permutation(900)
-    for place, got, score in topk.search(ids, c, ids[:40], q, 10):
+    for place, got, score in topk.search(ids, topk.Index(c), ids[:40], q, 10):
         exact = sorted((-int(s), int(i)) for s, i in zip(c @ q[place], ids) if i != ids[place])[:10]
         assert [(-int(s), int(i)) for s, i in zip(score, got)] == exact
+
+
+@pytest.mark.parametrize("size", [1, 30, 1 << 22])
+def test_floors_lose_no_member(size):
+    rnd = np.random.default_rng(size + 1)
+    c = np.floor(rnd.normal(size=(1200, 16)) ** 3 * size).astype(np.int64)
+    c[600:] //= 4  # the later block is mostly below the floors
+    ids = rnd.permutation(1200)
+    floors = np.full(40, topk.NO_FLOOR)
+    for place, _, score in topk.search(ids[:600], topk.Index(c[:600]), ids[:40], c[:40], 10):
+        floors[place] = score[-1]
+    got = dict((p, (i, s)) for p, i, s in topk.search(ids[600:], topk.Index(c[600:]), ids[:40], c[:40], 10, floors))
+    for place in range(40):
+        exact = sorted((-int(s), int(i)) for s, i in zip(c[600:] @ c[place], ids[600:]) if s >= floors[place])[:10]
+        assert [(-int(s), int(i)) for i, s in zip(*got.get(place, ((), ())))] == exact
+
+
+def test_few_candidates_and_large_components(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 4)
+    rows = [(i, [float(2**22 * (i % 5)), float(i)]) for i in range(18)] + [(40, [0.0, 0.0])] * 2
+    assert run(spark, rows, 5) == brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 5)
