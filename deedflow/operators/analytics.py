@@ -57,10 +57,22 @@ def company_stats(long: DataFrame) -> DataFrame:
 
 
 def price_trends(t: DataFrame, since: int = 2018) -> DataFrame:
-    price, year = F.col("price_paid"), F.year("change_date")
-    return t.where((price > 0) & (F.col("region") != "") & (year >= since)).groupBy("dataset_type", "region", year.alias("year")).agg(
-        F.count("*").alias("transaction_count"), whole(price).alias("avg_price"),
-        *[F.round(F.percentile(price, F.lit(p)), 0).alias(n) for p, n in ((0.5, "median_price"), (0.25, "price_25th_percentile"), (0.75, "price_75th_percentile"))],
+    """Averages and exact percentiles, interpolated, from the counts of equal prices: a group's prices are sorted in a window, which
+    can spill, and not held in one aggregate's memory."""
+    keys, price, year = ["dataset_type", "region", "year"], F.col("price_paid"), F.year("change_date")
+    kept = t.where((price > 0) & (F.col("region") != "") & (year >= since))
+    counted = kept.groupBy("dataset_type", "region", year.alias("year"), "price_paid").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*keys)
+    placed = counted.withColumns({"_upto": F.sum("_n").over(group.orderBy("price_paid")), "_rows": F.sum("_n").over(group)})
+
+    def at(p: float) -> Column:
+        place = F.lit(p) * (F.col("_rows") - 1)
+        low, high = (F.min(F.when(F.col("_upto") > side(place), price)).cast("double") for side in (F.floor, F.ceil))
+        return F.round(low + (high - low) * F.max(place - F.floor(place)), 0)
+
+    return placed.groupBy(*keys).agg(
+        F.sum("_n").alias("transaction_count"), F.round(F.sum(price.cast("double") * F.col("_n")) / F.sum("_n"), 0).alias("avg_price"),
+        *[at(p).alias(n) for p, n in ((0.5, "median_price"), (0.25, "price_25th_percentile"), (0.75, "price_75th_percentile"))],
     )
 
 

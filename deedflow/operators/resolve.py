@@ -54,11 +54,14 @@ def register_by_number(companies: DataFrame, rules: Rules = PRODUCTION) -> DataF
 
 
 def _candidates(named: DataFrame, key: str, out: str) -> DataFrame:
-    """Of each key: the first company, their number, and all with their dates, newest first (for by_date)."""
+    """Of each key: the first company, their number, and, if there are several, all with their dates, newest first and of one
+    day by number (for by_date). They are sorted here, once a key, and not again for every owner."""
     one = F.struct("company_number", "company_name", "incorporation_date")
-    return named.where(F.col(key) != "").groupBy(key).agg(
-        F.min_by(one, F.col("company_number")).alias(out), F.count_distinct("company_number").alias(f"{out}_n"), F.collect_set(one).alias(f"{out}_all")
+    dated = F.when(F.col("incorporation_date").isNotNull(), F.struct((-F.unix_date("incorporation_date")).alias("_back"), "company_number", "company_name", "incorporation_date"))
+    found = named.where(F.col(key) != "").groupBy(key).agg(
+        F.min_by(one, F.col("company_number")).alias(out), F.count_distinct("company_number").alias(f"{out}_n"), F.sort_array(F.collect_set(dated)).alias(f"{out}_all")
     )
+    return found.withColumn(f"{out}_all", F.when(F.col(f"{out}_n") > 1, F.transform(f"{out}_all", lambda c: c.dropFields("_back"))))
 
 
 def register_by_name(companies: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
@@ -83,9 +86,7 @@ def _chosen(found: str, rules: Rules, added: Column) -> tuple[Column, Column, Co
     first, n = F.col(found), F.col(f"{found}_n")
     if rules.ambiguous == "by_date":
         early = F.filter(F.col(f"{found}_all"), lambda c: c["incorporation_date"] <= added)
-        # Latest first; of one day, the smallest number.
-        ranked = F.array_sort(early, lambda a, b: F.when(a["incorporation_date"] > b["incorporation_date"], -1).when(a["incorporation_date"] < b["incorporation_date"], 1).when(a["company_number"] < b["company_number"], -1).when(a["company_number"] > b["company_number"], 1).otherwise(0))
-        pick = F.when(n == 1, first).otherwise(F.get(ranked, F.lit(0)))
+        pick = F.when(n == 1, first).otherwise(F.get(early, F.lit(0)))
         return pick, pick.isNotNull(), n > 1
     return first, (n == 1) if rules.ambiguous == "reject" else n.isNotNull(), n > 1
 

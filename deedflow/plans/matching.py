@@ -98,6 +98,15 @@ def match_upgrade(spark, d):
     return resolve.upgrade(low, key).select("id", "slot", "match_type", F.col("confidence").cast("double").alias("confidence"))
 
 
+@query("match_upgrade_renormalised", f"""{MATCHED}, o AS (SELECT id, slot, match_type, confidence, matched_name, CASE WHEN slot = 1 THEN proprietor_name ELSE lower(matched_name) || ' Limited' END AS p FROM matched),
+u AS (SELECT *, coalesce(match_type = 'Number' AND {NAME_SQL.format("p")} = {NAME_SQL.format("matched_name")}, false) AS agree FROM o)
+SELECT id, slot, CASE WHEN agree THEN 'Name+Number' ELSE match_type END AS match_type, CAST(CASE WHEN agree THEN 1.0 ELSE confidence END AS DOUBLE) AS confidence FROM u""")
+def match_upgrade_renormalised(spark, d):
+    # Names of the later slots have been corrected since, in another style; those of the first still differ.
+    later = F.when(F.col("slot") == 1, F.col("proprietor_name")).otherwise(F.concat(F.lower("matched_name"), F.lit(" Limited")))
+    return resolve.upgrade(matched(spark, d).withColumn("proprietor_name", later)).select("id", "slot", "match_type", F.col("confidence").cast("double").alias("confidence"))
+
+
 def scraped(spark, d):
     return companies(spark, d).where("company_status = 'Active'").select("company_number", F.concat(F.lit("Found "), "company_name").alias("company_name"), "previous_names")
 
