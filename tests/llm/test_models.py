@@ -103,6 +103,30 @@ def test_quality_without_labels_or_rows(spark, path):
     assert quality.predict(quality.document_statistics(docs.limit(0), ["doc_id"]), model, ["doc_id"]).collect() == []
 
 
+def test_quality_against_a_direct_fit(spark, path):
+    stats = quality.document_statistics(spark.read.parquet(f"{path}/documents.parquet"), ["doc_id"])
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    model = quality.train(stats, labels, F.col("doc_id") % 2 == 0)
+    given = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality is not None:
+            given.setdefault(r.doc_id, []).append(float(r.quality > 0))
+    known = [(r.stats, y, r.held) for r in stats.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).collect() if r.doc_id is not None and r.doc_id % 2 == 0 for y in given.get(r.doc_id, [])]
+    x, y, held = np.array([k[0] for k in known]), np.array([k[1] for k in known]), np.array([k[2] for k in known])
+    assert len(known) > 200 and np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale[x.std(axis=0) > 1e-3], x.std(axis=0)[x.std(axis=0) > 1e-3])
+    # Ridge as least squares over rows that pull each weight to 0, without normal equations.
+    z = model.features(x[~held])
+    pull = np.sqrt(np.full(z.shape[1], quality.RIDGE * len(z)))
+    pull[0] = np.sqrt(1e-9 * len(z))
+    weights = np.linalg.lstsq(np.vstack([z, np.diag(pull)]), np.append(y[~held], np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(model.features(x) @ weights, model.raw(x), atol=1e-4)
+    # The features' products approximate the Gaussian kernel.
+    near = np.clip((x[:80] - model.mean) / model.scale, -8, 8)
+    apart = ((near[:, None] - near[None]) ** 2).sum(axis=2)
+    f = model.features(x[:80])[:, 1:]
+    assert np.abs(f @ f.T - np.exp(-apart / (2 * quality.WIDTH**2 * len(quality.STATS)))).mean() < 0.08
+
+
 def test_statistics_of_a_text():
     texts = ["Aa bb. Aa\nAa bb. Aa\n\nx1", "", "é"]
     got = dict(zip(quality.STATS, quality.statistics(*textvec.flat(pa.array(texts)))[0], strict=True))
