@@ -11,8 +11,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "256"}
 
@@ -58,6 +59,23 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Offsets of ranked() (a row for each group and partition) up to so many rows are broadcast.
+BROADCAST_OFFSETS = 100_000
+
+
+def ranked(df: DataFrame, order: list[Column], group: tuple[str, ...] = ()) -> DataFrame:
+    """df with rank, from 1 in each group (columns that are never null): a sort over range partitions, whose rows count on from
+    the rows that the partitions before hold of the group. No task gets a whole group. The sorted table is written."""
+    keys = [*[F.col(g) for g in group], *order]
+    own = {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+    placed = cut(df.repartitionByRange(shuffle_width(df.sparkSession), *keys).sortWithinPartitions(*keys).withColumns(own))
+    runs = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    rank = (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("rank")
+    return placed.join(bounded(runs, BROADCAST_OFFSETS), [*group, "_part"]).select(*df.columns, rank)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from deedflow.llm import decontaminate as d
 
 
 def words(text):
-    return re.findall(d.WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
 
 
 def brute(docs, items):
