@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "timelines", "tables", "basics")
+MODULES = ("matching", "timelines", "tables", "basics", "stored")
 
 
 def load_all() -> None:
