@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text
 from ..functions.labels import COMPANY_CATEGORIES, CONFIDENCE
 from .joins import spread
 
+ADDED = "date_proprietor_added"
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -54,56 +58,70 @@ def register_by_number(companies: DataFrame, rules: Rules = PRODUCTION) -> DataF
 
 
 def _candidates(named: DataFrame, key: str, out: str) -> DataFrame:
-    """Of each key: the first company, their number, and, if there are several, all with their dates, newest first and of one
-    day by number (for by_date). They are sorted here, once a key, and not again for every owner."""
-    one = F.struct("company_number", "company_name", "incorporation_date")
-    dated = F.when(F.col("incorporation_date").isNotNull(), F.struct((-F.unix_date("incorporation_date")).alias("_back"), "company_number", "company_name", "incorporation_date"))
-    found = named.where(F.col(key) != "").groupBy(key).agg(
-        F.min_by(one, F.col("company_number")).alias(out), F.count_distinct("company_number").alias(f"{out}_n"), F.sort_array(F.collect_set(dated)).alias(f"{out}_all")
-    )
-    return found.withColumn(f"{out}_all", F.when(F.col(f"{out}_n") > 1, F.transform(f"{out}_all", lambda c: c.dropFields("_back"))))
+    """Of each key: the first company and their number."""
+    one = F.struct("company_number", "company_name")
+    return named.where(F.col(key) != "").groupBy(key).agg(F.min_by(one, F.col("company_number")).alias(out), F.count_distinct("company_number").alias(f"{out}_n"))
 
 
-def register_by_name(companies: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
+def _named(companies: DataFrame, rules: Rules) -> DataFrame:
     named = companies.select("company_number", "company_name", "incorporation_date", rules.name_key(F.col("company_name")).alias("name_key"))
-    return _slim(_candidates(named, "name_key", "by_name"), "by_name", rules)
+    return named.where("name_key <> ''")
+
+
+def _formerly(companies: DataFrame, rules: Rules) -> DataFrame:
+    old = companies.select("company_number", "company_name", "incorporation_date", F.explode(F.slice("previous_names", 1, rules.previous_names)).alias("old"))
+    return old.withColumn("name_key", rules.name_key(F.col("old"))).where("name_key <> ''")
+
+
+def register_by_name(companies: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
+    return _candidates(_named(companies, rules), "name_key", "by_name")
 
 
 def register_by_previous_name(companies: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
     """companies.previous_names: array<string>."""
-    old = companies.select("company_number", "company_name", "incorporation_date", F.explode(F.slice("previous_names", 1, rules.previous_names)).alias("old"))
-    named = old.withColumn("name_key", rules.name_key(F.col("old")))
-    return _slim(_candidates(named, "name_key", "by_previous"), "by_previous", rules)
+    return _candidates(_formerly(companies, rules), "name_key", "by_previous")
 
 
-def _slim(frame: DataFrame, out: str, rules: Rules) -> DataFrame:
-    """Only the date rule needs all candidates of a key."""
-    return frame if rules.ambiguous == "by_date" else frame.drop(f"{out}_all")
+def latest_by(asked: DataFrame, named: DataFrame, out: str) -> DataFrame:
+    """asked (key, day) with the company of that key incorporated last by that day, as out: of one day the smallest number, none without
+    a day.
 
+    Companies and questions of a key are one stream in the order of days, and the last company is carried forward in a
+    window, which can spill: no question meets all companies of its name."""
+    asked = asked.where("key <> '' and day is not null").distinct()
+    company = F.struct("company_number", "company_name")
+    known = named.where("incorporation_date is not null").select(F.col("name_key").alias("key"), F.col("incorporation_date").alias("day"), F.lit(0).alias("_kind"), F.col("company_number").alias("_no"), company.alias("_c"))
+    asks = asked.select("key", "day", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("_no"), F.lit(None).cast(known.schema["_c"].dataType).alias("_c"))
+    order = Window.partitionBy("key").orderBy("day", "_kind", F.desc("_no")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return known.unionByName(asks).withColumn(out, F.last("_c", ignorenulls=True).over(order)).where("_kind = 1").select("key", "day", out)
 
-def _chosen(found: str, rules: Rules, added: Column) -> tuple[Column, Column, Column]:
+
+def _chosen(found: str, rules: Rules) -> tuple[Column, Column, Column]:
     """(company, is there one, was it ambiguous) by the rule for names with several companies."""
     first, n = F.col(found), F.col(f"{found}_n")
     if rules.ambiguous == "by_date":
-        early = F.filter(F.col(f"{found}_all"), lambda c: c["incorporation_date"] <= added)
-        pick = F.when(n == 1, first).otherwise(F.get(early, F.lit(0)))
+        pick = F.when(n == 1, first).when(n > 1, F.col(f"{found}_then"))
         return pick, pick.isNotNull(), n > 1
     return first, (n == 1) if rules.ambiguous == "reject" else n.isNotNull(), n > 1
 
 
-def resolve(owners: DataFrame, companies: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
-    """owners (proprietor_name, company_reg_no, category, date_proprietor_added, ...) with matched_name,
-    matched_number, match_type, confidence."""
-    keyed = owners.withColumns({"_nk": text.number_key(F.col("company_reg_no")), "_mk": rules.name_key(F.col("proprietor_name"))})
+def _answers(asked: DataFrame, companies: DataFrame, rules: Rules) -> DataFrame:
+    """asked with _m, the match: everything here is as small as there are different owners."""
+    keyed = asked.withColumns({"_nk": text.number_key(F.col("company_reg_no")), "_mk": rules.name_key(F.col("proprietor_name"))})
     number = register_by_number(companies, rules)
     name = register_by_name(companies, rules).withColumnRenamed("name_key", "_k1")
     previous = register_by_previous_name(companies, rules).withColumnRenamed("name_key", "_k2")
     # Empty keys match nothing and would be one hot key: they are spread.
-    keyed = keyed.withColumns({"_nj": spread(F.col("_nk"), owners), "_mj": spread(F.col("_mk"), owners)})
+    keyed = keyed.withColumns({"_nj": spread(F.col("_nk"), asked), "_mj": spread(F.col("_mk"), asked)})
     joined = keyed.join(number, F.col("_nj") == F.col("number_key"), "left").join(name, F.col("_mj") == F.col("_k1"), "left").join(previous, F.col("_mj") == F.col("_k2"), "left")
-    added = F.col("date_proprietor_added") if "date_proprietor_added" in owners.columns else F.lit(None).cast("date")
-    by_name, name_ok, name_many = _chosen("by_name", rules, added)
-    by_old, old_ok, old_many = _chosen("by_previous", rules, added)
+    if rules.ambiguous == "by_date":
+        day = F.col(ADDED) if ADDED in asked.columns else F.lit(None).cast("date")
+        joined = joined.withColumn("_day", day)
+        for found, named in (("by_name", _named(companies, rules)), ("by_previous", _formerly(companies, rules))):
+            then = latest_by(keyed.select(F.col("_mk").alias("key"), day.alias("day")), named, f"{found}_then")
+            joined = joined.join(then, (F.col("_mj") == F.col("key")) & (F.col("_day") == F.col("day")), "left").drop("key", "day")
+    by_name, name_ok, name_many = _chosen("by_name", rules)
+    by_old, old_ok, old_many = _chosen("by_previous", rules)
     if rules.ambiguous != "first":  # several companies of that name: previous names aren't tried
         old_ok = old_ok & F.col("by_name_n").isNull()
     number_ok = F.col("by_number").isNotNull()
@@ -123,7 +141,23 @@ def resolve(owners: DataFrame, companies: DataFrame, rules: Rules = PRODUCTION)
         .when(old_ok, row("Previous_Name", by_old["company_name"], by_old["company_number"], F.when(old_many, 0.4).otherwise(0.5) if weaker else None))
         .otherwise(row("Land_Registry", F.col("proprietor_name"), F.substring("company_reg_no", 1, 20)) if rules.fallback == "Land_Registry" else row("No_Match", none, none))
     )
-    return joined.withColumn("_m", ladder).select(*owners.columns, "_m.*")
+    return joined.withColumn("_m", ladder).select(*asked.columns, "_m.*")
+
+
+def resolve(owners: DataFrame, companies: DataFrame, rules: Rules = PRODUCTION, then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """owners (proprietor_name, company_reg_no, category, date_proprietor_added, ...) with matched_name,
+    matched_number, match_type, confidence.
+
+    What a match depends on (name, number, category and, by date, the day) is made distinct first, in the map side, and goes
+    through the ladder once; owners, with all their columns, are shuffled once, to fetch the result. AQE splits the rows of
+    an owner that has very many. then: more columns for the results, while they are small."""
+    on = [c for c in ("proprietor_name", "company_reg_no", "category", *([ADDED] if rules.ambiguous == "by_date" else [])) if c in owners.columns]
+    answers = _answers(owners.select(*on).distinct(), companies, rules)
+    answers = then(answers) if then else answers
+    more = [c for c in answers.columns if c not in on]
+    side = answers.select(*[F.col(c).alias(f"_on_{c}") for c in on], *more)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return owners.drop(*more).join(side, same, "left").select(*[c for c in owners.columns if c not in more], *more)
 
 
 def incremental(owners: DataFrame, matched: DataFrame, mode: str = "missing_only", keys: tuple[str, ...] = ("id", "slot"), date_range: tuple[str, str] | None = None) -> DataFrame:

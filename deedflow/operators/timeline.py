@@ -76,8 +76,9 @@ def owners(titles: DataFrame, matches: DataFrame | None = None, companies: DataF
 
 
 def resolved_owners(titles: DataFrame, companies: DataFrame, rules: resolve.Rules = resolve.PRODUCTION) -> DataFrame:
-    """owners() with matches made on the way: one scan of titles, and no join back to them."""
-    return _with_company(resolve.resolve(unpivot(_with_newest(titles)), companies, rules), companies)
+    """owners() with matches made on the way: one scan of titles, no join back to them, and the register's columns fetched for the
+    different owners only."""
+    return resolve.resolve(unpivot(_with_newest(titles)), companies, rules, then=lambda found: _with_company(found, companies))
 
 
 def _with_newest(titles: DataFrame) -> DataFrame:
