@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import bz2
+import codecs
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
 
+#: Bytes decoded at once.
+STEP = 1 << 16
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -69,17 +73,38 @@ class _Builder(HTMLParser):
         self.at.children.append(data)
 
 
-def tree(page: bytes | str | None) -> Node:
-    """The page's tree; bytes may be compressed. What can't be read is an empty page."""
-    if isinstance(page, (bytes, bytearray, memoryview)):
-        raw = bytes(page)
+def texts(page: bytes | str | None) -> Iterator[str]:
+    """A page's text in pieces; bytes may be bz2, in one stream or several, and are decoded as they are read. What isn't
+    bz2 is taken as it is; a stream that breaks off gives what came before."""
+    if page is None or isinstance(page, str):
+        yield page or ""
+        return
+    raw, utf8, squeezed = bytes(page), codecs.getincrementaldecoder("utf-8")("replace"), False
+    if raw[:3] == b"BZh":
+        stream = bz2.BZ2Decompressor()
         try:
-            raw = bz2.decompress(raw)
+            data = stream.decompress(raw, STEP)
+            while data or not stream.eof:
+                squeezed = True
+                yield utf8.decode(data)
+                if stream.eof and stream.unused_data[:3] == b"BZh":
+                    rest, stream = stream.unused_data, bz2.BZ2Decompressor()
+                    data = stream.decompress(rest, STEP)
+                elif stream.eof or stream.needs_input:
+                    break
+                else:
+                    data = stream.decompress(b"", STEP)
+            squeezed = True
         except (OSError, ValueError):
             pass
-        page = raw.decode("utf-8", "replace")
+    yield utf8.decode(b"" if squeezed else raw, True)
+
+
+def tree(page: bytes | str | None) -> Node:
+    """The page's tree; bytes may be compressed. What can't be read is an empty page."""
     builder = _Builder()
-    builder.feed(page or "")
+    for text in texts(page):
+        builder.feed(text)
     builder.close()
     return builder.root
 
@@ -149,6 +174,20 @@ def charge(page) -> dict:
     }
 
 
+def charges(page) -> list[dict]:
+    """The charges of a list page, one for each block (a div whose class begins with mortgage-), in its order."""
+    out = []
+    for block in (n for n in tree(page).find("div") if n.attrs.get("class", "").startswith("mortgage-")):
+        first = lambda tag, part, block=block: next((n.text() for n in block.find(tag, part)), None)
+        code = next((m[1].strip() for h in block.find("h2") for a in h.find("a")[:1] if (m := re.search(r"Charge code\s+(.+)", a.text()))), None)
+        people = [n.text() for n in block.find("li", "persons-entitled")]
+        out.append({
+            "code": code, "status": first("dd", "mortgage-status"), "created_on": first("dd", "mortgage-created-on"), "delivered_on": first("dd", "mortgage-delivered-on"),
+            "satisfied_on": first("dd", "mortgage-satisfied-on"), "persons_entitled": people or None, "description": first("p", "mortgage-particulars"),
+        })
+    return out
+
+
 OVERVIEW = "company_status string, company_type string, incorporated_on string, registered_address string, accounts_due string, statement_due string, sic_codes array<string>, previous_names array<string>"
 OFFICER = "name string, status string, role string, appointed_on string, resigned_on string, address string, nationality string, country_of_residence string, occupation string, birth_year int"
 CHARGE = "code string, status string, created_on string, delivered_on string, satisfied_on string, persons_entitled array<string>, description string, negative_pledge boolean, floating_charge boolean, fixed_charge boolean"

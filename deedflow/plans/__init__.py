@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "timelines", "tables", "basics", "stored")
+MODULES = ("matching", "timelines", "tables", "basics", "stored", "maintained", "pages")
 
 
 def load_all() -> None:
