@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query
 from ..operators import refresh, resolve, slots, timeline
+from ..sources import tables
 from ..sources.stored import Stored, shared_folder
 from .matching import _SHOWN, shown
 from .testdata import AS_OF, MATCHED, companies, titles
@@ -47,3 +48,19 @@ def stored_timeline(spark, d):
 def stored_current_ownership(spark, d):
     now = timeline.current(refreshed(spark, d, corrected).read())
     return now.groupBy("title_number").agg(F.count("*").alias("owners"), F.max("matched_number").alias("last_company"))
+
+
+@query("sql_lookup", f"{TL} SELECT id, slot, title_number, CAST(file_month AS VARCHAR) AS file_month, proprietor_name, ownership_status FROM tl WHERE title_number IN ('T5', 'T77') OR matched_number = '00000007'")
+def sql_lookup(spark, d):
+    """The timeline as a view, and its lookup as a table function, for clients that speak SQL."""
+    tables.register_views({"ownership_timeline": text_dates(corrected(titles(spark, d), companies(spark, d)))})
+    tables.register_lookup(spark, "ownership_timeline")
+    shown_ = "id, slot, title_number, file_month, proprietor_name, ownership_status"
+    return spark.sql(f"""SELECT {shown_} FROM ownership_history(company => '00000007') UNION ALL SELECT {shown_} FROM ownership_history(title => 'T5') WHERE NOT matched_number <=> '00000007'
+ UNION ALL SELECT {shown_} FROM ownership_history('T77') WHERE NOT matched_number <=> '00000007'""")
+
+
+@query("sql_view_report", f"{TL} SELECT ownership_status, match_type, count(*) AS owners, count(DISTINCT title_number) AS titles FROM tl GROUP BY ownership_status, match_type")
+def sql_view_report(spark, d):
+    tables.register_views({"ownership_timeline_all": corrected(titles(spark, d), companies(spark, d))})
+    return spark.sql("SELECT ownership_status, match_type, count(*) AS owners, count(DISTINCT title_number) AS titles FROM ownership_timeline_all GROUP BY ownership_status, match_type")
