@@ -122,10 +122,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     near = F.broadcast if rows <= BROADCAST_ROWS else (lambda x: x)
     known = near(index.select("_size", "_hash").distinct().withColumn("_known", F.lit(True)))
     base = docs.select(F.col(key).alias("_key"), F.xxhash64(F.col(text).cast("string")).alias("_text"), F.col(text).alias("_raw"))
-    # One pass over all texts. A first element that no benchmark row meets carries the word count and counts the row.
+    # One pass over all texts. A first element that no benchmark row meets carries the word count and counts the row; where the index is
+    # shuffled, its key is the text's hash, so that these elements don't meet in one task.
     # let() keeps the words of a text in one evaluation, whatever the optimizer does with projections.
     prints = let(words_of(F.col("_raw")), lambda w: _with_words(w, lengths, span, gram, bool(rows)))
-    tried = base.select("_key", "_text", F.explode(prints).alias("_f")).select("_key", "_text", F.col("_f.size").alias("_size"), F.col("_f.v").alias("_v"), F.when(F.col("_f.size") != 0, _hash(F.col("_f.v"))).alias("_hash"))
+    tried = base.select("_key", "_text", F.explode(prints).alias("_f")).select("_key", "_text", F.col("_f.size").alias("_size"), F.col("_f.v").alias("_v"), F.when(F.col("_f.size") != 0, _hash(F.col("_f.v"))).otherwise(F.col("_text")).alias("_hash"))
     met = tried.join(known, ["_size", "_hash"], "left").where("_known or _size = 0")
     heads = met.groupBy("_key", "_text").agg(
         F.max(F.when(F.col("_size") == 0, F.col("_v"))).alias("n_words"),

@@ -11,9 +11,10 @@ operations, and the fitted table has alphabet-squared cells, whatever the corpus
 
 Digits alone, of any length, aren't spans: pairs of characters don't tell random digits from ordinary numbers.
 
-A part that overlaps a base span, wholly or in part, is left to that span. Long texts are scanned whole, candidate by candidate.
+Letters of one case alone are held to a higher bar (PLAIN), since prose of any language is made of them. A part that overlaps
+a base span, wholly or in part, is left to that span. Long texts are scanned whole, in time linear in the text and the number of its matches.
 
-Positions are code points. They come from the pieces between the matches (split) and the matches' own lengths.
+Positions are code points.
 
 Defined results: a null text is empty; texts without spans give zero counts, the hash of nothing and an empty list;
 every row gives a row.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,26 +38,36 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 WIDE = len(ALPHABET) + 1  # 0: any other character
 CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"  # shorter ones hardly reach THRESHOLD
-THRESHOLD, MARGIN, DROP = 12.0, 0.6, 6.0
+THRESHOLD, MARGIN, DROP = 10.5, 0.6, 6.0
+#: Letters of one case (or with a capital first) between symbols are what words look like in any language: a part of nothing else must be
+#: this much likelier under the model of random strings, in all and per transition.
+PLAIN = r"^(?:[A-Z]?[a-z]*|[A-Z]*)(?:[+/_=-]+(?:[A-Z]?[a-z]*|[A-Z]*))*$"
+PLAIN_THRESHOLD, PLAIN_MARGIN = 40.0, 1.2
+#: A character that is in no pattern; texts that have it get another such character in its place while positions are found.
+MARK = "\ue000"
 SPANS = "array<struct<kind:int,start:int,end:int,match:string>>"
 
 
-def found(text: Column, pattern: str, kind: int) -> Column:
-    """Spans of the leftmost non-overlapping matches, in order."""
-    none = F.array().cast(SPANS)
+def chars(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def starts(text: Column, pattern: str) -> Column:
+    """Where the leftmost non-overlapping matches begin: a mark is put before each, and the marks' places in the text's
+    characters, less the marks before them, are the places. All of it is linear in the text, whatever the number of matches."""
+    clean = F.translate(text, MARK, "\ufffd")
+    marked = F.regexp_replace(clean, f"({pattern})", f"{MARK}$1")
+    at = F.filter(F.transform(chars(marked), lambda c, i: F.when(c == MARK, i)), lambda i: i.isNotNull())
+    return F.transform(at, lambda i, k: i - k)
 
-    def placed(matches):
-        steps = F.zip_with(matches, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")))
 
-        def add(acc, s):
-            start = acc["at"] + s["gap"]
-            end = start + F.length(s["m"])
-            span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), s["m"].alias("match"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+def found(text: Column, pattern: str, kind: int) -> Column:
+    """Spans of the leftmost non-overlapping matches, in order."""
 
-        return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), add)["out"]
+    def span(m, start):
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"))
 
-    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(none)
+    return F.when(text.rlike(pattern), F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), starts(text, pattern), span)).otherwise(F.array().cast(SPANS))
 
 
 def base_spans(text: Column) -> Column:
@@ -80,7 +92,7 @@ WORDS = (
     "replace report request resource response result return review router sample schedule schema scope screen search second section security select sequence server service session setting shadow "
     "shared shutdown signal simple single snapshot source standard start statement static status storage stream string structure style submit summary support switch system table target template "
     "terminal testing thread ticket timeout tracker transaction transfer transform translate update upload utility validate value variable vector version viewer visible volume warning widget window "
-    "worker workflow writer zone chapitre verein sobre porque schreiben gesellschaft traduction enseignement ecriture corazon trabajo"
+    "worker workflow writer zone"
 ).split()
 
 
@@ -139,13 +151,14 @@ def fit(sample: DataFrame) -> list[float]:
 
 
 def markov_spans(text: Column, ratios: list[float]) -> Column:
-    """Parts of candidates that the models call random."""
+    """Parts of candidates that the models call random. Candidates are scored first; only a text with a random part has its
+    candidates' places found."""
     grid = F.expr(f"cast(split('{' '.join(f'{x:.5f}' for x in ratios)}', ' ') as array<double>)")
 
-    none = F.array().cast("array<struct<a:int,b:int>>")
+    parts = F.array().cast("array<struct<a:int,b:int,sum:double>>")
 
     def walked(cells):
-        """Parts of a candidate as (first transition, transition after the last)."""
+        """Parts of a candidate as (first transition, transition after the last, sum)."""
         zero, no = F.lit(0.0), F.lit(0)
 
         def state(at, total, start, peak, end, out):
@@ -153,7 +166,7 @@ def markov_spans(text: Column, ratios: list[float]) -> Column:
 
         def closed(x):
             good = (x["peak"] >= THRESHOLD) & (x["peak"] >= MARGIN * (x["end"] - x["start"]))
-            return F.when(good, F.concat(x["out"], F.array(F.struct(x["start"].alias("a"), x["end"].alias("b"))))).otherwise(x["out"])
+            return F.when(good, F.concat(x["out"], F.array(F.struct(x["start"].alias("a"), x["end"].alias("b"), x["peak"].alias("sum"))))).otherwise(x["out"])
 
         def step(x, c):
             at = x["at"] + 1
@@ -164,12 +177,18 @@ def markov_spans(text: Column, ratios: list[float]) -> Column:
 
             return let(x["sum"] + F.get(grid, c), moved)
 
-        return F.aggregate(cells, state(no, zero, no, zero, no, none), step, closed)
+        return F.aggregate(cells, state(no, zero, no, zero, no, parts), step, closed)
+
+    def random_parts(m):
+        """Parts of the candidate m, from the first character to the one after the last."""
+
+        def kept(p):
+            plain = F.substring(m, p["a"] + 1, p["b"] - p["a"] + 1).rlike(PLAIN)
+            return ~plain | ((p["sum"] >= PLAIN_THRESHOLD) & (p["sum"] >= PLAIN_MARGIN * (p["b"] - p["a"])))
 
-    def parts(s):
         def whole(p):
             """To the ends of the letters and digits around a part, which belong to the same string."""
-            before, after = F.substring(s["match"], F.lit(1), p["a"]), F.substring(s["match"], p["b"] + 2, F.length(s["match"]))
+            before, after = F.substring(m, F.lit(1), p["a"]), F.substring(m, p["b"] + 2, F.length(m))
             return F.struct((p["a"] - F.length(F.regexp_extract(before, "[A-Za-z0-9]*$", 0))).alias("a"), (p["b"] + 1 + F.length(F.regexp_extract(after, "^[A-Za-z0-9]*", 0))).alias("b"))
 
         def joined(out, p):
@@ -177,12 +196,46 @@ def markov_spans(text: Column, ratios: list[float]) -> Column:
             one = F.struct(last["a"].alias("a"), F.greatest(last["b"], p["b"]).alias("b"))
             return F.when((F.size(out) > 0) & (p["a"] <= last["b"]), F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(one))).otherwise(F.concat(out, F.array(p)))
 
+        return F.aggregate(F.transform(F.filter(walked(transitions(m)), kept), whole), F.array().cast("array<struct<a:int,b:int>>"), joined)
+
+    def spans(s, start):
         def span(p):
-            return F.struct(s["kind"].alias("kind"), (s["start"] + p["a"]).alias("start"), (s["start"] + p["b"]).alias("end"), F.substring(s["match"], p["a"] + 1, p["b"] - p["a"]).alias("match"))
+            return F.struct(F.lit(3).alias("kind"), (start + p["a"]).alias("start"), (start + p["b"]).alias("end"), F.substring(s["m"], p["a"] + 1, p["b"] - p["a"]).alias("match"))
+
+        return F.transform(s["p"], span)
+
+    def placed(scored):
+        return F.when(F.exists(scored, lambda s: F.size(s["p"]) > 0), F.flatten(F.zip_with(scored, starts(text, CANDIDATE), spans)))
+
+    scored = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda m: F.struct(m.alias("m"), random_parts(m).alias("p")))
+    return F.coalesce(let(scored, placed), F.array().cast(SPANS))
+
+
+def apart(text: Column, tried: Column, base: Column) -> Column:
+    """The spans tried that overlap no span of base: base spans are blotted out in the text's characters, and a span that has a blot
+    overlaps one. Linear in the text and the spans."""
+
+    def blot(x, y):
+        """x and y are the same text, each with some characters blotted out."""
+        return F.zip_with(x, y, lambda a, b: F.when((a == MARK) | (b == MARK), F.lit(MARK)).otherwise(a))
+
+    def one(kind):
+        own = F.filter(base, lambda s: s["kind"] == kind)
+
+        def covered(mine):
+            # The text between the spans of one kind, which don't overlap, and marks in their place.
+            ends = F.concat(F.array(F.lit(0)), F.transform(mine, lambda s: s["end"]))
+            begins = F.concat(F.transform(mine, lambda s: s["start"]), F.array(F.length(text)))
+            gap = F.zip_with(ends, begins, lambda e, b: b - e)
+            length = F.concat(F.transform(mine, lambda s: s["end"] - s["start"]), F.array(F.lit(0)))
+            return chars(F.array_join(F.zip_with(gap, length, lambda g, n: F.concat(F.repeat(F.lit("."), g), F.repeat(F.lit(MARK), n))), ""))
+
+        return let(own, covered)
 
-        return F.transform(F.aggregate(F.transform(walked(transitions(s["match"])), whole), none, joined), span)
+    def free(blots):
+        return F.filter(tried, lambda s: ~F.array_contains(F.slice(blots, s["start"] + 1, s["end"] - s["start"]), MARK))
 
-    return F.flatten(F.transform(found(text, CANDIDATE, 3), parts))
+    return F.when((F.size(tried) == 0) | (F.size(base) == 0), tried).otherwise(let(blot(blot(one(0), one(1)), one(2)), free))
 
 
 def listed(spans: Column) -> Column:
@@ -195,8 +248,8 @@ def listed(spans: Column) -> Column:
 def scan(docs: DataFrame, ratios: list[float], kept: list[str], text: str = "text") -> DataFrame:
     """The kept columns, base and added (spans with their matches) of every row."""
     rows = docs.select(*[F.col(k) for k in kept], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
-    rows = rows.select(*kept, base_spans(F.col("_t")).alias("base"), markov_spans(F.col("_t"), ratios).alias("tried"))
-    return rows.select(*kept, "base", F.filter("tried", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))).alias("added"))
+    rows = rows.select(*kept, "_t", base_spans(F.col("_t")).alias("base"), markov_spans(F.col("_t"), ratios).alias("tried"))
+    return rows.select(*kept, "base", apart(F.col("_t"), F.col("tried"), F.col("base")).alias("added"))
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
