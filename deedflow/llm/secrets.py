@@ -39,9 +39,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 WIDE = len(ALPHABET) + 1  # 0: any other character
 CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"  # shorter ones hardly reach THRESHOLD
 THRESHOLD, MARGIN, DROP = 10.5, 0.6, 6.0
-#: Letters of one case (or with a capital first) between symbols are what words look like in any language: a part of nothing else must be
-#: this much likelier under the model of random strings, in all and per transition.
-PLAIN = r"^(?:[A-Z]?[a-z]*|[A-Z]*)(?:[+/_=-]+(?:[A-Z]?[a-z]*|[A-Z]*))*$"
+#: Letters of one case (or with a capital first) and then a number, between symbols, are what words look like in any language: a part of
+#: nothing else must be this much likelier under the model of random strings, in all and per transition.
+PLAIN = r"^(?:[A-Z]?[a-z]*|[A-Z]*)[0-9]*(?:[+/_=-]+(?:[A-Z]?[a-z]*|[A-Z]*)[0-9]*)*$"
 PLAIN_THRESHOLD, PLAIN_MARGIN = 40.0, 1.2
 #: A character that is in no pattern; texts that have it get another such character in its place while positions are found.
 MARK = "\ue000"

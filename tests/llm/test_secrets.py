@@ -101,7 +101,9 @@ def walked(text, ratios):
         parts, total, start, peak, end = [], 0.0, 0, 0.0, 0
 
         def close():
-            if peak >= secrets.THRESHOLD and peak >= secrets.MARGIN * (end - start):
+            plain = re.match(secrets.PLAIN, s[start : end + 1])
+            most, each = (secrets.PLAIN_THRESHOLD, secrets.PLAIN_MARGIN) if plain else (secrets.THRESHOLD, secrets.MARGIN)
+            if peak >= max(most, secrets.THRESHOLD) and peak >= max(each, secrets.MARGIN) * (end - start):
                 parts.append((start, end))
 
         for at, (a, b) in enumerate(zip(code, code[1:]), 1):
@@ -151,3 +153,42 @@ def test_spans_against_a_walk_and_held_out_rates(spark, ratios):
     assert sum(bool(found[i]) for i in range(400)) >= 0.9 * 400
     assert sum(bool(found[i]) for i in range(400, 800)) <= 0.02 * 400
     print("recall", sum(bool(found[i]) for i in range(400)) / 400, "false", sum(bool(found[i]) for i in range(400, 800)) / 400)
+
+
+def test_prose_and_identifiers_of_held_out_words_are_left_alone(spark, ratios):
+    rnd = random.Random(11)
+    held = "harbour meadow candle orchard violin pencil garden copper winter saddle thunder verein freiheit gesundheit porque siempre fenetre lumiere ouverture naturaleza przyjaciel zelfstandig".split()
+    glued = ["thononthwhwh", "laouoieuxaux", "Queosjaquell", "Donaudampfschifffahrt", "antidisestablishmentarianism", "zhwthqkvwx-qzjkwthvv"]
+    glued += ["".join(rnd.choice(held) for _ in range(rnd.randint(2, 6))) for _ in range(200)]
+    glued += ["".join(rnd.choice(["eau", "tion", "sch", "qu", "wh", "th", "ieux", "ll", "ing", "ca", "zz", "kt", "y"]) for _ in range(rnd.randint(5, 12))).title() for _ in range(200)]
+    named = [f"{rnd.choice('_-/').join(rnd.choice(held) for _ in range(3))}{rnd.choice(['', '_v2', '2024', '/17', '.txt'])}" for _ in range(200)]
+    got = run(spark, glued + named + [" ".join(glued)], ratios)
+    assert [t for i, t in enumerate(glued + named) if got[i][1]] == [] and got[len(glued + named)][1] == ""
+
+
+def test_recall_of_each_alphabet_from_16_characters(spark, ratios):
+    rnd = random.Random(12)
+    numerals = string.digits
+    alphabets = (s.ALPHABET[:62], s.ALPHABET[:64], s.ALPHABET[26:62], s.ALPHABET[:26] + numerals, s.ALPHABET[:6] + numerals)
+    keys = [("".join(rnd.choice(a) for _ in range(n)), k, n) for k, a in enumerate(alphabets) for n in (16, 24, 32) for _ in range(200)]
+    got = run(spark, [f"x {k} y" for k, _, _ in keys], ratios)
+    for k in range(len(alphabets)):
+        for n, least in ((16, 0.85), (24, 0.95), (32, 0.97)):
+            mine = [bool(got[i][1]) for i, (_, a, m) in enumerate(keys) if (a, m) == (k, n)]
+            assert sum(mine) >= least * len(mine), (k, n, sum(mine))
+
+
+def test_many_candidates_marks_and_overlaps(spark, ratios):
+    rnd = random.Random(13)
+    key = lambda n: "".join(rnd.choice(s.ALPHABET[:62]) for _ in range(n))
+    many = " ".join(key(24) if i % 10 == 0 else f"candidate{i:07d}abc" for i in range(30_000))
+    odd = f"\ue000 \ue000{key(30)}\ue000 token={key(30)} \ue000 {key(30)}"
+    both = " ".join(f"password={key(20)} {key(28)} {'0123456789abcdef' * 2}" for _ in range(3000))
+    texts = [many, odd, both]
+    got = run(spark, texts, ratios)
+    for i, t in enumerate(texts):
+        assert got[i][0] == base(t)
+        taken = [tuple(map(int, x.split(":")[1:])) for x in got[i][0].split(",") if x]
+        busy = {p for a, b in taken for p in range(a, b)}
+        want = [(a, b) for a, b in walked(t, ratios) if not busy.intersection(range(a, b))]
+        assert [tuple(map(int, x.split(":")[1:])) for x in got[i][1].split(",") if x.startswith("markov")] == want
