@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "timelines", "tables", "basics", "stored", "maintained", "pages")
+MODULES = ("matching", "timelines", "tables", "basics", "stored", "maintained", "pages", "files")
 
 
 def load_all() -> None:

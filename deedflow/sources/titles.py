@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +38,12 @@ def from_header(frame: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in frame.columns else F.lit(None).cast("string")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", null: str | None = None) -> DataFrame:
-    """A header-bound CSV as strings; quoted fields may hold line ends."""
+def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", null: str | None = None, only: str | None = None) -> DataFrame:
+    """A header-bound CSV as strings; quoted fields may hold line ends. only: of a folder, files whose names have this in them
+    are listed, and no others opened."""
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", sep).option("enforceSchema", False)
+    if only is not None:
+        reader = reader.option("pathGlobFilter", f"*{re.sub(r'([][{}*?\\])', r'\\\1', only)}*")
     return headers((reader.option("nullValue", null) if null is not None else reader).csv(path))
 
 
@@ -64,8 +69,10 @@ def parse_titles(raw: DataFrame, file_name: Column, keep_deletes: bool = False,
     return drop_deletes(parsed.where("dataset_type is not null and file_month is not null"), keep_deletes)
 
 
-def read_titles(spark: SparkSession, path: str, keep_deletes: bool = False) -> DataFrame:
-    raw = read_csv(spark, path)
+def read_titles(spark: SparkSession, path: str, keep_deletes: bool = False, only: str | None = None) -> DataFrame:
+    """Rows of a folder's snapshot files (those with `only` in their names). Files load in the order of their names, whatever
+    task reads them: LOAD_ORDER says which row of a key is the last."""
+    raw = read_csv(spark, path, only=only)
     return parse_titles(raw.withColumn("_file", F.col("_metadata.file_name")), F.col("_file"), keep_deletes)
 
 
