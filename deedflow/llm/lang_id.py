@@ -12,13 +12,13 @@ Rows that training doesn't see calibrate (CALIBRATION and a fifth of SAMPLE expe
 
 A text is rejected where its language is likelier wrong than right, or where it is novel (random letters, languages that
 weren't learned): its deviation is below both -LEAST and the QUANTILE of the calibration rows, and its mean has come FAR
-of the way from the language's mean to that of n-grams drawn uniformly. With fewer than ENOUGH calibration rows (a
-thousand labelled rows) novelty isn't judged: so few say nothing of rare clean texts.
+of the way from the language's mean to that of n-grams drawn uniformly. Both bars are for any number of calibration rows: with n of
+them the first is n / (n + DOUBT) of one half, and the second moves out as 1 + DOUBT / n, since few rows say little of rare clean texts.
 
 Training and calibration use a sample of labelled rows, chosen by a hash of their id; everything else reads every
 whole text.
 
-Under 50 labelled rows all train: neither temperature nor rejection is fitted then.
+Of fewer than five labelled rows all train, and neither temperature nor rejection is fitted.
 
 Defined results: a null text or one without a letter is `und` with score 0 and is rejected; a null id is in no fold held out and
 is learned from like others; repeated rows get a row each; equal scores go to the first language by name; without labelled rows
@@ -39,7 +39,7 @@ from . import textvec
 from .common import cut, drop_cut, lean, small_batches, table
 
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE = 2500, 1 << 15, 16, 8, 12.0
-CALIBRATION, QUANTILE, LEAST, FAR, ENOUGH = 5000, 0.001, 4.0, 0.25, 200
+CALIBRATION, QUANTILE, LEAST, FAR, DOUBT = 5000, 0.001, 4.0, 0.25, 50
 RARE, LANGUAGES = 100, 1000
 ORDERS = (2, 3, 4)
 SEGMENT = 1 << 18
@@ -158,16 +158,15 @@ def calibrate(model: Model, y: np.ndarray, z: np.ndarray, means: np.ndarray, n:
     if not len(y):
         return replace(model, shares=None)
     temp = temperature(z, y)
-    model = replace(model, table=(model.table / temp).astype(np.float32), bias=model.bias / temp, reject_below=0.5 if len(model.langs) > 1 else 0.0)
-    if len(y) < ENOUGH:
-        return replace(model, shares=None)
+    sure = 0.5 * len(y) / (len(y) + DOUBT)
+    model = replace(model, table=(model.table / temp).astype(np.float32), bias=model.bias / temp, reject_below=sure if len(model.langs) > 1 else 0.0)
     top, model.usual = z.argmax(axis=1), np.zeros((len(model.langs), 3))
     mean = means[np.arange(len(top)), top]
     for k in range(len(model.langs)):
         own = top == k if (top == k).sum() >= 20 else np.ones(len(top), bool)  # too few: as over all languages
         mu = float((mean[own] * n[own]).sum() / n[own].sum())
         model.usual[k] = mu, *spreads(mean[own] - mu, n[own])
-    model.least = min(-LEAST, float(np.quantile(model.deviation(mean, n, top), QUANTILE, method="lower")))
+    model.least = min(-LEAST, float(np.quantile(model.deviation(mean, n, top), QUANTILE, method="lower"))) * (1 + DOUBT / len(y))
     return model
 
 
@@ -215,14 +214,15 @@ def score_batches(model: Model, kept: list[str]):
     return run
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
     """Fit and calibrate on rows of docs where learn holds and the label isn't null.
 
     A hash of the id chooses sample + CALIBRATION of them, and RARE of each language at least (expected; all, if fewer). Four fifths
     of sample, by a hash of what they hold, train, and the others calibrate; the driver gets no more of their n-grams
-    than those of the training rows. Of more than LANGUAGES labels, the most frequent are learned."""
+    than those of the training rows. Of more than `languages` labels, the most frequent are learned: the model has
+    a column for each, so this bounds its size."""
     usable = docs.where(learn & F.col(lang).isNotNull()).withColumn("_lang", F.col(lang).cast("string"))
-    counts = {r[0]: r[1] for r in usable.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).collect()}
+    counts = {r[0]: r[1] for r in usable.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(languages).collect()}
     if not counts:
         return fit([])
     usual = (sample + CALIBRATION) / sum(counts.values())
@@ -230,7 +230,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     chosen = usable.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < F.try_element_at(rates, F.col("_lang"))).where(F.col(text).rlike(r"\p{L}"))
     rows = cut(chosen.select("_lang", F.col(text)).mapInArrow(lean(sparse_rows), "label string, idx binary, share binary, n long").withColumn("_order", F.xxhash64("label", "idx", "share", F.lit(7))))
     total = rows.count()
-    size = min(total, sample) * 4 // 5 if total >= 50 else total
+    size = min(total, sample) - min(total, sample) // 5
     # The place of the last training row first, from the order alone; of rows that hold the same, any may be left out.
     last = rows.select("_order").orderBy("_order").limit(size).agg(F.max("_order")).first()[0]
     got = sorted(rows.where(F.col("_order") <= F.lit(last)).limit(size).collect(), key=lambda r: (r._order, r.label, bytes(r.idx)))

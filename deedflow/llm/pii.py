@@ -12,7 +12,8 @@ bijection for any a and b. Sets that don't factor are walked in cycles inside a
 Punctuation around a value doesn't matter, only a number or word that goes on; of a match that isn't valid, its beginnings are
 tried. Ten digits are a telephone number if they begin with an area code (2 to 9 first); with +1 or a bracket also if they don't,
 for unassigned numbers are written too, and then the pseudonym begins with 0 or 1 as well. An e-mail address is taken whole,
-however long.
+however long; its last label has 2 to 63 letters or is an encoded one (xn--). A date of the years 1 to 9999 is read day first where it can be, but
+where its layout is year first or only month first fits; its pseudonym is in the same of three spans of years (to 1899, to 2099, later).
 
 Where values overlap, the earlier kind in KINDS wins, then the leftmost. Text outside valid values isn't touched.
 Defined results: a null text stays null; an empty one stays empty; every row gives a row, and repeated rows the same; a long text is
@@ -194,7 +195,8 @@ def phone(fe: Feistel, m: str, back: bool = False) -> str | None:
     return spread(m, code + "".join(map(str, fe.mixed([int(c) for c in rest], [10] * len(rest), f"phone{code}", back))))
 
 
-FIRST, LAST = date(1900, 1, 1), date(2099, 12, 31)
+#: A date's pseudonym stays in the span of years that the date is in.
+SPANS = ((date(1900, 1, 1), date(2099, 12, 31)), (date(1, 1, 1), date(1899, 12, 31)), (date(2100, 1, 1), date(9999, 12, 31)))
 
 
 def calendar(fe: Feistel, m: str, back: bool = False) -> str | None:
@@ -208,22 +210,21 @@ def calendar(fe: Feistel, m: str, back: bool = False) -> str | None:
         value = date(y, month, day)
     except ValueError:
         return None
-    if not FIRST <= value <= LAST:
-        return None
-    got = FIRST + timedelta(fe.index((value - FIRST).days, (LAST - FIRST).days + 1, "date", back))
+    first, last = next(s for s in SPANS if s[0] <= value <= s[1])
+    got = first + timedelta(fe.index((value - first).days, (last - first).days + 1, "date" if first == SPANS[0][0] else f"date{first.year}", back))
     # A layout without leading zeros stays one; where both parts have two digits anyway, it can't be told.
     wide = 2 if all(len(x) >= 2 for x in parts) else 1
     if year_first:
-        return f"{got.year}{sep}{got.month:0{wide}d}{sep}{got.day:0{wide}d}"
+        return f"{got.year:04d}{sep}{got.month:0{wide}d}{sep}{got.day:0{wide}d}"
     # A month-first layout that would read as day-first keeps its meaning only where the day says so.
     a, b = (got.month, got.day) if month_first and got.day > 12 else (got.day, got.month)
-    return f"{a:0{wide}d}{sep}{b:0{wide}d}{sep}{got.year}"
+    return f"{a:0{wide}d}{sep}{b:0{wide}d}{sep}{got.year:04d}"
 
 
 # Only a word or a number that goes on forbids a value: other punctuation may stand on both sides.
 START, END = r"(?<![A-Za-z0-9_+])(?<![0-9][.-])", r"(?![A-Za-z0-9_])(?![.\-/][0-9])"
 LOCAL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?")
-DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}))*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
+DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}))*\.(?:[Xx][Nn]--[A-Za-z0-9-]{1,58}[A-Za-z0-9]|[A-Za-z]{2,63})(?![A-Za-z0-9])")
 PATTERNS = {
     "iban": re.compile(START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + END),
     "ip": re.compile(r"(?<![A-Za-z0-9_+])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9_])(?!\.[0-9])"),

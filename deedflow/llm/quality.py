@@ -11,8 +11,9 @@ by the fit and by the scoring.
 
 Defined results: null and empty texts have all statistics 0 and are scored like any other; repeated documents get a
 row each; labels that are null or of no document don't count; a null id is in no fold held out and has no label; equal statistics
-get equal scores; without labelled rows every score is 0.5. Under 200 labelled rows, or without one in the calibration fifth, the
-rows of the fit calibrate too.
+get equal scores; without labelled rows every score is 0.5. The rows of the fit calibrate
+too, each with the weight 1 / (1 + (n / FEW) ** 2), n being the rows of the calibration fifth: whole without any, little beside many. A document
+with several labels counts once for each.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ STATS = (
     "non_ascii controls lines line_mean repeated_lines ends_stop entropy starts_upper mixed_words"
 ).split()
 FEATURES, WIDTH, RIDGE, SEED, BINS = 384, 1.6, 1e-3, 11, 400
-PREDICT_AT = 0.3
+PREDICT_AT, FEW = 0.3, 40
 CLASS = np.zeros(256, np.int64)  # 0 control, 1 lower, 2 upper, 3 digit, 4 space, 5 punctuation, 6 symbol, 7 non-ASCII
 for _i in range(256):
     _c = chr(_i)
@@ -190,8 +191,14 @@ def train(stats: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id
     def counted(rows):
         return sorted(map(tuple, rows.select("stats", "y").mapInArrow(lean(histogram), "bin int, y double").groupBy("bin").agg(F.count("*"), F.sum("y")).collect()))
 
-    counts = (counted(known.where("held")) if first[0] >= 200 else []) or counted(known)
-    b, n, y = (np.array(v, float) for v in zip(*counts, strict=True))
+    # Rows of the fit count the less, the more rows there are that it hasn't seen.
+    apart, fitted = counted(known.where("held")), counted(known.where(~F.col("held")))
+    weight = 1 / (1 + (sum(n for _, n, _ in apart) / FEW) ** 2)
+    bins: dict[int, np.ndarray] = {}
+    for part, w in ((apart, 1.0), (fitted, weight)):
+        for b, n, y in part:
+            bins[b] = bins.get(b, np.zeros(2)) + w * np.array([n, y])
+    b, (n, y) = np.array(sorted(bins), float), np.array([bins[x] for x in sorted(bins)]).T
     model.knots = isotonic((b + 0.5) / BINS * 3 - 1, n, y)
     return model
 
