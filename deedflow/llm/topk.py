@@ -1,16 +1,16 @@
 """Exact top-k search by inner product: an impact-ordered index, processed score at a time.
 
-Vectors become integers, floor(SCALE * x). Candidates are dealt into blocks by a hash of their id, and a task builds its
-block's index once: for every dimension and quantised impact (component value), the segment of candidates with it. Queries
+Vectors become integers, floor(SCALE * x). Candidates are dealt into blocks, by LEVELS of their norms and in a level by a hash of
+their id, and a task builds its block's index once: for every dimension and quantised impact (component value), the segment of candidates with it. Queries
 then stream over the index in slabs. Segments go by descending magnitude of impact; each adds impact times query component
 to its candidates' accumulators, for the whole slab at once. What a candidate still misses is at most the query's norm
 times the norm of its components not yet processed (Cauchy-Schwarz), which bounds every score from both sides. Processing
 stops only when these bounds leave few possible members of a top k; those are rescored exactly. Without such proof it
 goes on until the accumulators are exact.
 
-The first block is searched before the others. A query's k-th score there is a floor for all others: a block whose norms
-can't reach it is skipped for the query, the bounds are held against it, and only scores that reach it leave a task. The
-best of all blocks then meet by query. Queries are split among tasks only beyond QUERIES of them, so that candidates are
+The first block, of the greatest norms, is searched before the others. A query's k-th score there is a floor for all others: a query isn't
+sent to blocks whose norms can't reach it, the bounds are held against it, and only scores that reach it leave a task. The
+best of all blocks then meet by query. Vectors of about equal norms are all sent, as nothing is known of them before they meet. Queries are split among tasks only beyond QUERIES of them, so that candidates are
 sent once for so many queries, and queries once for every block of candidates.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows with a null
@@ -21,6 +21,7 @@ don't meet. Ties go to the smaller id; a query with fewer than k candidates gets
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, shuffle_width, table
+from .common import cut, drop_cut, shuffle_width, table
 
 SCALE, K = 64, 20
+#: Ranges of norms that blocks are formed in.
+LEVELS = 32
 CANDIDATES, QUERIES = 4096, 65536
 #: Queries of one task against the first block, and of one slab.
 FIRST, SLAB = 1024, 512
@@ -60,7 +63,8 @@ class Index:
         order = np.lexsort((row, value, dim, -np.abs(value)))
         row, dim, value = row[order], dim[order], value[order]
         new = np.flatnonzero(np.concatenate([[True], (dim[1:] != dim[:-1]) | (value[1:] != value[:-1])])) if len(row) else np.zeros(0, int)
-        self.segments = [(int(dim[a]), int(value[a]), row[a:b]) for a, b in zip(new, [*new[1:], len(row)], strict=True)]
+        ends = np.append(new, len(row))  # a block of zero vectors has no segment
+        self.segments = [(int(dim[a]), int(value[a]), row[a:b]) for a, b in zip(new, ends[1:], strict=True)]
         self.vectors, self.size, self._rest = vectors, len(row), {}
 
     def rest(self, magnitude: float) -> np.ndarray:
@@ -185,32 +189,76 @@ def _blocks(k: int):
 BEST = "query_id long, _qv long, vec_id long, score long"
 
 
-def _meet(asked: DataFrame, rows: DataFrame, blocks: range, per_task: int, quers: int, k: int) -> DataFrame:
-    """The best of every block in blocks for each query: the stated queries against all rows, with no pair of rows made."""
+@dataclass(frozen=True)
+class Level:
+    """Blocks first to last (exclusive), whose vectors have this norm at most."""
+
+    first: int
+    last: int
+    norm: float
+
+
+def in_blocks(rows: DataFrame) -> tuple[DataFrame, list[Level]]:
+    """rows with cb, their block, and the levels of norms, greatest first. A level is a range between quantiles of the norms (equal norms are never
+    parted), dealt by a hash into blocks of about CANDIDATES rows."""
+    cuts = sorted(set(rows.approxQuantile("norm", [i / LEVELS for i in range(1, LEVELS)], 1 / (8 * LEVELS))))
+    # The level of a norm: how many cuts are at or above it, so that level 0 has the greatest.
+    level = sum((F.when(F.col("norm") <= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    rows, levels, at = rows.withColumn("_level", level), {}, 0
+    for r in sorted(rows.groupBy("_level").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).collect()):
+        blocks = math.ceil(r.n / CANDIDATES)
+        levels[r._level] = Level(at, at + blocks, r.norm)
+        at += blocks
+    if not levels:
+        return rows.withColumn("cb", F.lit(0)).drop("_level"), []
+    first, wide = (F.create_map(*[F.lit(x) for k, v in levels.items() for x in (k, f(v))]) for f in (lambda v: v.first, lambda v: v.last - v.first))
+    block = first[F.col("_level")] + F.pmod(F.xxhash64("id", F.lit(2)), wide[F.col("_level")]).cast("int")
+    return rows.withColumn("cb", block).drop("_level"), list(levels.values())
+
+
+def to_blocks(asked: DataFrame, levels: list[Level], start: int, stop: int) -> DataFrame:
+    """asked, once for each block from start to stop that may hold one of its best: where its norm times the block's reaches its
+    floor. Those are the first levels, so a query without hope of any is not sent at all."""
+    hope = F.col("floor").isNull()
+    upto = F.lit(0)
+    for v in levels:
+        upto = F.when(hope | (F.col("norm") * v.norm * (1 + 1e-9) + 1e-3 >= F.col("floor")), F.lit(v.last)).otherwise(upto)
+    sent = asked.withColumn("_upto", F.least(upto, F.lit(stop))).where(F.col("_upto") > start)
+    return sent.withColumn("cb", F.explode(F.sequence(F.lit(start), F.col("_upto") - 1))).drop("_upto")
+
+
+def _meet(asked: DataFrame, rows: DataFrame, levels: list[Level], start: int, stop: int, per_task: int, quers: int, k: int) -> DataFrame:
+    """The best of the blocks from start to stop for each query: the stated queries against all rows, with no pair of rows made."""
     split = max(1, math.ceil(quers / per_task))
     deal = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(split)).cast("int")
-    left = asked.withColumns({"qb": deal, "cb": F.explode(F.sequence(F.lit(blocks.start), F.lit(blocks.stop - 1))), "asks": F.lit(True)})
-    right = rows.where(F.col("cb").between(blocks.start, blocks.stop - 1)).withColumns({"qb": F.explode(F.sequence(F.lit(0), F.lit(split - 1))), "asks": F.lit(False), "floor": F.lit(None).cast("long")})
-    pairs = left.unionByName(right, allowMissingColumns=True).select("dims", "qb", "cb", "asks", "id", "mark", "floor", "v")
-    tasks = max(shuffle_width(rows.sparkSession), split * len(blocks))
+    left = to_blocks(asked, levels, start, stop).withColumns({"qb": deal, "asks": F.lit(True)})
+    right = rows.where(F.col("cb").between(start, stop - 1)).withColumns({"qb": F.explode(F.sequence(F.lit(0), F.lit(split - 1))), "asks": F.lit(False), "floor": F.lit(None).cast("long")})
+    columns = ["dims", "qb", "cb", "asks", "id", "mark", "floor", "v"]
+    pairs = left.select(*columns).unionByName(right.select(*columns))
+    tasks = max(shuffle_width(rows.sparkSession), split * (stop - start))
     return pairs.repartition(tasks, "dims", "qb", "cb").sortWithinPartitions("dims", "qb", "cb", "asks").mapInArrow(_blocks(k), BEST)
 
 
 def top_k(vectors: DataFrame, asks: Column, k: int = K, scale: int = SCALE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each row where asks holds, against all rows."""
+    made: list[DataFrame] = []
     rows = vectors.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
-    rows = cut(rows.distinct().withColumn("dims", F.size("v")).withColumn("mark", F.xxhash64("v")))
-    n, m = rows.agg(F.count("*"), F.count_if("asks")).first()
-    blocks = max(1, math.ceil(n / CANDIDATES))
-    cands = rows.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int"))
-    asked = rows.where("asks")
-    best = _meet(asked.withColumn("floor", F.lit(None).cast("long")), cands, range(1), FIRST, m, k)
-    if blocks > 1:
-        best = cut(best)
-        floors = best.groupBy(F.col("query_id").alias("id"), F.col("_qv").alias("mark")).agg(F.min("score").alias("floor"), F.count("*").alias("_n")).where(F.col("_n") >= k).drop("_n")
-        best = best.union(_meet(asked.join(floors, ["id", "mark"], "left"), cands, range(1, blocks), QUERIES, m, k))
-    rank = F.row_number().over(Window.partitionBy("query_id", "_qv").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)) * (1 + 1e-9)
+    try:
+        rows = cut(rows.distinct().withColumns({"dims": F.size("v"), "mark": F.xxhash64("v"), "norm": norm}), made)
+        quers = rows.where("asks").count()
+        cands, levels = in_blocks(rows)
+        blocks = levels[-1].last if levels else 0
+        asked = rows.where("asks").withColumn("floor", F.lit(None).cast("long"))
+        best = cut(_meet(asked, cands, levels, 0, 1, FIRST, quers, k), made)
+        if blocks > 1:
+            floors = best.groupBy(F.col("query_id").alias("id"), F.col("_qv").alias("mark")).agg(F.min("score").alias("floor"), F.count("*").alias("_n")).where(F.col("_n") >= k).drop("_n")
+            best = best.union(_meet(asked.drop("floor").join(floors, ["id", "mark"], "left"), cands, levels, 1, blocks, QUERIES, quers, k))
+        rank = F.row_number().over(Window.partitionBy("query_id", "_qv").orderBy(F.desc("score"), "vec_id"))
+        out = best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return cut(out)
+    finally:
+        drop_cut(*made)
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

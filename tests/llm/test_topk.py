@@ -77,3 +77,38 @@ def test_few_candidates_and_large_components(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 4)
     rows = [(i, [float(2**22 * (i % 5)), float(i)]) for i in range(18)] + [(40, [0.0, 0.0])] * 2
     assert run(spark, rows, 5) == brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 5)
+
+
+def test_queries_are_not_sent_to_blocks_out_of_reach(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 50)
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.normal(size=8) * 0.05 * 1.01 ** (i % 400)]) for i in range(1200)]
+    sent = []
+    to_blocks = topk.to_blocks
+
+    def counting(asked, levels, start, stop):
+        out = to_blocks(asked, levels, start, stop)
+        sent.append((out.count(), asked.count() * (stop - start), out.select("cb").distinct().count()))
+        return out
+
+    monkeypatch.setattr(topk, "to_blocks", counting)
+    got = run(spark, rows, 5)
+    assert got == brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 5)
+    assert sent[0][0] == sent[0][1]  # the first block is searched by all
+    assert 0 < sent[1][0] < 0.6 * sent[1][1], sent
+    # equal norms can't be told apart: all are sent
+    sent.clear()
+    same = [(i, [1.0 if j == i % 8 else 0.0 for j in range(8)]) for i in range(300)]
+    assert run(spark, same, 5) == brute(same, 5)
+    assert sent[1][0] == sent[1][1]
+
+
+def test_levels_hold_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 10)
+    rows = spark.range(500).select("id", F.when(F.col("id") < 300, 7.0).otherwise(F.col("id").cast("double")).alias("norm"))
+    got, levels = topk.in_blocks(rows)
+    by = got.groupBy("cb").agg(F.count("*").alias("n"), F.max("norm").alias("top")).collect()
+    assert sum(r.n for r in by) == 500 and levels[0].first == 0 and all(a.last == b.first and a.norm > b.norm for a, b in zip(levels, levels[1:]))
+    for r in by:
+        level = next(v for v in levels if v.first <= r.cb < v.last)
+        assert r.top <= level.norm
