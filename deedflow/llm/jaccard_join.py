@@ -5,10 +5,12 @@ prefix-filtered index join with these parts:
 
 - a global order of shingles, rare ones first: by a count sketch of fixed size over all documents, then by hash. Any
   fixed order gives exact results; this one keeps shared passages out of the prefixes;
-- an index: for each shingle, the list of nodes that have it in their prefix, with set size and position. Lists of one
-  node are dropped in the task that finds them;
-- stars: each list's HUBS nodes of smallest hash are compared with the whole list, where sizes and positions leave room and
-  parity bitmaps (their Hamming distance is a lower bound of the symmetric difference) don't exclude the pair;
+- an index: for each shingle, the list of nodes that have it in their prefix, with set size and position, in the order of
+  positions and in blocks of LIST_BLOCK that know their least position and their range of sizes. Lists of one node are dropped in
+  the task that finds them;
+- stars: each list's HUBS nodes of smallest hash are compared with the list: blocks without room for a similar set are skipped whole,
+  then postings whose sizes and positions leave no room, then pairs whose parity
+  bitmaps (their Hamming distance is a lower bound of the symmetric difference) don't exclude the pair;
 - skipping: afterwards a list whose nodes are in one component is done, and a pair in one component is never looked at;
 - longer lists that are still open meet as cells (see open_cells), in blocks of bounded nodes and bytes: first bitmaps, which leave
   the nodes that have a candidate in another component, then their sets. There a set's answers, the
@@ -41,11 +43,13 @@ from .common import bounded, cut, drop_cut, lean, shuffle_width, small_batches,
 from .components import components
 
 CELLS, CHUNKS = 1 << 23, 64
-HUBS, BITS = 12, 1024
+HUBS, BITS, LIST_BLOCK = 12, 1024, 64
 #: Nodes, and bytes of their sets, of a block.
 BLOCK, BLOCK_BYTES = 4096, 8 << 20
 #: Tables of so many bytes at most (8 for each long) are broadcast.
 BROADCAST_BYTES = 8 << 20
+#: Sketches that are added up at once.
+FAN = 64
 POSTING = np.dtype([("token", "u8"), ("node", "i8"), ("size", "u4"), ("pos", "u4")])
 BATCH_POSTINGS, PART_POSTINGS = 1 << 18, 1 << 20
 
@@ -108,22 +112,44 @@ def _heads(k: int):
     return run
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts = np.frombuffer(zlib.decompress(part), np.uint32).astype(np.int64)
+            sums[chunk] = sums.get(chunk, 0) + counts
+    return sums
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """chunk, sketch -> one sketch for each chunk; counts stay at their greatest value."""
+    for chunk, counts in _sums(batches).items():
+        blob = zlib.compress(np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "sketch": pa.array([blob], pa.binary())})
+
+
 def _merged(usual: float):
     """chunk, sketch -> chunk and the frequency class of each of its cells, summed as a stream."""
 
     def run(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = np.frombuffer(zlib.decompress(part), np.uint32).astype(np.int64)
-                sums[chunk] = sums.get(chunk, 0) + counts
-        for chunk, counts in sums.items():
+        for chunk, counts in _sums(batches).items():
             level = np.clip(np.floor(2 * np.log2(np.maximum(counts, 1) / (2 * usual))), 0, 255).astype(np.uint8)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "level": pa.array([zlib.compress(level.tobytes(), 1)], pa.binary())})
 
     return run
 
 
+def gathered(sketches: DataFrame, width: int) -> DataFrame:
+    """chunk, sketch of all tasks -> fewer of each chunk: added up in groups of tasks, so that nobody reads those of all of them."""
+    tasks = sketches.where("chunk = 0").count()
+    while tasks > FAN:
+        groups = -(-tasks // FAN)
+        each = sketches.withColumn("_g", F.pmod(F.xxhash64("sketch"), F.lit(groups)))
+        sketches = each.repartition(min(groups * CHUNKS, max(width, CHUNKS)), "chunk", "_g").drop("_g").mapInArrow(lean(_added), "chunk int, sketch binary")
+        tasks = groups
+    return sketches
+
+
 def splits(level: np.ndarray, usual: float) -> np.ndarray:
     """Into how many parts, at least, the list of a shingle of this frequency class is split by node."""
     return np.maximum(2 ** ((level.astype(np.float64) + 1) / 2) * 2 * usual / PART_POSTINGS, 1).astype(np.uint64)
@@ -178,7 +204,8 @@ def _postings(k: int, percent: int, levels, usual: float, parts: int):
 
 
 def _lists(levels, usual: float):
-    """Postings of the shingles that more than one node has, or whose lists are split."""
+    """Postings of the shingles that more than one node has, or whose lists are split: each list in the order of positions, in
+    blocks of LIST_BLOCK postings at most, with a block's least position and range of sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [np.frombuffer(b.as_py(), POSTING) for batch in batches for b in batch.column(1)]
@@ -191,14 +218,34 @@ def _lists(levels, usual: float):
         same = every["token"][1:] == every["token"][:-1]
         shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         every = every[shared | (splits(levels.value[cells(every["token"])], usual) > 1)]
-        for at in range(0, len(every), 1 << 16):
-            part = every[at : at + (1 << 16)]
-            columns = [part["token"].astype(np.uint64).view(np.int64), *(part[c].astype(np.int64) for c in ("node", "size", "pos"))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size", "pos"])
+        if not len(every):
+            return
+        every = every[np.lexsort((every["node"], every["pos"], every["token"]))]
+        begins = np.concatenate([[True], every["token"][1:] != every["token"][:-1]])
+        place = np.arange(len(every)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+        starts = np.flatnonzero(place % LIST_BLOCK == 0)
+        lo, hi = np.minimum.reduceat(every["size"], starts), np.maximum.reduceat(every["size"], starts)
+        ends = np.append(starts, len(every))
+        for at in range(0, len(starts), 1024):
+            to = min(at + 1024, len(starts))
+            part, offsets = every[ends[at] : ends[to]], pa.array((ends[at : to + 1] - ends[at]).astype(np.int32))
+            heads = part[ends[at:to] - ends[at]]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(part[c].astype(t))) for c, t in (("node", np.int64), ("size", np.int32), ("pos", np.int32))]
+            columns = [heads["token"].astype(np.uint64).view(np.int64), heads["pos"].astype(np.int64), lo[at:to].astype(np.int64), hi[at:to].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *lists], names=["token", "least", "lo", "hi", "nodes", "sizes", "places"])
 
     return run
 
 
+LISTS = "token long, least long, lo long, hi long, nodes array<long>, sizes array<int>, places array<int>"
+
+
+def postings(lists: DataFrame, *kept: str) -> DataFrame:
+    """token, node, size, pos, and the columns kept, of every posting."""
+    each = lists.select("token", *kept, F.explode(F.arrays_zip("nodes", "sizes", "places")).alias("_p"))
+    return each.select("token", *kept, F.col("_p.nodes").alias("node"), F.col("_p.sizes").cast("long").alias("size"), F.col("_p.places").cast("long").alias("pos"))
+
+
 def parity(doc: np.ndarray, shingles: np.ndarray, n: int) -> list[bytes]:
     """For each of n documents, the parities of its shingles in BITS cells or, for large sets, in a power of two of
     twice their size or more. Cells go by the lowest bits, so a longer bitmap folds into a shorter one by xor."""
@@ -253,16 +300,25 @@ def _sets(k: int):
 # --- pairs --------------------------------------------------------------------------------------------------------
 
 
+def hubs_and_blocks(lists: DataFrame, percent: int) -> DataFrame:
+    """Every list's hubs (x, its size m, place q and rank r), its HUBS nodes of smallest hash, with the list's blocks in which a pair can have room: blocks
+    whose least position leaves too few shingles, or whose sizes are all too far from the hub's, are skipped unread."""
+    ranked = postings(lists).withColumn("r", F.xxhash64("node", F.lit(23)))
+    hubs = ranked.withColumn("n", F.row_number().over(Window.partitionBy("token").orderBy("r", "node"))).where(F.col("n") <= HUBS)
+    hubs = hubs.select("token", F.col("node").alias("x"), F.col("size").alias("m"), F.col("pos").alias("q"), "r")
+    near_size = (100 * F.col("hi") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("lo"))
+    room = (100 + percent) * F.least(F.col("hi") - F.col("least"), F.col("m") - F.col("q")) >= percent * (F.col("lo") + F.col("m"))
+    return lists.join(hubs, "token").where(near_size & room)
+
+
 def stars(lists: DataFrame, percent: int) -> DataFrame:
-    """x, y: pairs of every list's hubs, its HUBS nodes of smallest hash, with its nodes, but those whose sizes, or the places
-    of the common shingle, leave no room for enough common shingles. Hubs are cut down before the shuffle."""
-    ranked = lists.withColumn("rank", F.xxhash64("node", F.lit(23)))
-    hubs = ranked.withColumn("n", F.row_number().over(Window.partitionBy("token").orderBy("rank", "node"))).where(F.col("n") <= HUBS)
-    hubs = hubs.select("token", F.col("node").alias("x"), F.col("size").alias("m"), F.col("pos").alias("q"), F.col("rank").alias("r"))
+    """x, y: pairs of every list's hubs with its nodes, but those whose sizes, or the places of the common shingle, leave no
+    room for enough common shingles. Blocks are skipped before their postings are looked at."""
+    met = postings(hubs_and_blocks(lists, percent), "x", "m", "q", "r").withColumn("rank", F.xxhash64("node", F.lit(23)))
     after = (F.col("rank") > F.col("r")) | ((F.col("rank") == F.col("r")) & (F.col("node") > F.col("x")))
     sizes = 100 * F.least("size", "m") >= percent * F.greatest("size", "m")
     room = (100 + percent) * F.least(F.col("size") - F.col("pos"), F.col("m") - F.col("q")) >= percent * (F.col("size") + F.col("m"))
-    return ranked.join(hubs, "token").where(after & sizes & room).select("x", F.col("node").alias("y")).distinct()
+    return met.where(after & sizes & room).select("x", F.col("node").alias("y")).distinct()
 
 
 def open_cells(rows: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
@@ -489,7 +545,8 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str, kept: li
         total = heads.agg(F.sum("n")).first()[0] or 0
         usual = max(total / CELLS, 1.0)
         # 1. The global order.
-        merged = first.where("chunk is not null").select("chunk", "sketch").repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(usual)), "chunk int, level binary").collect()
+        sketches = gathered(first.where("chunk is not null").select("chunk", "sketch"), shuffle_width(spark))
+        merged = sketches.repartition(min(CHUNKS, shuffle_width(spark)), "chunk").mapInArrow(lean(_merged(usual)), "chunk int, level binary").collect()
         levels = np.zeros(CELLS, np.uint8)
         for r in merged:
             levels.reshape(CHUNKS, -1)[r.chunk] = np.frombuffer(zlib.decompress(r.level), np.uint8)
@@ -497,15 +554,15 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str, kept: li
         # 2. The index, without the lists of one node.
         parts = max(shuffle_width(spark), int(total * (105 - percent) / 100) // PART_POSTINGS + 1)
         packed = texts.select("t").mapInArrow(lean(_postings(k, percent, shared, usual, parts)), "part int, blob binary")
-        lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists(shared, usual)), "token long, node long, size long, pos long"), made)
+        lists = cut(packed.repartition(parts, "part").mapInArrow(lean(_lists(shared, usual)), LISTS), made)
         # 3. The sets of the nodes in it, each read from one of its documents.
-        nodes = lists.select("node").distinct()
+        nodes = lists.select(F.explode("nodes").alias("node")).distinct()
         ids = cut(heads.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("want")).select("want").distinct(), made)
         sets = cut(texts.join(near(ids), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("t").mapInArrow(lean(_sets(k)), "node long, size long, bits binary, shingles binary"), made)
         # 4. Stars, and what they prove.
         links, labels = proved(cut(stars(lists, percent), made), sets, percent, made)
         # 5. Lists that are still open.
-        known = lists.join(labels, "node", "left").select("token", "node", "size", F.coalesce("comp", "node").alias("comp"))
+        known = postings(lists).join(labels, "node", "left").select("token", "node", "size", F.coalesce("comp", "node").alias("comp"))
         open_ = cut(known.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where((F.col("n") > HUBS + 1) & (F.col("lo") != F.col("hi"))).select("token"), made)
         if not open_.isEmpty():
             paired = block_pairs(open_cells(known.join(near(open_), "token", "left_semi"), percent, made), 0.5, made)

@@ -156,3 +156,43 @@ def test_parity_bitmaps_bound_the_symmetric_difference():
             far = int(np.bitwise_count(j.folded([a], w) ^ j.folded([b], w)).sum())
             assert far <= len(np.setxor1d(x, y)) and (far > 0 or len(x) == len(y) or not far)
             assert (len(np.setxor1d(x, y)) - far) % 2 == 0
+
+
+def test_blocks_without_room_are_skipped_and_stars_stay_whole(spark):
+    rnd = random.Random(21)
+    rows, nodes = [], {}
+    for token in range(6):
+        list_ = sorted((rnd.randint(0, 30), rnd.randint(31, 400), rnd.getrandbits(60)) for _ in range(200))
+        nodes[token] = list_
+        for at in range(0, len(list_), 8):
+            part = list_[at : at + 8]
+            rows.append((token, part[0][0], min(s for _, s, _ in part), max(s for _, s, _ in part), [x for _, _, x in part], [s for _, s, _ in part], [p for p, _, _ in part]))
+    lists = spark.createDataFrame(rows, j.LISTS)
+    met, every = j.hubs_and_blocks(lists, 80).count(), 6 * j.HUBS * 25
+    assert 0 < met < 0.9 * every
+    flat = [(x, s, p, h) for r in j.postings(lists).withColumn("h", j.F.xxhash64("node", j.F.lit(23))).collect() for x, s, p, h in [(r.node, r["size"], r.pos, r.h)]]
+    rank = {x: h for x, _, _, h in flat}
+    want = set()
+    for list_ in nodes.values():
+        order = sorted(list_, key=lambda e: (rank[e[2]], e[2]))
+        for q, m, x in order[: j.HUBS]:
+            for p, s, y in list_:
+                if (rank[y], y) > (rank[x], x) and 100 * min(s, m) >= 80 * max(s, m) and 180 * min(s - p, m - q) >= 80 * (s + m):
+                    want.add((x, y))
+    assert {tuple(r) for r in j.stars(lists, 80).collect()} == want
+
+
+def test_sketches_add_up_in_a_tree(spark, monkeypatch):
+    import zlib
+
+    import numpy as np
+
+    monkeypatch.setattr(j, "FAN", 3)
+    rnd = np.random.default_rng(3)
+    counts = rnd.integers(0, 5, (20, 2, 16)).astype(np.uint32)
+    rows = [(c, zlib.compress(counts[t, c].tobytes())) for t in range(20) for c in range(2)]
+    got = j.gathered(spark.createDataFrame(rows, "chunk int, sketch binary"), 4).collect()
+    assert len(got) < 20
+    for c in range(2):
+        total = sum(np.frombuffer(zlib.decompress(r.sketch), np.uint32).astype(int) for r in got if r.chunk == c)
+        assert (total == counts[:, c].sum(axis=0)).all()
