@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 from .common import cut, drop_cut, shuffle_width, table
 
 SCALE, K = 64, 20
-#: Ranges of norms that blocks are formed in.
+#: Ranges of norms that blocks are formed in, at most; each has as many rows as a block, at least.
 LEVELS = 32
 CANDIDATES, QUERIES = 4096, 65536
 #: Queries of one task against the first block, and of one slab.
@@ -201,7 +201,8 @@ class Level:
 def in_blocks(rows: DataFrame) -> tuple[DataFrame, list[Level]]:
     """rows with cb, their block, and the levels of norms, greatest first. A level is a range between quantiles of the norms (equal norms are never
     parted), dealt by a hash into blocks of about CANDIDATES rows."""
-    cuts = sorted(set(rows.approxQuantile("norm", [i / LEVELS for i in range(1, LEVELS)], 1 / (8 * LEVELS))))
+    parts = min(LEVELS, max(1, rows.count() // CANDIDATES))
+    cuts = sorted(set(rows.approxQuantile("norm", [i / parts for i in range(1, parts)], 1 / (8 * LEVELS)))) if parts > 1 else []
     # The level of a norm: how many cuts are at or above it, so that level 0 has the greatest.
     level = sum((F.when(F.col("norm") <= c, 1).otherwise(0) for c in cuts), F.lit(0))
     rows, levels, at = rows.withColumn("_level", level), {}, 0
