@@ -54,6 +54,15 @@ def drop_cut(*frames: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def dropping(made: list[DataFrame]) -> Iterator[None]:
+    """Deletes the files behind made when the block ends, also by an error; frames may still be added to it."""
+    try:
+        yield
+    finally:
+        drop_cut(*made)
+
+
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """df, marked for broadcast if it has so many rows at most."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -11,6 +11,8 @@ Only fingerprints that the benchmark has leave their task, grouped by document;
 meetings are read again for the extension. Documents go by (doc_id, hash of text), so repeated rows and ids that
 repeat with other texts each get their own row and result.
 
+Texts of any length are read whole: a long one is one row of its task, and only its fingerprints that the benchmark has leave it.
+
 Defined results: null and empty texts have no words and no hits; an empty benchmark hits nothing; a null item_id's windows
 hit, but it isn't listed or counted among the items.
 """

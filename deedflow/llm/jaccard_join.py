@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import textvec
-from .common import bounded, cut, drop_cut, lean, shuffle_width, small_batches, table
+from .common import bounded, cut, dropping, lean, shuffle_width, small_batches, table
 from .components import components
 
 CELLS, CHUNKS = 1 << 23, 64
@@ -539,7 +539,7 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str, kept: li
     whole = docs.select(F.col(key).alias("id"), *kept, F.col(text).cast("string").alias("t"))
     texts = whole.select("id", "t")
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema[:-1])
-    with small_batches(spark):
+    with small_batches(spark), dropping(made):
         first = cut(whole.mapInArrow(lean(_heads(k)), f"{own}, words long, n long, node long, chunk int, sketch binary"), made)
         heads = cut(first.where("chunk is null").drop("chunk", "sketch"))
         total = heads.agg(F.sum("n")).first()[0] or 0
@@ -575,7 +575,6 @@ def _linked(docs: DataFrame, k: int, percent: int, key: str, text: str, kept: li
                 made.append(labels)
                 labels = _labelled(links.union(found))
         shared.destroy()
-        drop_cut(*made)
     return heads, labels
 
 

@@ -6,7 +6,7 @@ given shapes could name; the expressions join the rules on the first PREFIX_HEX
 the full digests then confirm, and the longest rule wins (equal length: the longer host, then block over allow).
 
 Defined results: a null URL or one without "://" has an empty host and path, fits no rule and gets the
-default verdict. An empty path starts with no rule's path. Repeated rows give a row each. An empty rule
+default verdict. A URL of any length is judged whole: only rules' shapes bound its expressions. An empty path starts with no rule's path. Repeated rows give a row each. An empty rule
 table leaves every page with the default verdict; an empty page table gives an empty result.
 """
 
