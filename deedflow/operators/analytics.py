@@ -82,6 +82,14 @@ def recent_activity(t: DataFrame, as_of: date, months: int = 12) -> DataFrame:
     )
 
 
+def company_titles(long: DataFrame) -> DataFrame:
+    """A row for each title of each company: company_properties() without its list, whose length has no bound."""
+    number = F.coalesce("matched_number", "company_reg_no").alias("company_number")
+    return long.select("*", number, F.coalesce("ch_company_name", "proprietor_name").alias("company_name")).where("company_number is not null").groupBy("company_number", "company_name", "title_number").agg(
+        F.sum("price_paid").alias("total_price_paid"), F.min("date_proprietor_added").alias("earliest_acquisition"), F.max("date_proprietor_added").alias("latest_acquisition"),
+    )
+
+
 def company_properties(long: DataFrame) -> DataFrame:
     number = F.coalesce("matched_number", "company_reg_no").alias("company_number")
     return long.select("*", number, F.coalesce("ch_company_name", "proprietor_name").alias("company_name")).where("company_number is not null").groupBy("company_number", "company_name").agg(

@@ -164,6 +164,12 @@ def company_properties(spark, d):
     return text_dates(analytics.company_properties(view(spark, d)))
 
 
+@query("company_titles", f"""{TL}, n AS (SELECT *, coalesce(matched_number, company_reg_no) AS company_number, coalesce(ch_company_name, proprietor_name) AS company_name FROM tl) SELECT company_number, company_name, title_number,
+ CAST(sum(price_paid) AS BIGINT) AS total_price_paid, CAST(min(date_proprietor_added) AS VARCHAR) AS earliest_acquisition, CAST(max(date_proprietor_added) AS VARCHAR) AS latest_acquisition FROM n WHERE company_number IS NOT NULL GROUP BY 1, 2, 3""")
+def company_titles(spark, d):
+    return text_dates(analytics.company_titles(view(spark, d)))
+
+
 @query("wide_companies", f"""{MATCHED}, w AS (SELECT id, {", ".join(f"max(CASE WHEN slot = {i} THEN matched_name END) AS n{i}, max(CASE WHEN slot = {i} THEN matched_number END) AS m{i}, max(CASE WHEN slot = {i} THEN confidence END) AS c{i}" for i in range(1, 5))} FROM matched GROUP BY id)
 SELECT t.id, {", ".join(f"coalesce(k{i}.company_name, n{i}) AS ch_company_name_{i}" for i in range(1, 5))}, CAST({" + ".join(f"coalesce(c{i}, 0)" for i in range(1, 5))} AS DOUBLE) AS total_match_confidence,
  CAST({" + ".join(f"CASE WHEN proprietor_{i}_name <> '' THEN 1 ELSE 0 END" for i in range(1, 5))} AS INTEGER) AS total_proprietor_count

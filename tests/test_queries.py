@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -53,7 +54,22 @@ def test_no_nested_loops_and_one_scan_of_titles(spark, name):
     shown = plan(catalog.QUERIES[name](spark, SF))
     assert "NestedLoop" not in shown and "Cartesian" not in shown
     # match_number_variants reads the distinct numbers by themselves: one column, instead of each row once for each spelling.
-    assert shown.count("lineitem.parquet") <= (2 if name in ("wide_companies", "match_number_variants") else 1)
+    # Matches read what tells owners apart by itself, and shuffle it as distinct values: whole rows are then shuffled once, not for each tier.
+    scans = {"wide_companies": 3, "match_number_variants": 2, "tiered_match": 2, "ownership_summary": 2}
+    assert shown.count("lineitem.parquet") <= scans.get(name, 1)
+
+
+def exchanges(spark, df):
+    """The columns of each exchange of a plan."""
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+
+
+@pytest.mark.parametrize("name", ["tiered_match", "match_classic", "match_asof_date"])
+def test_whole_owner_rows_are_shuffled_once(spark, name):
+    df = catalog.QUERIES[name](spark, SF)
+    assert sum("slot#" in columns for columns in exchanges(spark, df)) <= 1  # none where the results are small enough to be broadcast
+    assert "collect_set" not in plan(df)
 
 
 def test_scan_reads_only_what_a_query_needs(spark):
