@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..catalog import query, table
 from ..functions import dates, html, labels, text
 from ..operators import analytics, slots, upsert
 from ..sources import psc
+from ..sources.stored import shared_folder
 from ..streaming import ingest
 from .testdata import AS_OF, BASE, companies, titles
 from .timelines import DAY, text_dates
@@ -270,12 +267,7 @@ def arrival_windows(spark, d):
 @query("stream_upsert", f"{BASE} SELECT title_number, CAST(file_month AS VARCHAR) AS file_month, id FROM (SELECT *, row_number() OVER (PARTITION BY title_number, file_month ORDER BY source_filename DESC, id DESC) AS rn FROM titles) WHERE rn = 1")
 def stream_upsert(spark, d):
     """The title rows through the streaming upsert, file by file, into a partitioned table that is read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # only a local session shares the driver's files
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = f"file://{tempfile.gettempdir()}/checkpoints"
-    out = os.path.join(base, uuid.uuid4().hex)
+    out = shared_folder(spark)
     source = spark.readStream.schema(table(spark, d, "lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
     from .testdata import TITLES
 
