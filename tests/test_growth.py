@@ -52,3 +52,55 @@ def test_candidate_report_does_not_multiply_titles_by_companies(spark):
     report = resolve.candidate_report(owners, many)
     assert joined_rows(report, spark) <= 1000
     assert [tuple(r) for r in report.collect()] == [("search_name_match", "Active", 60000, 200, 300)]
+
+
+SF = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+
+
+def formatted(spark, name):
+    from deedflow import catalog
+    from deedflow.plans import load_all
+
+    load_all()
+    return spark._jvm.PythonSQLUtils.explainString(catalog.QUERIES[name](spark, SF)._jdf.queryExecution(), "formatted")
+
+
+def wide_exchanges(spark, name, column):
+    return sum(column in c for c in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", formatted(spark, name)))
+
+
+@tables
+@pytest.mark.parametrize("name", ["corrected", "original", "comprehensive", "latest_only", "deduplicated", "complete", "normalized", "land_registry", "all_companies"])
+def test_owners_of_a_timeline_are_shuffled_once(spark, name):
+    assert wide_exchanges(spark, f"timeline_{name}", "slot#") <= 1
+
+
+@tables
+@pytest.mark.parametrize("name", ["ownership_summary", "current_simplified", "company_portfolio"])
+def test_reports_do_not_multiply_rows_for_distinct_counts(spark, name):
+    assert "Expand" not in formatted(spark, name)
+
+
+@tables
+def test_test_companies_are_picked_without_matching(spark):
+    assert "supplier.parquet" not in formatted(spark, "pick_test_companies")
+
+
+def test_timeline_with_the_match_last_is_the_timeline_of_matched_owners(spark):
+    from datetime import date
+
+    from deedflow.operators import timeline
+
+    company = "Limited Company or Public Limited Company"
+    rows = [(str(i), t, date(2020, m, 1), "D" if i % 5 == 0 else None, None, date(2019 + i % 3, 5, i + 1), a, "1" if i % 2 else None, company if i % 4 else "Council", b, None, company) for i, (t, m, a, b) in enumerate([
+        ("T1", 1, "A LTD", "B LTD"), ("T1", 2, "A LTD", "A LTD"), ("T1", 2, "", "A LTD"), ("T2", 1, " ", "C"), ("T2", 5, "C", " "), ("T3", 6, None, None), (None, 3, "A LTD", "C"), (None, 4, "A LTD", "A LTD"), ("T4", 6, "Z", "A LTD"),
+    ])]
+    wide = spark.createDataFrame(rows, "id string, title_number string, file_month date, change_indicator string, change_date date, date_proprietor_added date, proprietor_1_name string, company_1_reg_no string, proprietorship_1_category string, proprietor_2_name string, company_2_reg_no string, proprietorship_2_category string")
+    register = spark.createDataFrame([("1", "A LIMITED", "Active", date(2000, 1, 1), ["C"]), ("2", "B LTD", "Active", date(2001, 1, 1), [])], "company_number string, company_name string, company_status string, incorporation_date date, previous_names array<string>")
+    for name in timeline.VIEWS:
+        want = timeline.timeline(timeline.resolved_owners(wide, register), name, date(2020, 12, 31))
+        got = timeline.resolved_timeline(wide, register, name, date(2020, 12, 31))
+        columns = sorted(want.columns)
+        assert sorted(got.columns) == columns
+        assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect())), name
