@@ -104,3 +104,22 @@ def test_timeline_with_the_match_last_is_the_timeline_of_matched_owners(spark):
         columns = sorted(want.columns)
         assert sorted(got.columns) == columns
         assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect())), name
+
+
+@tables
+@pytest.mark.parametrize("name", ["match_number_variants", "match_scraped", "cross_slot_distinct", "wide_companies"])
+def test_owners_rows_are_shuffled_once(spark, name):
+    text = formatted(spark, name)
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    if name == "wide_companies":  # no join by slot after the titles met their matches
+        assert text.count("supplier.parquet") <= 4
+    else:
+        assert sum("slot#" in c for c in inputs) <= 1
+    assert "LeftSemi" not in text
+
+
+@tables
+@pytest.mark.parametrize("name", ["not_in_corrected", "not_in_null_semantics"])
+def test_counts_by_slot_match_counted_owners(spark, name):
+    text = formatted(spark, name)
+    assert not any("slot#" in c and "n#" not in c and "count#" not in c and "sum#" not in c for c in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text))
