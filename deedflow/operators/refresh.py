@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..sources.stored import Stored
 from . import resolve
-from .joins import bounded
+from .joins import within
 from .slots import unpivot
 
 
@@ -38,14 +38,18 @@ def titles_of_companies(titles: DataFrame, old: DataFrame, new: DataFrame, rules
     names = F.concat(F.array("company_name"), F.coalesce("previous_names", F.array().cast("array<string>")))
     numbers = rows.select(text.number_key(F.col("company_number")).alias("_k")).where("_k <> ''").distinct()
     keys = rows.select(F.explode(names).alias("_name")).select(rules.name_key(F.col("_name")).alias("_k")).where("_k <> ''").distinct()
-    owners = unpivot(titles).select("title_number", text.number_key(F.col("company_reg_no")).alias("_nk"), rules.name_key(F.col("proprietor_name")).alias("_mk")).distinct()
-    by_number = owners.where("_nk <> ''").join(numbers, F.col("_nk") == F.col("_k"), "left_semi").select("title_number")
-    by_name = owners.where("_mk <> ''").join(keys, F.col("_mk") == F.col("_k"), "left_semi").select("title_number")
+    # Keys are made for different numbers and names only; a title's are shuffled as they are.
+    owners = unpivot(titles)
+    changed_numbers = owners.select("company_reg_no").distinct().withColumn("_nk", text.number_key(F.col("company_reg_no"))).where("_nk <> ''").join(numbers, F.col("_nk") == F.col("_k"), "left_semi")
+    changed_names = owners.select("proprietor_name").distinct().withColumn("_mk", rules.name_key(F.col("proprietor_name"))).where("_mk <> ''").join(keys, F.col("_mk") == F.col("_k"), "left_semi")
+    by_number = owners.select("title_number", "company_reg_no").distinct().join(changed_numbers, "company_reg_no", "left_semi").select("title_number")
+    by_name = owners.select("title_number", "proprietor_name").distinct().join(changed_names, "proprietor_name", "left_semi").select("title_number")
     return by_number.union(by_name).distinct()
 
 
-def refresh(store: Stored, titles: DataFrame, changed: DataFrame, build: Callable[[DataFrame], DataFrame]) -> int:
-    """A new version of store, in which the titles of `changed` are built anew by build(their rows); titles that are gone leave."""
+def refresh(store: Stored, titles: DataFrame, changed: DataFrame, build: Callable[[DataFrame], DataFrame], dealt: bool = False) -> int:
+    """A new version of store, in which the titles of `changed` are built anew by build(their rows); titles that are gone leave.
+    dealt: what build gives is dealt as store.dealt() does."""
     with store.kept(changed.select("title_number").distinct()) as affected:
-        rows = build(titles.join(bounded(affected, 100_000), "title_number", "left_semi").select(*titles.columns))
-        return store.replace(affected, rows)
+        rows = build(within(titles, affected, ["title_number"]))
+        return store.replace(affected, rows, dealt)

@@ -24,7 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.joins import bounded
+from ..operators.joins import without
+
+
+HASH = "murmur3"  # the hash that deals keys to buckets, as versions name it
 
 
 class Conflict(RuntimeError):
@@ -85,14 +88,20 @@ class Stored:
     # --- rows
 
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        # The hash by which rows are dealt to tasks: a task of dealt() rows has one bucket.
+        return F.pmod(F.hash(*self.key), F.lit(self.buckets)).cast("int")
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """rows, shuffled as they are stored. What comes after it by key isn't shuffled again, nor is the result when it is
+        stored with dealt=True."""
+        return rows.repartition(self.buckets * self.split, *self.key)
 
-    def _put(self, rows: DataFrame) -> dict[int, str]:
-        """Writes rows; the folder of each bucket that has any."""
+    def _put(self, rows: DataFrame, dealt: bool = False, more: DataFrame | None = None) -> dict[int, str]:
+        """Writes rows, and more; the folder of each bucket that has any. dealt: rows are as dealt() gave them."""
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        dealt = rows.withColumn("_bucket", self._bucket())
-        spread = F.pmod(F.xxhash64(F.lit(1), *self.key), F.lit(self.split))
-        dealt.repartition(self.buckets * self.split, "_bucket", spread).write.partitionBy("_bucket").parquet(folder)
+        for part, there in ((rows, dealt), (more, False)):
+            if part is not None:
+                (part if there else self.dealt(part)).withColumn("_bucket", self._bucket()).write.mode("append").partitionBy("_bucket").parquet(folder)
         there = self._fs.listStatus(self._hadoop.Path(folder))
         names = [s.getPath().getName() for s in there if s.isDirectory()]
         return {int(n.split("=")[1]): f"{folder.removeprefix(self.path)[1:]}/{n}" for n in names if n.startswith("_bucket=")}
@@ -120,13 +129,13 @@ class Stored:
         m = self._manifest(version)
         return self._rows(StructType.fromJson(m["schema"]), list(m["folders"].values()))
 
-    def write(self, rows: DataFrame) -> int:
-        """A version of just these rows."""
+    def write(self, rows: DataFrame, dealt: bool = False) -> int:
+        """A version of just these rows. dealt: they are as dealt() gave them, or made of that without another shuffle."""
         version = self.version()
-        return self._commit(0 if version is None else version + 1, {"schema": rows.schema.jsonValue(), "folders": self._put(rows)})
+        return self._commit(0 if version is None else version + 1, {"schema": rows.schema.jsonValue(), "hash": HASH, "folders": self._put(rows, dealt)})
 
-    def replace(self, keys: DataFrame, rows: DataFrame) -> int:
-        """A version in which `rows` are the rows of `keys`, and other keys keep theirs. rows have no other keys."""
+    def replace(self, keys: DataFrame, rows: DataFrame, dealt: bool = False) -> int:
+        """A version in which `rows` are the rows of `keys`, and other keys keep theirs. rows have no other keys. dealt: see write."""
         version = self.version()
         if version is None:
             raise FileNotFoundError(f"{self.path} has no version")
@@ -136,15 +145,13 @@ class Stored:
         touched = {r[0] for r in keys.select(self._bucket()).distinct().collect()}
         if not touched:
             return version
+        if m.get("hash") != HASH:  # dealt by another hash: all buckets are written anew
+            touched = {int(b) for b in m["folders"]} | touched
         old = self._rows(schema, [f for b, f in m["folders"].items() if int(b) in touched])
-        same = None
-        other = keys.select(*[F.col(k).alias(f"_{k}") for k in self.key])
-        for k in self.key:
-            same = F.col(k).eqNullSafe(F.col(f"_{k}")) if same is None else same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        kept = old.join(bounded(other, 100_000), same, "left_anti")
-        put = self._put(kept.unionByName(rows.select(*schema.names)))
+        kept = without(old, keys, list(self.key))
+        put = self._put(rows.select(*schema.names), dealt, kept)
         folders = {int(b): f for b, f in m["folders"].items() if int(b) not in touched} | put
-        return self._commit(version + 1, {"schema": m["schema"], "folders": folders})
+        return self._commit(version + 1, {"schema": m["schema"], "hash": HASH, "folders": folders})
 
     def vacuum(self, keep: int = 2) -> int:
         """Removes all versions but the last `keep`, and the data that only they have; the number of folders removed. Data of a

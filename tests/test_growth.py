@@ -123,3 +123,26 @@ def test_owners_rows_are_shuffled_once(spark, name):
 def test_counts_by_slot_match_counted_owners(spark, name):
     text = formatted(spark, name)
     assert not any("slot#" in c and "n#" not in c and "count#" not in c and "sum#" not in c for c in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text))
+
+
+def test_rows_dealt_as_they_are_stored_are_not_shuffled_again(spark, tmp_path):
+    from pyspark.sql.window import Window
+
+    from deedflow.operators.joins import within, without
+    from deedflow.sources.stored import Stored
+
+    t = Stored(spark, f"file://{tmp_path}/t", ("k",), buckets=4, split=2)
+    rows = spark.range(500).select((F.col("id") % 50).cast("string").alias("k"), "id")
+    dealt = t.dealt(rows).withColumn("n", F.row_number().over(Window.partitionBy("k", "id").orderBy("id")))
+    assert spark._jvm.PythonSQLUtils.explainString(dealt._jdf.queryExecution(), "simple").count("Exchange") == 1
+    t.write(dealt, dealt=True)
+    assert t.read().count() == 500
+    files = [f for f in t.read().inputFiles()]
+    assert len(files) <= 8  # a task has one bucket
+    # almost all keys: the few others are broadcast, and stay
+    keys = rows.select("k").distinct().where("k <> '7'")
+    assert without(rows, keys, ["k"], most=10).select("k").distinct().collect() == [("7",)]
+    assert within(rows, keys, ["k"], most=10).count() == 490
+    assert "SortMergeJoin" not in spark._jvm.PythonSQLUtils.explainString(within(rows, keys, ["k"], most=10)._jdf.queryExecution(), "simple")
+    t.replace(keys, t.dealt(dealt.where("k <> '7' and id < 100")), dealt=True)
+    assert sorted(r.id for r in t.read().where("k = '7'").collect()) == list(range(7, 500, 50)) and t.read().count() == 10 + 98
