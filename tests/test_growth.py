@@ -146,3 +146,27 @@ def test_rows_dealt_as_they_are_stored_are_not_shuffled_again(spark, tmp_path):
     assert "SortMergeJoin" not in spark._jvm.PythonSQLUtils.explainString(within(rows, keys, ["k"], most=10)._jdf.queryExecution(), "simple")
     t.replace(keys, t.dealt(dealt.where("k <> '7' and id < 100")), dealt=True)
     assert sorted(r.id for r in t.read().where("k = '7'").collect()) == list(range(7, 500, 50)) and t.read().count() == 10 + 98
+
+
+def nodes(spark, name, kind):
+    """The input columns of each node of that kind in a plan."""
+    return re.findall(rf"\(\d+\) {kind}\nInput \[\d+\]: \[(.*)\]", formatted(spark, name))
+
+
+@tables
+@pytest.mark.parametrize("name", ["original", "comprehensive", "latest_only", "complete", "normalized", "land_registry"])
+def test_owners_of_a_timeline_are_sorted_once(spark, name):
+    assert sum("slot#" in c for c in nodes(spark, f"timeline_{name}", "Sort")) == 1
+    assert not any("title_number#" in c and "slot#" not in c for c in nodes(spark, f"timeline_{name}", "Sort"))
+    assert not any("country_" in c or "category" in c for c in nodes(spark, f"timeline_{name}", "Exchange"))
+
+
+def test_owners_places_after_deduplication_are_in_order_of_month_slot_and_id(spark):
+    from datetime import date
+
+    from deedflow.operators import timeline
+
+    rows = [("T", "A", s, m and date(2020, m, 1), i) for s, m, i in [(1, 5, "b"), (1, 4, "a"), (2, 5, "a"), (3, None, "c"), (4, 2, "d"), (4, None, "e")]] + [("T", "B", 2, date(2020, 1, 1), "a"), (None, "A", 1, None, "z")]
+    long = spark.createDataFrame(rows, "title_number string, proprietor_name string, slot int, file_month date, id string")
+    got = timeline.ranked(long, timeline.View("title_max", "per_slot_owner"))
+    assert sorted((r.proprietor_name, r.id, r.slot, r.ownership_sequence) for r in got.collect()) == [("A", "a", 2, 4), ("A", "b", 1, 3), ("A", "c", 3, 1), ("A", "d", 4, 2), ("A", "z", 1, 1), ("B", "a", 2, 1)]
