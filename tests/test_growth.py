@@ -170,3 +170,38 @@ def test_owners_places_after_deduplication_are_in_order_of_month_slot_and_id(spa
     long = spark.createDataFrame(rows, "title_number string, proprietor_name string, slot int, file_month date, id string")
     got = timeline.ranked(long, timeline.View("title_max", "per_slot_owner"))
     assert sorted((r.proprietor_name, r.id, r.slot, r.ownership_sequence) for r in got.collect()) == [("A", "a", 2, 4), ("A", "b", 1, 3), ("A", "c", 3, 1), ("A", "d", 4, 2), ("A", "z", 1, 1), ("B", "a", 2, 1)]
+
+
+def portfolio_rows():
+    from datetime import date
+    from itertools import product
+
+    out = []
+    for i, (c, t, r, now) in enumerate(product([("A", "1", "Active"), ("A", None, None), ("B", "2", None), (None, "3", None)], ["T1", "T2", "T3", None], ["N", "", None, "S"], [True, False, True])):
+        if (i * 7) % 5 < 3 and not (c[0] == "B" and now):
+            out.append((*c, t, r, "Current" if now else "Historical", None if i % 4 == 0 else i, None if i % 6 == 0 else date(2020, 1 + i % 12, 1 + i % 28)))
+    return out
+
+
+def test_company_portfolio_counts_each_title_once(spark):
+    from deedflow.operators import timeline
+
+    rows = portfolio_rows()
+    t = spark.createDataFrame(rows, "ch_company_name string, matched_number string, ch_company_status string, title_number string, region string, ownership_status string, price_paid long, date_proprietor_added date")
+    want = []
+    for key in {r[:3] for r in rows if r[0] is not None}:
+        own = [r for r in rows if r[:3] == key]
+        now = [r for r in own if r[5] == "Current"]
+        count = lambda rs: len({r[3] for r in rs if r[3] is not None})
+        if count(now):
+            regions = ", ".join(sorted({r[4] for r in now if r[4] is not None})) or None
+            want.append((*key, count(now), count([r for r in own if r[5] != "Current"]), count(own), regions, sum(r[6] or 0 for r in now), min((r[7] for r in own if r[7]), default=None), max((r[7] for r in now if r[7]), default=None)))
+    columns = ["ch_company_name", "company_number", "company_status", "current_properties", "historical_properties", "total_properties_ever_owned", "current_regions", "total_current_value", "earliest_ownership", "latest_acquisition"]
+    assert want
+    assert sorted(map(str, map(tuple, timeline.company_portfolio(t).select(columns).collect()))) == sorted(map(str, want))
+
+
+@tables
+def test_company_portfolio_keeps_no_list_for_each_title(spark):
+    aggregates = re.findall(r"Keys \[\d+\]: \[(.*)\]\nFunctions \[\d+\]: \[(.*)\]", formatted(spark, "company_portfolio"))
+    assert not any("title_number" in keys and "collect_set" in made for keys, made in aggregates)
