@@ -205,3 +205,42 @@ def test_company_portfolio_counts_each_title_once(spark):
 def test_company_portfolio_keeps_no_list_for_each_title(spark):
     aggregates = re.findall(r"Keys \[\d+\]: \[(.*)\]\nFunctions \[\d+\]: \[(.*)\]", formatted(spark, "company_portfolio"))
     assert not any("title_number" in keys and "collect_set" in made for keys, made in aggregates)
+
+
+@tables
+def test_names_are_looked_up_without_days(spark):
+    assert not any("date_proprietor_added#" in c and ("number_key#" in c or "by_number#" in c or "_nk#" in c) for kind in ("Exchange", "SortMergeJoin", "Project") for c in nodes(spark, "match_asof_date", kind))
+
+
+def test_matches_by_date_are_those_of_a_plain_loop(spark):
+    from datetime import date
+    from itertools import product
+
+    days = [date(2000, 1, 1), date(2005, 5, 5), date(2010, 1, 1)]
+    register = [("1", "A LTD", days[1], ["OLD"]), ("2", "A LIMITED", days[0], ["OLD", "GONE"]), ("3", "A", days[1], []), ("4", "B", days[2], ["OLD", "A"]), ("5", "C", None, ["GONE"]), ("6", "C LTD", None, ["ONCE"]), ("7", "D", days[0], ["B"])]
+    key = lambda name: name.removesuffix(" LTD").removesuffix(" LIMITED")
+    owners = list(product(["A", "A LTD", "B", "C", "D", "OLD", "GONE", "ONCE", "Z", " "], [None, "2", "9"], [None, date(1999, 1, 1), days[0], date(2007, 1, 1), date(2020, 1, 1)]))
+
+    def last(of, day):
+        known = [r for r in of if day and r[2] and r[2] <= day]
+        return min((r for r in known if r[2] == max(k[2] for k in known)), key=lambda r: r[0], default=None)
+
+    def match(name, number, day):
+        if name == " ":
+            return (None,) * 4
+        by_number = [r for r in register if r[0] == number]
+        if by_number:
+            same = key(by_number[0][1]) == key(name)
+            return by_number[0][1], number, *(("Name+Number", "1.00") if same else ("Number", "0.90"))
+        named, former = ([r for r in register if key(name) == key(r[1])], [r for r in register if key(name) in r[3]])
+        of, kind, one, many = (named, "Name", "0.70", "0.60") if named else (former, "Previous_Name", "0.50", "0.40")
+        got = of[0] if len(of) == 1 else last(of, day)
+        return (got[1], got[0], kind, one if len(of) == 1 else many) if got else (None, None, "No_Match", "0.00")
+
+    got = resolve.resolve(
+        spark.createDataFrame([(*o, "x") for o in owners], "proprietor_name string, company_reg_no string, date_proprietor_added date, category string"),
+        spark.createDataFrame([(*r[:3], r[3]) for r in register], "company_number string, company_name string, incorporation_date date, previous_names array<string>"), resolve.BY_DATE,
+    )
+    want = sorted(str((*o, *match(*o))) for o in owners)
+    columns = ["proprietor_name", "company_reg_no", "date_proprietor_added", "matched_name", "matched_number", "match_type", F.col("confidence").cast("string")]
+    assert sorted(map(str, map(tuple, got.select(columns).collect()))) == want
