@@ -32,6 +32,20 @@ def upsert(table: DataFrame, new: DataFrame, keys: list[str], order: list[str],
     return table.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh.select(*table.columns))
 
 
+def upsert_in_one_pass(table: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """upsert() where the new rows are many, or costly to make: they are read once, and both sides are dealt and sorted by key once.
+    (upsert() reads them twice, but leaves the table where it is if they are few.)"""
+    more = [c for c in order if c not in table.columns]
+    both = table.withColumn("_new", F.lit(False)).unionByName(new.select(*table.columns, *more).withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    window = Window.partitionBy(*keys).orderBy(F.desc("_new"), *[F.desc_nulls_last(c) for c in order])
+    ranked = both.withColumns({"_rn": F.row_number().over(window), "_any": F.first("_new").over(window)})
+    unkeyed = F.lit(False)
+    for k in keys:
+        unkeyed = unkeyed | F.col(k).isNull()
+    # A row of the table with a null in its key is replaced by none.
+    return ranked.where(F.when(F.col("_new"), F.col("_rn") == 1).otherwise(~F.col("_any") | unkeyed)).select(*table.columns)
+
+
 def upsert_flagged(table: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last new row of each key with `inserted`: whether the key is new."""
     known = table.select(*keys, F.lit(True).alias("_known")).distinct()

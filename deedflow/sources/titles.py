@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators.upsert import drop_deletes, upsert
+from ..operators.joins import bounded
+from ..operators.upsert import drop_deletes, upsert_in_one_pass
 
 # The headers of a snapshot file, in file order, and their columns.
 PLAIN = {"Title Number": "title_number", "Tenure": "tenure", "Property Address": "property_address", "District": "district", "County": "county", "Region": "region", "Postcode": "postcode"}
@@ -77,10 +78,11 @@ def read_titles(spark: SparkSession, path: str, keep_deletes: bool = False, only
 
 
 def import_titles(table: DataFrame, ledger: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(table, ledger) after the files of new that the ledger lacks are upserted by title and month."""
-    fresh = new.join(ledger.where("status = 'completed'"), "source_filename", "left_anti")
+    """(table, ledger) after the files of new that the ledger lacks are upserted by title and month. The ledger has a row for each
+    file: rows needn't be shuffled by their file, which would put each file's in one task."""
+    fresh = new.join(bounded(ledger.where("status = 'completed'").select("source_filename").distinct()), "source_filename", "left_anti")
     entries = fresh.groupBy("source_filename", "file_month").agg(F.count("*").alias("rows")).withColumn("status", F.lit("completed"))
-    merged = upsert(table, fresh, KEY, LOAD_ORDER)
+    merged = upsert_in_one_pass(table, fresh, KEY, LOAD_ORDER)
     return merged, ledger.unionByName(entries.select(*ledger.columns))
 
 

@@ -244,3 +244,30 @@ def test_matches_by_date_are_those_of_a_plain_loop(spark):
     want = sorted(str((*o, *match(*o))) for o in owners)
     columns = ["proprietor_name", "company_reg_no", "date_proprietor_added", "matched_name", "matched_number", "match_type", F.col("confidence").cast("string")]
     assert sorted(map(str, map(tuple, got.select(columns).collect()))) == want
+
+
+@tables
+def test_an_import_reads_its_files_once_and_deals_them_by_key(spark):
+    text = formatted(spark, "import_files_once")
+    assert len(re.findall(r"\(\d+\) Scan csv", text)) == 1
+    assert "BroadcastHashJoin LeftAnti" in text and "SortMergeJoin" not in text
+
+
+def test_upsert_in_one_pass_is_upsert(spark):
+    from deedflow.operators.upsert import upsert, upsert_in_one_pass
+
+    kinds = "a string, b int, at int, v string"
+    table = spark.createDataFrame([("x", 1, 1, "old"), ("x", 2, 9, "old"), ("x", 2, 9, "twice"), ("y", 1, 5, "old"), (None, 1, 1, "old"), (None, 1, 2, "old too"), ("z", None, 1, "old"), ("y", 7, None, "p"), ("y", 7, None, "q")], kinds)
+    new = spark.createDataFrame([("x", 1, 1, "new"), ("x", 1, 2, "newer"), ("x", 2, None, "new"), ("w", 1, None, "only"), (None, 1, 3, "new"), (None, 1, 4, "newer"), ("z", None, 2, "new")], kinds)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(upsert_in_one_pass(table, new, ["a", "b"], ["at", "v"])) == rows(upsert(table, new, ["a", "b"], ["at", "v"]))
+    assert rows(upsert_in_one_pass(table.drop("at"), new, ["a", "b"], ["at"])) == rows(upsert(table.drop("at"), new, ["a", "b"], ["at"]))
+    assert rows(upsert_in_one_pass(table.limit(0), new, ["a"], ["at", "v"])) == rows(upsert(table.limit(0), new, ["a"], ["at", "v"]))
+
+
+def test_clean_drops_all_outer_white_space(spark):
+    from deedflow.functions import text
+
+    rows = [(" a  b ",), ("\u00a0\u2003a\u0085\tb\u3000\n",), ("\u2028",), ("",), (None,), ("x",)]
+    got = spark.createDataFrame(rows, "c string").select(text.clean(F.col("c"))).collect()
+    assert [r[0] for r in got] == ["a b", "a b", None, None, None, "x"]
