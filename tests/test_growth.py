@@ -271,3 +271,41 @@ def test_clean_drops_all_outer_white_space(spark):
     rows = [(" a  b ",), ("\u00a0\u2003a\u0085\tb\u3000\n",), ("\u2028",), ("",), (None,), ("x",)]
     got = spark.createDataFrame(rows, "c string").select(text.clean(F.col("c"))).collect()
     assert [r[0] for r in got] == ["a b", "a b", None, None, None, "x"]
+
+
+@tables
+@pytest.mark.parametrize("name,columns", [("stored_current_ownership", {"title_number", "owners", "last_company"}), ("stored_matches", {"title_number", "id", "slot", "proprietor_name", "matched_name", "matched_number", "match_type", "confidence"}), ("stored_timeline", None)])
+def test_stored_views_keep_the_columns_asked_for(spark, name, columns):
+    from deedflow import catalog
+    from deedflow.plans import load_all
+
+    load_all()
+    got = catalog.QUERIES[name](spark, SF)
+    assert set(spark.read.parquet(*got.inputFiles()).columns) == (columns or set(got.columns))
+
+
+def odd_titles(spark):
+    from datetime import date
+
+    company = "Limited Company or Public Limited Company"
+    rows = [(str(i), t, m and date(2020, m, 1), "D" if i % 5 == 0 else None, a, "1" if i % 2 else None, company if i % 4 else "Council", b, None, company) for i, (t, m, a, b) in enumerate([
+        ("T1", 1, "A LTD", "B LTD"), ("T1", 2, "A LTD", "A LTD"), ("T1", 2, "", "A LTD"), ("T2", 1, " ", "C"), ("T2", 5, "C", " "), ("T3", 6, None, None), (None, 3, "A LTD", "C"), (None, 4, "A LTD", "A LTD"), ("T4", None, "Z", "A LTD"), ("T1", 9, None, ""), ("T1", 2, "A LTD", "B LTD"),
+    ])]
+    wide = spark.createDataFrame(rows, "id string, title_number string, file_month date, change_indicator string, proprietor_1_name string, company_1_reg_no string, proprietorship_1_category string, proprietor_2_name string, company_2_reg_no string, proprietorship_2_category string")
+    register = spark.createDataFrame([("1", "A LIMITED", "Active", date(2000, 1, 1), ["C"]), ("2", "B LTD", "Active", date(2001, 1, 1), [])], "company_number string, company_name string, company_status string, incorporation_date date, previous_names array<string>")
+    return wide, register
+
+
+def test_matches_that_come_to_the_titles_are_those_fetched_by_owners(spark):
+    from deedflow.operators import timeline
+
+    wide, register = odd_titles(spark)
+    want = timeline.resolved_owners(wide, register)
+    got = timeline.resolved_owners(wide, register, deal=timeline.by_title)
+    assert sorted(got.columns) == sorted(want.columns)
+    rows = lambda df: sorted(map(str, df.select(sorted(want.columns)).collect()))
+    assert len(rows(want)) == 17 and rows(got) == rows(want)
+    text = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    assert not any("slot#" in c for c in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text))
+    some = timeline.resolved_owners(wide, register, deal=timeline.by_title, only=(), match=("matched_number",))
+    assert "confidence" not in some.columns and "category" not in some.columns and some.where("matched_number = '1'").count() == want.where("matched_number = '1'").count()
