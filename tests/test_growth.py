@@ -309,3 +309,9 @@ def test_matches_that_come_to_the_titles_are_those_fetched_by_owners(spark):
     assert not any("slot#" in c for c in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text))
     some = timeline.resolved_owners(wide, register, deal=timeline.by_title, only=(), match=("matched_number",))
     assert "confidence" not in some.columns and "category" not in some.columns and some.where("matched_number = '1'").count() == want.where("matched_number = '1'").count()
+
+
+@tables
+@pytest.mark.parametrize("name", ["latest_per_owner", "current_ownership", "recent_changes", "param_lookup", "status_by_dataset"])
+def test_what_asks_for_no_match_makes_none(spark, name):
+    assert "supplier.parquet" not in formatted(spark, name) and wide_exchanges(spark, name, "slot#") == 0
