@@ -315,3 +315,22 @@ def test_matches_that_come_to_the_titles_are_those_fetched_by_owners(spark):
 @pytest.mark.parametrize("name", ["latest_per_owner", "current_ownership", "recent_changes", "param_lookup", "status_by_dataset"])
 def test_what_asks_for_no_match_makes_none(spark, name):
     assert "supplier.parquet" not in formatted(spark, name) and wide_exchanges(spark, name, "slot#") == 0
+
+
+@tables
+def test_titles_are_not_shuffled_for_their_companies_names(spark):
+    assert wide_exchanges(spark, "wide_companies", "proprietor_") == wide_exchanges(spark, "wide_companies", "proprietor_name") and "SortMergeJoin" not in formatted(spark, "wide_companies").split("slot#")[-1]
+    assert wide_exchanges(spark, "wide_companies", "slot#") == 2
+
+
+def test_wide_companies_are_those_of_joins_slot_by_slot(spark):
+    from deedflow.operators import slots, timeline
+
+    wide, register = odd_titles(spark)
+    wide = wide.withColumn("id", F.when(F.col("id") == "7", "1").when(F.col("id") != "6", F.col("id")))  # one twice, and one that is null
+    wide = wide.withColumns({f"proprietor_{i}_name": F.lit(None).cast("string") for i in (3, 4)})
+    found = resolve.resolve(slots.unpivot(wide), register)
+    want = timeline.wide(wide, slots.pivot(found, ["id"], slots.MATCH), register)
+    got = timeline.wide_companies(wide, register)
+    rows = lambda df: sorted(map(str, df.select(got.columns).collect()))
+    assert len(rows(got)) == 11 and rows(got) == rows(want)
