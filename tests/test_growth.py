@@ -334,3 +334,9 @@ def test_wide_companies_are_those_of_joins_slot_by_slot(spark):
     got = timeline.wide_companies(wide, register)
     rows = lambda df: sorted(map(str, df.select(got.columns).collect()))
     assert len(rows(got)) == 11 and rows(got) == rows(want)
+
+
+@tables
+@pytest.mark.parametrize("name", ["current_simplified"])
+def test_reports_by_title_shuffle_no_rows_of_owners(spark, name):
+    assert wide_exchanges(spark, name, "slot#") == 0
